@@ -63,9 +63,11 @@ def monthly_scorecard(df: DataFrame, ts: str, period: str = "month", model_err:
     return out.withColumn("gap", F.col("model_mae") - F.col("bench_mae"))
 
 
-def naive_mae(df: DataFrame, actual: str, baselines: dict[str, str]) -> DataFrame:
-    """One row: MAE of each naive baseline column against the actual (NULLs skipped)."""
-    return df.agg(*[F.avg(abs_error(actual, c)).alias(name) for name, c in baselines.items()])
+def naive_mae(df: DataFrame, actual: str, baselines: dict[str, str], count_name: str | None = None) -> DataFrame:
+    """One row: MAE of each naive baseline column against the actual (NULLs skipped),
+    and optionally the row count."""
+    extra = [F.count(F.lit(1)).alias(count_name)] if count_name else []
+    return df.agg(*[F.avg(abs_error(actual, c)).alias(name) for name, c in baselines.items()], *extra)
 
 
 def spread(df: DataFrame, actual: str, reference: str, name: str = "spread") -> DataFrame:

@@ -1 +1,159 @@
-"""Registered queries."""
+"""Registered profiling, projection and filter queries over the raw tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from daycast.functions.time import to_ntz
+from daycast.functions.transforms import clip
+from daycast.operators.joins import join_sources
+from daycast.operators.normalize import normalize
+from daycast.operators.profile import (
+    coverage, describe_columns, has_nulls, histogram, latest_rows, null_audit, preview, schema_profile,
+    top_correlations,
+)
+from daycast.plans import views as V
+from daycast.plans.oracle import with_views
+from daycast.plans.registry import register
+from daycast.sources.landing import extract
+
+
+def _source_join(spark, sf):
+    a = V.v_all(spark, sf)
+    click = V.v_hourly(spark, sf).filter(F.col("event_type") == "click").select("ts", F.col("v").alias("click_v"))
+    return join_sources(a, [(click, "ts"), (V.v_daily(spark, sf), (F.to_date("ts"), "date"))])
+
+
+_SJ = """SELECT a.ts, a.v, c.v AS click_v, d.daily_value FROM v_all a
+LEFT JOIN (SELECT ts, v FROM v_hourly WHERE event_type = 'click') c ON c.ts = a.ts
+LEFT JOIN v_daily d ON d.date = CAST(a.ts AS DATE)"""
+
+
+@register("null_audit", with_views(
+    f"SELECT count(*) AS total_rows, count(click_v) AS has_click, count(daily_value) AS has_daily FROM ({_SJ})",
+    "v_all", "v_hourly", "v_daily"))
+def q_null_audit(spark, sf):
+    """Row count and non-null count per joined source (which sources leave gaps)."""
+    return null_audit(_source_join(spark, sf), {"has_click": "click_v", "has_daily": "daily_value"})
+
+
+@register("has_nulls", with_views(
+    f"SELECT coalesce(bool_or(ts IS NULL OR v IS NULL OR click_v IS NULL OR daily_value IS NULL), false) "
+    f"AS has_nulls FROM ({_SJ})", "v_all", "v_hourly", "v_daily"))
+def q_has_nulls(spark, sf):
+    return has_nulls(_source_join(spark, sf))
+
+
+@register("coverage", "SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows "
+                      "FROM events GROUP BY event_type")
+def q_coverage(spark, sf):
+    return coverage(V.events(spark, sf), "ts", ["event_type"])
+
+
+_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_desc_sql = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
+    f"CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, "
+    f"quantile_cont({c}, 0.75) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in _DESC_COLS)
+
+
+@register("describe_columns", _desc_sql, ["mean", "std", "min", "q25", "q50", "q75", "max"])
+def q_describe_columns(spark, sf):
+    """count, mean, std, min, quartiles, max per numeric column, one row per column."""
+    return describe_columns(V.lineitem(spark, sf), _DESC_COLS)
+
+
+@register("histogram", """WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+b AS (SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 100)), 99) AS INTEGER) AS bin
+      FROM lineitem, s WHERE l_extendedprice IS NOT NULL),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT g.bin, lo + g.bin * ((hi - lo) / 100) AS bin_lo, lo + (g.bin + 1) * ((hi - lo) / 100) AS bin_hi,
+  coalesce(c.n, 0) AS n
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(100)) g CROSS JOIN s LEFT JOIN c ON c.bin = g.bin""",
+          ["bin_lo", "bin_hi"])
+def q_histogram(spark, sf):
+    """100 equal-width bins of the extended price, empty bins included."""
+    return histogram(V.lineitem(spark, sf), "l_extendedprice", 100)
+
+
+_CORR_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey"]
+_corr_sql = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), l_extendedprice) AS corr FROM lineitem" for c in _CORR_COLS)
+
+
+@register("top_correlations", f"""SELECT feature, corr, abs(corr) AS abs_corr FROM ({_corr_sql})
+WHERE corr IS NOT NULL ORDER BY abs(corr) DESC, feature LIMIT 5""", ["corr", "abs_corr"])
+def q_top_correlations(spark, sf):
+    """Columns most correlated (|Pearson|) with the extended price, top 5."""
+    return top_correlations(V.lineitem(spark, sf), "l_extendedprice", _CORR_COLS, k=5)
+
+
+@register("profile_flags", """SELECT count(*) AS n_rows,
+  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned,
+  CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS n_open FROM lineitem""")
+def q_profile_flags(spark, sf):
+    li = V.lineitem(spark, sf)
+    return li.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).cast("long").alias("n_returned"),
+                  F.sum(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).cast("long").alias("n_open"))
+
+
+@register("latest_rows", """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10""", {"o_totalprice": 2})
+def q_latest_rows(spark, sf):
+    o = V.orders(spark, sf).select("o_orderkey", "o_orderdate", "o_totalprice")
+    return latest_rows(o, "o_orderdate", 10, tiebreak=["o_orderkey"])
+
+
+@register("preview")
+def q_preview(spark, sf):
+    """Unordered peek at a table (rows-only check: which rows is not defined)."""
+    return preview(V.orders(spark, sf), 5)
+
+
+@register("schema_profile")
+def q_schema_profile(spark, sf):
+    """Type counts, column count and row count of the feature table input."""
+    return schema_profile(V.lineitem(spark, sf))
+
+
+@register("scan_project", """SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_quantity AS quantity,
+  l_extendedprice AS extended_price, l_shipdate AS ship_ts FROM lineitem""", {"extended_price": 2})
+def q_scan_project(spark, sf):
+    """Projection and rename straight off the parquet scan (only five columns are read)."""
+    return normalize(V.lineitem(spark, sf), {
+        "order_key": "l_orderkey", "line_number": "l_linenumber", "quantity": "l_quantity",
+        "extended_price": "l_extendedprice", "ship_ts": "l_shipdate"})
+
+
+@register("normalize_casts", """SELECT o_orderkey,
+  CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS order_ts,
+  CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS order_date,
+  CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS total_price FROM orders""", {"total_price": 2})
+def q_normalize_casts(spark, sf):
+    """Text feeds to typed columns: timestamp (naive), date and double from strings."""
+    o = V.orders(spark, sf).select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ts_text"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"),
+        F.col("o_totalprice").cast("string").alias("price_text"))
+    return normalize(o, {"o_orderkey": "o_orderkey", "order_ts": to_ntz("ts_text"),
+                         "order_date": ("date_text", "date"), "total_price": ("price_text", "double")})
+
+
+@register("clip_range", """SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_discount < 0.02 THEN 0.02 WHEN l_discount > 0.08 THEN 0.08 ELSE l_discount END AS discount_clipped
+FROM lineitem""", ["discount_clipped"])
+def q_clip_range(spark, sf):
+    li = V.lineitem(spark, sf)
+    return li.select("l_orderkey", "l_linenumber", clip("l_discount", 0.02, 0.08).alias("discount_clipped"))
+
+
+@register("filtered_extract", """SELECT event_id, event_type, ts, value FROM events
+WHERE event_type IN ('click', 'view') AND ts >= TIMESTAMP '2024-01-05 00:00:00'
+  AND ts <= TIMESTAMP '2024-01-20 23:59:59'""", ["value"])
+def q_filtered_extract(spark, sf):
+    """Series and time-range extract; both predicates are pushed into the parquet scan."""
+    e = V.events(spark, sf)
+    return extract(e, "ts", "2024-01-05 00:00:00", "2024-01-20 23:59:59", key="event_type",
+                   values=["click", "view"]).select("event_id", "event_type", "ts", "value")
