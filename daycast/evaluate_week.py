@@ -1,0 +1,9 @@
+"""Week labels shared by sinks and scorecards."""
+
+from pyspark.sql import functions as F
+
+from daycast.operators.evaluate import week_start
+
+
+def week_label(ts):
+    return F.date_format(week_start(ts), "yyyy-MM-dd")

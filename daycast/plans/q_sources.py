@@ -1 +1,127 @@
-"""Registered queries."""
+"""Registered source / sink queries: CSV and parquet round trips, JSON payloads,
+month calendars, resumable landing and the streaming hourly rollup."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from daycast.evaluate_week import week_label
+from daycast.functions.time import hour_floor
+from daycast.operators.sets import union_all
+from daycast.plans import views as V
+from daycast.plans.oracle import with_views
+from daycast.plans.registry import register
+from daycast.session import ensure_checkpoint_dir
+from daycast.sources.io import read_predictions, read_table, write_csv, write_table
+from daycast.sources.landing import missing_months, month_calendar
+from daycast.sources.payloads import explode_rows, parse_parallel
+from daycast.streaming.hourly import run_hourly_rollup
+
+_TSFMT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def scratch(spark, kind: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{kind}-{uuid.uuid4().hex}")
+
+
+@register("csv_roundtrip", with_views("SELECT datetime_ept, actual_rt, prediction FROM v_pred", "v_pred"),
+          ["actual_rt", "prediction"])
+def q_csv_roundtrip(spark, sf):
+    """Predictions to CSV and back, the timestamp re-parsed as naive local time."""
+    path = scratch(spark, "predictions-csv")
+    write_csv(V.v_pred(spark, sf).select("datetime_ept", "actual_rt", "prediction"), path)
+    return read_predictions(spark, path)
+
+
+@register("parquet_roundtrip", with_views("SELECT * FROM v_pred", "v_pred"),
+          ["actual_rt", "prediction", "benchmark"])
+def q_parquet_roundtrip(spark, sf):
+    """Predictions to parquet partitioned by week and back (partition column dropped)."""
+    path = scratch(spark, "predictions-parquet")
+    p = V.v_pred(spark, sf)
+    write_table(p.withColumn("week", week_label("datetime_ept")), path, ["week"])
+    return read_table(spark, path).select(*p.columns)
+
+
+_ROW = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType()),
+])
+
+
+def _pages(spark, sf, wrap):
+    """API-style pages: one JSON document per (event type, hour) holding its rows."""
+    e = V.events(spark, sf)
+    rows = F.collect_list(F.struct("event_id", "ts", "user_id", "value"))
+    page = e.groupBy("event_type", hour_floor("ts").alias("page")).agg(rows.alias("rows"))
+    return page.select("event_type", F.to_json(wrap(F.col("rows")), _TSFMT).alias("payload"))
+
+
+@register("ingest_row_array", "SELECT event_type, event_id, ts, user_id, value FROM events", ["value"])
+def q_ingest_row_array(spark, sf):
+    """``{"items": [{...}]}`` pages to rows."""
+    pages = _pages(spark, sf, lambda r: F.struct(r.alias("items")))
+    return explode_rows(pages, "payload", ["items"], _ROW, keep=["event_type"])
+
+
+@register("ingest_nested_rows", "SELECT event_type, event_id, ts, user_id, value FROM events", ["value"])
+def q_ingest_nested_rows(spark, sf):
+    """``{"response": {"data": [{...}]}}`` pages to rows."""
+    pages = _pages(spark, sf, lambda r: F.struct(F.struct(r.alias("data")).alias("response")))
+    return explode_rows(pages, "payload", ["response", "data"], _ROW, keep=["event_type"])
+
+
+@register("ingest_parallel_arrays", with_views("SELECT ts AS time, v FROM v_all", "v_all"), ["v"])
+def q_ingest_parallel_arrays(spark, sf):
+    """``{"hourly": {"time": [...], "v": [...]}}`` daily documents to hourly rows."""
+    a = V.v_all(spark, sf)
+    day = a.groupBy(F.to_date("ts").alias("day")).agg(F.sort_array(F.collect_list(F.struct("ts", "v"))).alias("s"))
+    doc = day.select(F.to_json(F.struct(F.struct(
+        F.transform("s", lambda x: x["ts"]).alias("time"),
+        F.transform("s", lambda x: x["v"]).alias("v")).alias("hourly")), _TSFMT).alias("payload"))
+    return parse_parallel(doc, "payload", "hourly", {"time": T.TimestampNTZType(), "v": T.DoubleType()})
+
+
+_CAL_SQL = """SELECT CAST(m AS DATE) AS month, last_day(m) AS month_end, strftime(m, '%Y_%m') AS month_label,
+  strftime(m, '%m-%d-%Y') || ' 00:00 to ' || strftime(last_day(m), '%m-%d-%Y') || ' 23:59' AS range_text
+FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS m
+      FROM ({bounds}))"""
+_ORD_BOUNDS = "SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders"
+
+
+@register("month_calendar", _CAL_SQL.format(bounds=_ORD_BOUNDS))
+def q_month_calendar(spark, sf):
+    """Months spanned by the orders, with first / last day and the feed's range text."""
+    b = V.orders(spark, sf).agg(F.to_date(F.min("o_orderdate")).alias("first"),
+                                F.to_date(F.max("o_orderdate")).alias("last"))
+    return month_calendar(b)
+
+
+_SPAN = """SELECT min(d) AS lo, max(d) AS hi FROM (
+  SELECT CAST(min(o_orderdate) AS DATE) AS d FROM orders UNION ALL SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)"""
+
+
+@register("missing_months", f"""SELECT c.* FROM ({_CAL_SQL.format(bounds=_SPAN)}) c
+WHERE c.month NOT IN (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)""")
+def q_missing_months(spark, sf):
+    """Months between the first order and the last shipment with no orders landed."""
+    o, li = V.orders(spark, sf), V.lineitem(spark, sf)
+    ends = union_all([o.agg(F.to_date(F.min("o_orderdate")).alias("d")),
+                      li.agg(F.to_date(F.max("l_shipdate")).alias("d"))])
+    cal = month_calendar(ends.agg(F.min("d").alias("first"), F.max("d").alias("last")))
+    landed = o.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month"))
+    return missing_months(cal, landed)
+
+
+@register("hourly_stream", """SELECT event_type, date_trunc('hour', ts) AS hour_start, avg(value) AS mean_value,
+  count(*) AS n FROM events GROUP BY 1, 2""", ["mean_value"])
+def q_hourly_stream(spark, sf):
+    """Structured Streaming: hourly mean per event type with a watermark, upserted per
+    micro-batch (runs once over the files available now)."""
+    schema = read_table(spark, f"{sf}/events.parquet").schema
+    return run_hourly_rollup(spark, sf, "events.parquet", schema, "ts", "value", ["event_type"])
