@@ -1 +1,240 @@
-"""Registered queries."""
+"""Registered fold, walk-forward, grid and model queries."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from daycast.functions.time import day_of_week0
+from daycast.operators.evaluate import forecast_errors, monthly_scorecard
+from daycast.operators.lags import exact_lags
+from daycast.operators.sets import union_all
+from daycast.plans import model as M
+from daycast.plans import views as V
+from daycast.plans.features import feature_table
+from daycast.plans.folds import cv_summary, fold_scores, fold_summary, periods, tag_periods, walk_forward_baseline
+from daycast.plans.oracle import with_views
+from daycast.plans.registry import register
+from daycast.session import ensure_checkpoint_dir
+
+MIN_TRAIN = 3
+_MONTHS = ("SELECT period, CAST(row_number() OVER (ORDER BY period) - 1 AS INTEGER) AS period_idx "
+           "FROM (SELECT DISTINCT strftime(ts, '%Y-%m') AS period FROM v_orders_daily)")
+_TAGGED = ("SELECT o.*, m.period, m.period_idx FROM v_orders_daily o "
+           "JOIN months m ON m.period = strftime(o.ts, '%Y-%m')")
+_FOLD_CTES = {"months": _MONTHS, "tagged": _TAGGED}
+
+
+def _tagged_orders(spark, sf):
+    return tag_periods(V.v_orders_daily(spark, sf), "ts", "month")
+
+
+def _wf_sql(group_expr: str = "dayofweek(ts)", transform: str = "asinh") -> str:
+    inner = "asinh(tr.y)" if transform == "asinh" else "tr.y"
+    outer = "sinh(avg({}))" if transform == "asinh" else "avg({})"
+    return (f"SELECT v.date, v.ts, v.period_idx AS fold, v.y AS actual, "
+            f"(SELECT {outer.format(inner)} FROM tagged tr WHERE tr.period_idx < v.period_idx "
+            f"AND {group_expr.replace('ts', 'tr.ts')} = {group_expr.replace('ts', 'v.ts')}) AS prediction "
+            f"FROM tagged v WHERE v.period_idx >= {MIN_TRAIN}")
+
+
+def _wf(spark, sf, group=True, transform="asinh", keep=("date",)):
+    g = day_of_week0("ts") if group else None
+    return walk_forward_baseline(_tagged_orders(spark, sf), "y", g, MIN_TRAIN, transform, keep=keep)
+
+
+@register("fold_months", with_views(_MONTHS, "v_orders_daily"))
+def q_fold_months(spark, sf):
+    """Distinct months of the daily series in order, with their index."""
+    return periods(V.v_orders_daily(spark, sf), "ts", "month")
+
+
+@register("fold_summary", with_views(
+    f"""SELECT m.period_idx AS fold, m.period AS val_period,
+  (SELECT count(*) FROM tagged t WHERE t.period_idx = m.period_idx) AS n_val_rows,
+  (SELECT count(*) FROM tagged t WHERE t.period_idx < m.period_idx) AS n_train_rows,
+  m.period_idx AS n_train_periods
+FROM months m WHERE m.period_idx >= {MIN_TRAIN}""", "v_orders_daily", extra=_FOLD_CTES))
+def q_fold_summary(spark, sf):
+    """Expanding monthly folds (at least 3 training months): sizes per fold."""
+    return fold_summary(_tagged_orders(spark, sf), MIN_TRAIN)
+
+
+_WF = _wf_sql()
+
+
+@register("walk_forward_baseline", with_views(f"SELECT date, fold, actual, prediction FROM ({_WF})",
+                                              "v_orders_daily", extra=_FOLD_CTES), {"actual": 2, "prediction": 2})
+def q_walk_forward_baseline(spark, sf):
+    """Out-of-fold predictions of the weekday seasonal mean (asinh space) per fold."""
+    return _wf(spark, sf)
+
+
+@register("walk_forward_scores", with_views(
+    f"SELECT fold, avg(abs(actual - prediction)) AS mae, count(*) AS n_rows, "
+    f"count(abs(actual - prediction)) AS n_scored FROM ({_WF}) GROUP BY fold",
+    "v_orders_daily", extra=_FOLD_CTES), {"mae": 2})
+def q_walk_forward_scores(spark, sf):
+    return fold_scores(_wf(spark, sf))
+
+
+@register("cv_summary", with_views(
+    f"""SELECT avg(mae) AS cv_mae, count(*) AS n_folds, sum(mae * n_scored) / sum(n_scored) AS pooled_mae FROM (
+  SELECT fold, avg(abs(actual - prediction)) AS mae, count(abs(actual - prediction)) AS n_scored
+  FROM ({_WF}) GROUP BY fold)""", "v_orders_daily", extra=_FOLD_CTES), {"cv_mae": 2, "pooled_mae": 2})
+def q_cv_summary(spark, sf):
+    """Mean of per-fold MAEs (the grid-search score) next to the pooled MAE."""
+    return cv_summary(_wf(spark, sf))
+
+
+@register("monthly_scorecard_orders", with_views(
+    f"""SELECT period, model_mae, bench_mae, win_rate, num_hours, model_mae - bench_mae AS gap FROM (
+  SELECT strftime(ts, '%Y-%m') AS period, avg(model_abs_diff) AS model_mae, avg(bench_abs_diff) AS bench_mae,
+    avg(CAST(model_win AS DOUBLE)) AS win_rate, count(model_win) AS num_hours
+  FROM (SELECT wf.*, abs(actual - prediction) AS model_abs_diff, abs(actual - l.y) AS bench_abs_diff,
+          coalesce(abs(actual - prediction) < abs(actual - l.y), false) AS model_win
+        FROM ({_WF}) wf LEFT JOIN v_orders_daily l ON l.ts = wf.ts - INTERVAL 7 DAY)
+  GROUP BY 1)""", "v_orders_daily", extra=_FOLD_CTES), {"model_mae": 2, "bench_mae": 2, "win_rate": 6, "gap": 2})
+def q_monthly_scorecard_orders(spark, sf):
+    """Monthly scorecard of walk-forward predictions against a same-weekday-last-week
+    benchmark."""
+    wf = _wf(spark, sf, keep=("date", "ts"))
+    od = V.v_orders_daily(spark, sf)
+    bench = exact_lags(od.select("ts", "y"), "ts", ["y"], [7]).select("ts", F.col("y_lag7").alias("bench"))
+    e = forecast_errors(wf.join(bench, on="ts", how="left"), "actual", "prediction", bench="bench",
+                        bench_err="bench_abs_diff")
+    return monthly_scorecard(e, "ts", period="month", bench_err="bench_abs_diff")
+
+
+def _values(name: str, values, typ: str | None = None) -> str:
+    rows = ", ".join(f"({i}, {('CAST(' + repr(v) + f' AS {typ})') if typ else repr(v)})" for i, v in enumerate(values))
+    return f"(VALUES {rows}) {name}(i, x)"
+
+
+def _alpha_sql(a) -> str:
+    return "CAST(NULL AS DOUBLE)" if a is None else f"CAST({a} AS DOUBLE)"
+
+
+def _grid_sql() -> str:
+    base = M.BOOSTED_LEAVES_GRID
+    rels, radix, cols = [], "0", []
+    for k, vals in base.items():
+        typ = "DOUBLE" if any(isinstance(v, float) for v in vals) else None
+        rels.append(_values(f"g_{k}", vals, typ))
+        radix = f"({radix}) * {len(vals)} + g_{k}.i"
+        cols.append(f"g_{k}.x AS {k}")
+    var_rows = ", ".join(
+        f"({i}, '{v['objective']}', {_alpha_sql(v['alpha'])})"
+        for i, v in enumerate(M.BOOSTED_LEAVES_VARIANTS))
+    rels.append(f"(VALUES {var_rows}) g_v(i, objective, alpha)")
+    n_var = len(M.BOOSTED_LEAVES_VARIANTS)
+    folds = f"(SELECT unnest(generate_series({MIN_TRAIN}, (SELECT count(*) FROM months) - 1)) AS fold) f"
+    return (f"SELECT CAST(({radix}) * {n_var} + g_v.i AS INTEGER) AS combo_id, {', '.join(cols)}, "
+            f"g_v.objective, g_v.alpha, CAST(f.fold AS INTEGER) AS fold FROM {', '.join(rels)}, {folds}")
+
+
+@register("param_grid", with_views(_grid_sql(), "v_orders_daily", extra={"months": _MONTHS}), ["learning_rate", "alpha"])
+def q_param_grid(spark, sf):
+    """The 720-combination grid crossed with the folds the data supports: the task
+    list of a walk-forward grid search (one row per fit)."""
+    anchor = periods(V.v_orders_daily(spark, sf), "ts", "month").agg(F.count(F.lit(1)).alias("__n"))
+    g = M.grid_frame(anchor, M.BOOSTED_LEAVES_GRID, M.BOOSTED_LEAVES_VARIANTS)
+    g = g.withColumn("fold", F.explode(F.sequence(F.lit(MIN_TRAIN), (F.col("__n") - 1).cast("int"))))
+    return g.withColumn("fold", F.col("fold").cast("int")).drop("__n")
+
+
+_BASELINE_GRID = [(True, "asinh"), (True, "raw"), (False, "asinh"), (False, "raw")]
+
+
+def _best_sql() -> str:
+    parts = []
+    for cid, (grouped, tr) in enumerate(_BASELINE_GRID):
+        g = "dayofweek(ts)" if grouped else "0"
+        parts.append(f"SELECT {cid} AS combo_id, fold, avg(abs(actual - prediction)) AS mae "
+                     f"FROM ({_wf_sql(g, tr)}) GROUP BY fold")
+    return (f"SELECT combo_id, avg(mae) AS cv_mae, count(*) AS n_folds FROM ({' UNION ALL '.join(parts)}) "
+            f"GROUP BY combo_id ORDER BY cv_mae, combo_id LIMIT 1")
+
+
+@register("best_params", with_views(_best_sql(), "v_orders_daily", extra=_FOLD_CTES), {"cv_mae": 2})
+def q_best_params(spark, sf):
+    """Walk-forward search over baseline settings (weekday grouping x target
+    transform); the first combination with the lowest mean fold MAE."""
+    scores = []
+    for cid, (grouped, tr) in enumerate(_BASELINE_GRID):
+        s = fold_scores(_wf(spark, sf, grouped, tr)).select(F.lit(cid).alias("combo_id"), "fold", "mae")
+        scores.append(s)
+    return M.best_params(union_all(scores))
+
+
+# ------------------------------------------------------------------ boosted trees (rows-only checks)
+def _weekly_features(spark, sf):
+    ft = feature_table(V.v_all(spark, sf), "ts", "v", {"v": "v"})
+    tagged = tag_periods(ft, "ts", "week")
+    feats = [c for c in ft.columns if c not in ("ts", "v")]
+    n = tagged.select("period_idx").distinct().count()
+    return tagged, feats, list(range(2, n))
+
+
+_SMALL_GRID = M.grid_dicts({"n_estimators": [5, 10], "max_depth": [3]}, [{"objective": "mae"}])
+
+
+@register("grid_search_small")
+def q_grid_search_small(spark, sf):
+    """GBT grid search over weekly expanding folds: (combo_id, fold, mae, n_val)."""
+    tagged, feats, folds = _weekly_features(spark, sf)
+    return M.grid_search(tagged, feats, "v", _SMALL_GRID, folds, parallelism=2)
+
+
+@register("walk_forward_gbt")
+def q_walk_forward_gbt(spark, sf):
+    """Out-of-fold GBT predictions (ts, fold, actual, prediction) for one setting."""
+    tagged, feats, folds = _weekly_features(spark, sf)
+    return M.walk_forward(tagged, feats, "v", _SMALL_GRID[0], folds, "ts", parallelism=2, bound=10)
+
+
+def _final(spark, sf):
+    ft = feature_table(V.v_all(spark, sf), "ts", "v", {"v": "v"})
+    feats = [c for c in ft.columns if c not in ("ts", "v")]
+    return ft, feats, M.fit_final(ft, feats, "v", _SMALL_GRID[0])
+
+
+@register("final_fit")
+def q_final_fit(spark, sf):
+    """Fit on all rows; training MAE in raw units."""
+    ft, feats, model = _final(spark, sf)
+    return M.train_mae(model, ft, "v")
+
+
+@register("importances")
+def q_importances(spark, sf):
+    ft, feats, model = _final(spark, sf)
+    return M.importances(spark, model, feats, 30)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Save the model with its metadata, load both back and re-score the training rows."""
+    ft, feats, model = _final(spark, sf)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    score = M.train_mae(model, ft, "v").first()["train_mae"]
+    M.save_model(model, {"feature_cols": feats, "best_params": _SMALL_GRID[0], "target_transform": "asinh",
+                         "inverse_transform": "sinh", "train_mae": score}, path)
+    loaded, meta = M.load_model(spark, path)
+    again = M.train_mae(loaded, ft, "v").first()["train_mae"]
+    return meta.withColumn("reloaded_train_mae", F.lit(again)).withColumn(
+        "same_score", F.lit(abs(again - score) < 1e-9))
+
+
+@register("weighted_fit")
+def q_weighted_fit(spark, sf):
+    """Sample weights growing with the target's magnitude, and early stopping on the
+    last period as the validation set."""
+    tagged, feats, folds = _weekly_features(spark, sf)
+    last = max(folds) if folds else 0
+    data = tagged.withColumn("w", F.abs(F.col("v")) / 100 + 1).withColumn("is_val", F.col("period_idx") == last)
+    model = M.fit_final(data, feats, "v", {"n_estimators": 20, "max_depth": 3, "objective": "mae"},
+                        weight_col="w", validation_col="is_val")
+    return M.train_mae(model, data, "v")
