@@ -1,8 +1,10 @@
 """Named queries over the test tables, each paired with an independent DuckDB oracle.
 
 ``register`` records (spark function, oracle SQL, rounded columns). Doubles listed in
-``rnd`` are rounded on both sides (6 places; money sums 2) so plan-order float noise
-cannot flip a comparison.
+``rnd`` are rounded on both sides (6 places; money sums 2). Averages of 2-decimal
+inputs often sit exactly on a rounding tie, where summation-order noise (1e-14) would
+decide the direction; both sides therefore add 10^-(d+4) away from zero before
+rounding, which is far below the rounding unit and far above float noise.
 """
 
 from __future__ import annotations
@@ -16,14 +18,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
+def _round_col(c: str, d: int):
+    return F.round(F.col(c) + F.signum(F.col(c)) * F.lit(10.0 ** -(d + 4)), d)
+
+
 def _round_df(df: DataFrame, rnd: dict[str, int]) -> DataFrame:
-    return df.select(*[F.round(F.col(c), rnd[c]).alias(c) if c in rnd else F.col(c) for c in df.columns])
+    return df.select(*[_round_col(c, rnd[c]).alias(c) if c in rnd else F.col(c) for c in df.columns])
 
 
 def _round_sql(sql: str, rnd: dict[str, int]) -> str:
     if not rnd:
         return sql
-    rep = ", ".join(f"round({c}, {d}) AS {c}" for c, d in rnd.items())
+    rep = ", ".join(f"round({c} + sign({c}) * {10.0 ** -(d + 4)!r}, {d}) AS {c}" for c, d in rnd.items())
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"
 
 

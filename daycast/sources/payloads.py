@@ -27,7 +27,7 @@ def explode_rows(df: DataFrame, payload: str, path: Sequence[str], row: T.Struct
     arr: Column = parsed
     for name in path:
         arr = arr.getField(name)
-    return df.select(*keep, F.inline_outer(arr))
+    return df.select(*keep, F.inline(arr))
 
 
 def zip_arrays(df: DataFrame, struct_col: str | Column, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def zip_arrays(df: DataFrame, struct_col: str | Column, fields: Sequence[str], k
     position, columns named after the fields."""
     s = F.col(struct_col) if isinstance(struct_col, str) else struct_col
     zipped = F.arrays_zip(*[s.getField(f).alias(f) for f in fields])
-    return df.select(*keep, F.inline_outer(zipped))
+    return df.select(*keep, F.inline(zipped))
 
 
 def parse_parallel(df: DataFrame, payload: str, key: str, fields: dict[str, T.DataType],

@@ -18,17 +18,20 @@ from pyspark.sql import types as T
 
 from daycast.session import ensure_checkpoint_dir
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def to_event_time(ntz) -> Column:
     c = F.col(ntz) if isinstance(ntz, str) else ntz
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH, c))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
 
 
 def from_event_time(ltz) -> Column:
     c = F.col(ltz) if isinstance(ltz, str) else ltz
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
 
 
 def hourly_rollup(stream: DataFrame, ts: str, value: str, series_keys: Sequence[str] = (),
