@@ -21,12 +21,28 @@ from pyspark.sql import functions as F
 _BUCKET = "__bucket"
 
 
-def forward_fill(df: DataFrame, ts: str, cols: Sequence[str], series_keys: Sequence[str] = ()) -> DataFrame:
+def _bucket(ts: str, bucket: str):
+    c = F.col(ts)
+    day = F.unix_date(F.to_date(c)).cast("long")
+    if bucket == "day":
+        return day
+    if bucket == "hour":
+        return day * 24 + F.hour(c)
+    if bucket == "month":
+        return (F.year(c) * 12 + F.month(c)).cast("long")
+    raise ValueError(bucket)
+
+
+def forward_fill(df: DataFrame, ts: str, cols: Sequence[str], series_keys: Sequence[str] = (),
+                 bucket: str = "day") -> DataFrame:
     """Replace NULLs in ``cols`` by the last non-null value at or before the row's
     timestamp in the same series (peers with equal timestamps see each other, as with
-    the SQL default RANGE frame). Leading NULLs stay NULL."""
+    the SQL default RANGE frame). Leading NULLs stay NULL.
+
+    ``bucket`` sets the first-level group: 'day' bounds a group of an hourly series at
+    25 rows; use 'hour' for sub-hourly readings, 'month' for daily series."""
     keys = list(series_keys)
-    base = df.withColumn(_BUCKET, F.unix_date(F.to_date(F.col(ts))))
+    base = df.withColumn(_BUCKET, _bucket(ts, bucket))
     within = Window.partitionBy(*keys, _BUCKET).orderBy(F.col(ts))
     filled = base.select(
         *[c for c in base.columns if c not in cols],
@@ -54,13 +70,16 @@ def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, v
     propagate, the same as joining by date first and forward-filling over base rows.
 
     Work is done on one row per distinct date: base dates are reduced by an aggregate,
-    the daily table is joined to them, filled with ``forward_fill`` and joined back.
+    the daily table is joined to them, filled with ``forward_fill`` and attached back.
+    That per-date table has one row per calendar date of the base (about 3,650 per
+    decade), so it is broadcast: joining the big base on the date alone would shuffle
+    every row of a busy date to one task.
     """
     dates = base.select(F.to_date(F.col(ts)).alias(date_col)).distinct()
     per_date = dates.join(daily.select(date_col, *value_cols), on=date_col, how="left")
     per_date = forward_fill(per_date.withColumn("__d_ts", F.col(date_col).cast("timestamp_ntz")),
-                            "__d_ts", value_cols).drop("__d_ts")
+                            "__d_ts", value_cols, bucket="month").drop("__d_ts")
     other = [c for c in base.columns if c not in value_cols]
     out = base.select(*other).withColumn("__date", F.to_date(F.col(ts)))
-    out = out.join(per_date.withColumnRenamed(date_col, "__date"), on="__date", how="left").drop("__date")
-    return out
+    out = out.join(F.broadcast(per_date.withColumnRenamed(date_col, "__date")), on="__date", how="left")
+    return out.drop("__date")

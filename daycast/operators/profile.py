@@ -34,26 +34,32 @@ def coverage(df: DataFrame, ts: str, series_keys: Sequence[str] = ()) -> DataFra
 
 def describe_columns(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Transposed summary (one row per column): count, mean, sample std, min, 25/50/75%
-    (linear interpolation between closest ranks) and max, NULLs skipped. One pass:
-    every statistic of every column is an aggregate of the same scan. ``approx`` swaps
-    the exact percentile (memory grows with distinct values) for a bounded sketch."""
+    (linear interpolation between closest ranks, as pandas / quantile_cont) and max,
+    NULLs skipped. count / mean / std / min / max are one aggregation of one scan. The
+    quartiles are exact via ``exact_quantiles`` (a few distributed bucket-count passes;
+    no task ever holds a column's values), or a bounded sketch with ``approx``."""
+    from daycast.operators.quantiles import exact_quantiles
+
     qs = [0.25, 0.5, 0.75]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, qs, accuracy) if approx else F.percentile(x, qs)
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"),
-        ).alias(f"s{i}"))
-    wide = df.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s"))
-    return long.select(
-        F.col("s.column").alias("column"), F.col("s.count").alias("count"), F.col("s.mean").alias("mean"),
-        F.col("s.std").alias("std"), F.col("s.min").alias("min"),
-        F.col("s.q")[0].alias("q25"), F.col("s.q")[1].alias("q50"), F.col("s.q")[2].alias("q75"),
-        F.col("s.max").alias("max"),
-    )
+        parts = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                 F.min(x).alias("min"), F.max(x).alias("max")]
+        if approx:
+            parts.append(F.percentile_approx(x, qs, accuracy).alias("q"))
+        aggs.append(F.struct(*parts).alias(f"s{i}"))
+    row = df.agg(*aggs).first()  # one row of per-column statistics
+    stats = {c: row[f"s{i}"] for i, c in enumerate(cols)}
+    if approx:
+        quart = {(c, q): (stats[c]["q"][j] if stats[c]["q"] else None) for c in cols for j, q in enumerate(qs)}
+    else:
+        quart = exact_quantiles(df, cols, qs, stats={c: (s["count"], s["min"], s["max"]) for c, s in stats.items()})
+    rows = [(c, stats[c]["count"], stats[c]["mean"], stats[c]["std"], stats[c]["min"],
+             *[None if quart[(c, q)] is None else float(quart[(c, q)]) for q in qs], stats[c]["max"]) for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, mean double, std double, min double, q25 double, q50 double, "
+              "q75 double, max double")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:

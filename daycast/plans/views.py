@@ -79,9 +79,10 @@ def v_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category shares per hour minus 0.05 (so some are negative)."""
+    from pyspark.sql import Window
     h = v_hourly(spark, sf_dir)
-    tot = h.groupBy("ts").agg(F.sum("v").alias("tot"))
-    return h.join(tot, "ts").select("ts", "event_type", (F.col("v") / F.col("tot") - 0.05).alias("share"))
+    tot = F.sum("v").over(Window.partitionBy("ts"))
+    return h.select("ts", "event_type", (F.col("v") / tot - 0.05).alias("share"))
 
 
 def v_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

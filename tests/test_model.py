@@ -74,3 +74,16 @@ def test_small_gbt_walk_forward(spark):
     assert pred.count() == tagged.filter(F.col("period_idx").isin(3, 4)).count()
     scores = M.grid_search(tagged, ["dow", "m"], "y", [params], [3], parallelism=1)
     assert scores.count() == 1 and scores.first().mae > 0
+
+
+def test_exact_quantiles_equal_numpy_including_ties(spark):
+    from daycast.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(1)
+    a = np.round(rng.normal(50, 20, 5000), 1)          # many ties
+    b = np.concatenate([np.full(3000, 7.0), rng.uniform(0, 1e6, 200)])  # one hot value
+    pdf = pd.DataFrame({"a": a, "b": np.resize(b, 5000)})
+    df = spark.createDataFrame(pdf)
+    got = exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.75, 1.0], buckets=16, max_leaf=50)
+    for c in ["a", "b"]:
+        for p in [0.0, 0.25, 0.5, 0.75, 1.0]:
+            assert math.isclose(got[(c, p)], float(np.quantile(pdf[c], p)), rel_tol=1e-12, abs_tol=1e-12), (c, p)
