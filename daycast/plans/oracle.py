@@ -115,3 +115,66 @@ def rolling_sql(base: str, keys: list[str], ts: str, col: str, first: int = 2, l
     grp = ", ".join(keys + [ts])
     return (f"SELECT {grp}, avg(hist_value) AS rolling_mean, stddev_samp(hist_value) AS rolling_stddev "
             f"FROM ({' UNION ALL '.join(branches)}) GROUP BY {grp}")
+
+
+def training_sql(prices: str, load: str, weather: str, gas: str, fuel: str) -> str:
+    """The training table written as a SQL user would: a CTE per feed, left joins, a
+    window forward fill of gas, null filter, QUALIFY de-duplication, one self-join per
+    lag offset and a UNION ALL of seven self-joins for the rolling statistics."""
+    from daycast import schemas as S
+    from daycast.plans.features import REFERENCE_LAG_STEMS, reference_lag_name
+
+    lag_sel = []
+    for stem, src in REFERENCE_LAG_STEMS.items():
+        for off in (2, 4, 8):
+            a = f"l{off}"
+            expr = f"{a}.{src[0]} - {a}.{src[1]}" if isinstance(src, tuple) else f"{a}.{src}"
+            lag_sel.append(f"{expr} AS {reference_lag_name(stem, off)}")
+    fuel_sel = ", ".join(f"max(CASE WHEN fuel_type = '{f}' THEN fuel_percentage_of_total ELSE 0 END) AS "
+                         f"{S.fuel_column(f)}" for f in S.FUEL_TYPES)
+    weather_sel = ", ".join(
+        f"CASE WHEN hour(t) < 10 THEN {v}_previous_day1 ELSE {v}_previous_day2 END AS {v}_selected"
+        for v in S.WEATHER_VARS)
+    d1 = " AND ".join(f"{v}_previous_day1 IS NOT NULL" for v in S.WEATHER_VARS)
+    d2 = " AND ".join(f"{v}_previous_day2 IS NOT NULL" for v in S.WEATHER_VARS)
+    rolling = " UNION ALL ".join(
+        f"SELECT b.datetime_ept, h.total_lmp_rt AS x FROM jf2 b JOIN jf2 h "
+        f"ON h.datetime_ept = b.datetime_ept - INTERVAL {k} DAY" for k in range(2, 9))
+    price_cols = ", ".join([*S.PRICE_RT, *S.PRICE_DA])
+    return f"""
+WITH p AS (SELECT CAST(datetime_beginning_ept AS TIMESTAMP) AS datetime_ept, {price_cols} FROM {prices}),
+l AS (SELECT datetime_ept, forecast_load_mw FROM (
+        SELECT CAST(forecast_hour_beginning_ept AS TIMESTAMP) AS datetime_ept, forecast_load_mw,
+               row_number() OVER (PARTITION BY forecast_hour_beginning_ept
+                                  ORDER BY CAST(evaluated_at_ept AS TIMESTAMP) DESC, forecast_load_mw DESC) AS rn
+        FROM {load}
+        WHERE CAST(evaluated_at_ept AS TIMESTAMP) <=
+              CAST(CAST(forecast_hour_beginning_ept AS TIMESTAMP) AS DATE) - INTERVAL 1 DAY + INTERVAL 10 HOUR)
+      WHERE rn = 1),
+w AS (SELECT t AS datetime_ept, {weather_sel} FROM (SELECT CAST(time AS TIMESTAMP) AS t, * FROM {weather})
+      WHERE (hour(t) < 10 AND {d1}) OR (hour(t) >= 10 AND {d2})),
+g AS (SELECT CAST(period AS DATE) AS gas_date, CAST(value AS DOUBLE) AS gas_price FROM {gas}),
+f AS (SELECT CAST(datetime_beginning_ept AS TIMESTAMP) AS datetime_ept, {fuel_sel} FROM {fuel} GROUP BY 1),
+j AS (SELECT p.*, l.forecast_load_mw, w.* EXCLUDE (datetime_ept), g.gas_price, f.* EXCLUDE (datetime_ept)
+      FROM p LEFT JOIN l USING (datetime_ept) LEFT JOIN w USING (datetime_ept)
+      LEFT JOIN g ON CAST(p.datetime_ept AS DATE) = g.gas_date LEFT JOIN f USING (datetime_ept)),
+jf AS (SELECT * REPLACE (last_value(gas_price IGNORE NULLS) OVER (ORDER BY datetime_ept) AS gas_price) FROM j),
+jf2 AS (SELECT * FROM jf WHERE forecast_load_mw IS NOT NULL AND temperature_2m_selected IS NOT NULL
+          AND coal_percentage IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY datetime_ept ORDER BY {price_cols}) = 1),
+yrs AS (SELECT DISTINCT year(datetime_ept) AS year FROM jf2),
+hol AS ({holiday_sql("yrs")}),
+r AS (SELECT datetime_ept, avg(x) AS rolling_rt_mean, stddev_samp(x) AS rolling_rt_stddev FROM ({rolling}) GROUP BY 1)
+SELECT * FROM (
+  SELECT b.datetime_ept, CAST(month(b.datetime_ept) AS INTEGER) AS month,
+    CAST(dayofweek(b.datetime_ept) AS INTEGER) AS day_of_week, CAST(hour(b.datetime_ept) AS INTEGER) AS hour_of_day,
+    CASE WHEN dayofweek(b.datetime_ept) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+    CASE WHEN CAST(b.datetime_ept AS DATE) IN (SELECT holiday_date FROM hol) THEN 1 ELSE 0 END AS is_holiday,
+    b.temperature_2m_selected, b.wind_speed_10m_selected, b.cloud_cover_selected, b.forecast_load_mw,
+    {", ".join(lag_sel)}, r.rolling_rt_mean, r.rolling_rt_stddev, b.total_lmp_rt
+  FROM jf2 b
+  LEFT JOIN jf2 l2 ON l2.datetime_ept = b.datetime_ept - INTERVAL 2 DAY
+  LEFT JOIN jf2 l4 ON l4.datetime_ept = b.datetime_ept - INTERVAL 4 DAY
+  LEFT JOIN jf2 l8 ON l8.datetime_ept = b.datetime_ept - INTERVAL 8 DAY
+  LEFT JOIN r ON r.datetime_ept = b.datetime_ept)
+WHERE COLUMNS(* EXCLUDE (datetime_ept)) IS NOT NULL"""

@@ -60,4 +60,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from daycast.plans import q_features, q_evaluate, q_profile, q_sources, q_model  # noqa: F401
+    from daycast.plans import q_features, q_evaluate, q_profile, q_sources, q_model, q_training  # noqa: F401
