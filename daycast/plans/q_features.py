@@ -264,3 +264,28 @@ FROM v_orders_daily o""", "v_orders_daily", extra={**_OD_YEARS, "hol": holiday_s
 def q_holiday_flag(spark, sf):
     od = V.v_orders_daily(spark, sf).select("date", "y", "ts")
     return holiday_flag(od, "ts", holidays_for(od, "ts")).select("date", "y", "is_holiday")
+
+
+# ---------------------------------------------------------------- unify feeds
+@register("unify_feeds", """SELECT date_trunc('hour', ts) AS datetime_ept, 'DOM' AS area, value AS price,
+  event_id AS record_id, 'rt_feed' AS source FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT date_trunc('hour', ts), 'DOM', value * 2, event_id, 'da_feed' FROM events WHERE event_type = 'view'""",
+          ["price"])
+def q_unify_feeds(spark, sf):
+    """Two feeds with different field names and area codes mapped onto one schema."""
+    from daycast.functions.time import hour_floor
+    from daycast.operators.unify import unify_feeds
+    e = V.events(spark, sf)
+    a = e.filter(F.col("event_type") == "click").select(
+        F.col("ts").alias("datetime_beginning_ept"), F.lit("DOM").alias("zone"), F.col("value").alias("lmp"),
+        F.col("event_id").alias("id"))
+    b = e.filter(F.col("event_type") == "view").select(
+        F.col("ts").alias("interval_start"), F.lit("DOMINION").alias("area_code"),
+        (F.col("value") * 2).alias("price_usd"), F.col("event_id").alias("row_id"))
+    return unify_feeds([
+        (a, {"datetime_ept": hour_floor("datetime_beginning_ept"), "area": "zone", "price": "lmp",
+             "record_id": "id"}, "rt_feed"),
+        (b, {"datetime_ept": hour_floor("interval_start"), "area": "area_code", "price": "price_usd",
+             "record_id": "row_id"}, "da_feed"),
+    ], code_col="area", code_map={"DOMINION": "DOM"})

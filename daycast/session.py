@@ -58,3 +58,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def persist_stage(df: DataFrame) -> DataFrame:
+    """Keep a stage that is audited (counted, profiled) and then reused, so the audit
+    does not recompute it. Spilled blocks survive memory pressure; blocks lost with an
+    executor are recomputed from lineage. For long lineages use ``cut_lineage``."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
