@@ -56,6 +56,15 @@ def latest_before_cutoff(df: DataFrame, target: str, issued: str, series_keys: S
     return _pick(kept, keys, order, largest=True)
 
 
+def latest_before_cutoff_ranked(df: DataFrame, target: str, issued: str, series_keys: Sequence[str] = (),
+                                tiebreak: Sequence[str] = (), days_before: int = 1, hour: int = 10) -> DataFrame:
+    """``row_number() = 1`` formulation (no map-side combine), kept for comparison."""
+    from pyspark.sql import Window
+    kept = issued_before(df, target, issued, days_before, hour)
+    w = Window.partitionBy(*series_keys, target).orderBy(F.col(issued).desc(), *[F.col(c).desc() for c in tiebreak])
+    return kept.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+
+
 def latest_version(df: DataFrame, keys: Sequence[str], version: str, current_flag: str | None = None) -> DataFrame:
     """Current version of a re-published record: the highest version, optionally only
     among rows flagged current."""

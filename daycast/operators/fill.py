@@ -63,7 +63,8 @@ def forward_fill(df: DataFrame, ts: str, cols: Sequence[str], series_keys: Seque
     )
 
 
-def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, value_cols: Sequence[str]) -> DataFrame:
+def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, value_cols: Sequence[str],
+                    max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Attach a sparse daily series (no weekends or holidays) to hourly rows, each row
     taking the value of the latest date at or before its own date that has both a
     value and at least one base row. Dates with a value but no base rows never
@@ -72,8 +73,9 @@ def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, v
     Work is done on one row per distinct date: base dates are reduced by an aggregate,
     the daily table is joined to them, filled with ``forward_fill`` and attached back.
     That per-date table has one row per calendar date of the base (about 3,650 per
-    decade), so it is broadcast: joining the big base on the date alone would shuffle
-    every row of a busy date to one task.
+    decade). It is checkpointed, counted and broadcast when within ``max_broadcast_rows``:
+    joining the big base on the date alone would shuffle every row of a busy date to one
+    task. Beyond the bound it falls back to a shuffle join.
     """
     dates = base.select(F.to_date(F.col(ts)).alias(date_col)).distinct()
     per_date = dates.join(daily.select(date_col, *value_cols), on=date_col, how="left")
@@ -81,5 +83,7 @@ def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, v
                             "__d_ts", value_cols, bucket="month").drop("__d_ts")
     other = [c for c in base.columns if c not in value_cols]
     out = base.select(*other).withColumn("__date", F.to_date(F.col(ts)))
-    out = out.join(F.broadcast(per_date.withColumnRenamed(date_col, "__date")), on="__date", how="left")
+    from daycast.operators.joins import bounded_broadcast
+    side, _ = bounded_broadcast(per_date.withColumnRenamed(date_col, "__date"), max_broadcast_rows)
+    out = out.join(side, on="__date", how="left")
     return out.drop("__date")

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from daycast.operators.dedupe import dedupe_hours
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame, int]:
+    """Materialise a side that should be small once (reliable checkpoint into the
+    shared checkpoint folder), count it, and mark it for broadcast only when it holds
+    at most ``max_rows`` rows; beyond that it is returned as is for a shuffle join."""
+    from daycast.session import cut_lineage
+    small = cut_lineage(df)
+    n = small.count()
+    return (F.broadcast(small) if n <= max_rows else small), n
+
+
 def join_sources(base: DataFrame, sources: Sequence[tuple[DataFrame, object]]) -> DataFrame:
     """Left-join each source onto the base. Each entry is (df, on) where ``on`` is a
     column name / list of names shared by both sides, or (base expression, source

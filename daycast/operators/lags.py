@@ -94,6 +94,23 @@ def seasonal_rolling(df: DataFrame, ts: str, col: str, first_day: int = 2, last_
     return df.select("*", *rolling_exprs(ts, col, first_day, last_day, series_keys, mean_name, std_name))
 
 
+def seasonal_rolling_join(df: DataFrame, ts: str, col: str, first_day: int = 2, last_day: int = 8,
+                          series_keys: Sequence[str] = (), mean_name: str = "rolling_mean",
+                          std_name: str = "rolling_stddev") -> DataFrame:
+    """UNION ALL of one inner self-join per offset, GROUP BY, left join back: the
+    table-per-stage formulation, kept for equivalence tests and bench comparison."""
+    from daycast.operators.sets import union_all
+    parts = []
+    for k in range(first_day, last_day + 1):
+        hist = df.select(*[F.col(c).alias(f"__k_{c}") for c in series_keys],
+                         shift_days(ts, k).alias("__at"), F.col(col).alias("__hv"))
+        cond = [F.col(ts) == F.col("__at")] + [F.col(c) == F.col(f"__k_{c}") for c in series_keys]
+        parts.append(df.select(*series_keys, ts).join(hist, on=cond, how="inner").select(*series_keys, ts, "__hv"))
+    agg = union_all(parts).groupBy(*series_keys, ts).agg(F.avg("__hv").alias(mean_name),
+                                                          F.stddev_samp("__hv").alias(std_name))
+    return df.join(agg, on=[*series_keys, ts], how="left")
+
+
 def offset_rows(df: DataFrame, ts: str, col: str, first_day: int = 2, last_day: int = 8,
                 series_keys: Sequence[str] = ()) -> DataFrame:
     """Long form of the rolling input: one row per (series, ts, offset) whose same-hour

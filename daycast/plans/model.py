@@ -134,6 +134,14 @@ def with_label(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn("label", F.asinh(F.col(target)))
 
 
+def fit_frame(df: DataFrame, target: str) -> DataFrame:
+    """The frame every fit reads: labelled, spread over one partition per core of the
+    cluster (each boosting iteration is a job over all partitions, so hundreds of tiny
+    shuffle partitions would cost more than the work) and persisted."""
+    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return with_label(df, target).repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def predict_raw(model: PipelineModel, df: DataFrame, bound: float | None = None) -> DataFrame:
     """Model output mapped back to raw units (optionally clipped before ``sinh``)."""
     return model.transform(df).withColumn("prediction", sinh_inverse("__pred_t", bound)).drop("__pred_t")
@@ -152,7 +160,7 @@ def grid_search(tagged: DataFrame, features: Sequence[str], target: str, grid: S
     """Fit every (combination, fold) and score it by validation MAE in raw units.
     Returns (combo_id, fold, mae, n_val) as a DataFrame; rank with ``best_params``."""
     spark = tagged.sparkSession
-    data = with_label(tagged, target).persist(StorageLevel.MEMORY_AND_DISK)
+    data = fit_frame(tagged, target)
     tasks = [(i, p, f) for i, p in enumerate(grid) for f in folds]
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -174,7 +182,7 @@ def walk_forward(tagged: DataFrame, features: Sequence[str], target: str, params
     """Out-of-fold predictions (ts, fold, actual, prediction) of one parameter set,
     fold frames concatenated with unionByName."""
     from daycast.operators.sets import union_all
-    data = with_label(tagged, target).persist(StorageLevel.MEMORY_AND_DISK)
+    data = fit_frame(tagged, target)
 
     def one(fold):
         train, val = fold_split(data, fold)
@@ -188,7 +196,11 @@ def walk_forward(tagged: DataFrame, features: Sequence[str], target: str, params
 
 
 def fit_final(df: DataFrame, features: Sequence[str], target: str, params: Mapping, **kw) -> PipelineModel:
-    return pipeline_for(features, params, **kw).fit(with_label(df, target))
+    data = fit_frame(df, target)
+    try:
+        return pipeline_for(features, params, **kw).fit(data)
+    finally:
+        data.unpersist()
 
 
 def train_mae(model: PipelineModel, df: DataFrame, target: str, bound: float | None = None) -> DataFrame:

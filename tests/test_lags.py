@@ -87,3 +87,14 @@ def test_lags_and_rolling_share_one_exchange_and_no_single_partition(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_rolling_window_equals_union_of_self_joins(spark):
+    from daycast.operators.lags import seasonal_rolling_join
+    rnd = random.Random(9)
+    rows = [(k, f"2024-02-{day:02d} {h:02d}:00:00", round(rnd.uniform(-50, 500), 2))
+            for k in ["a", "b"] for day in range(1, 25) for h in range(0, 24, 4) if rnd.random() < 0.7]
+    df = _series(spark, rows)
+    r = lambda x: x.select("k", "t", F.round("rolling_mean", 9).alias("m"), F.round("rolling_stddev", 9).alias("s"))
+    a, b = r(seasonal_rolling(df, "t", "v", 2, 8, ["k"])), r(seasonal_rolling_join(df, "t", "v", 2, 8, ["k"]))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -71,3 +71,10 @@ def test_pivot_negative_share_clamped_only_with_company(spark):
     out = {r.t: r for r in pivot_share(df, ["t"], "k", "s", ["Coal", "Storage", "Wind"]).collect()}
     assert (out["t1"].Coal, out["t1"].Storage, out["t1"].Wind) == (0.5, 0.0, 0.0)
     assert out["t2"].Storage == -0.2 and out["t2"].Coal == 0.0
+
+
+def test_max_by_form_equals_row_number_form(spark):
+    from daycast.operators.dedupe import latest_before_cutoff_ranked
+    a = latest_before_cutoff(_versions(spark), "target", "issued", tiebreak=["vid"])
+    b = latest_before_cutoff_ranked(_versions(spark), "target", "issued", tiebreak=["vid"]).select(*a.columns)
+    assert sorted(a.collect()) == sorted(b.collect())
