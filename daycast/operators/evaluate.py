@@ -81,4 +81,4 @@ def paired_test(df: DataFrame, err_a: str, err_b: str, keys: Sequence[str] = ())
     d = F.col(err_a) - F.col(err_b)
     out = df.filter(d.isNotNull()).groupBy(*keys).agg(
         F.avg(d).alias("mean_diff"), F.stddev_samp(d).alias("std_diff"), F.count(F.lit(1)).alias("n"))
-    return out.withColumn("t_stat", F.col("mean_diff") / (F.col("std_diff") / F.sqrt(F.col("n"))))
+    return out.withColumn("t_stat", F.try_divide(F.col("mean_diff"), F.col("std_diff") / F.sqrt(F.col("n"))))

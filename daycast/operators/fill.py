@@ -64,7 +64,7 @@ def forward_fill(df: DataFrame, ts: str, cols: Sequence[str], series_keys: Seque
 
 
 def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, value_cols: Sequence[str],
-                    max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                    max_broadcast_rows: int = 2_000_000, dates_from: DataFrame | None = None) -> DataFrame:
     """Attach a sparse daily series (no weekends or holidays) to hourly rows, each row
     taking the value of the latest date at or before its own date that has both a
     value and at least one base row. Dates with a value but no base rows never
@@ -77,7 +77,9 @@ def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, v
     joining the big base on the date alone would shuffle every row of a busy date to one
     task. Beyond the bound it falls back to a shuffle join.
     """
-    dates = base.select(F.to_date(F.col(ts)).alias(date_col)).distinct()
+    # ``dates_from`` may name a cheaper frame with the same timestamps (e.g. the base
+    # before left joins that keep all of its rows)
+    dates = (dates_from if dates_from is not None else base).select(F.to_date(F.col(ts)).alias(date_col)).distinct()
     per_date = dates.join(daily.select(date_col, *value_cols), on=date_col, how="left")
     per_date = forward_fill(per_date.withColumn("__d_ts", F.col(date_col).cast("timestamp_ntz")),
                             "__d_ts", value_cols, bucket="month").drop("__d_ts")

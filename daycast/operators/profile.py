@@ -87,15 +87,23 @@ def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
     )
 
 
+def pearson(x, y):
+    """Pearson correlation over rows where both are non-null; NULL (not an ANSI
+    division error) when either side has zero variance."""
+    x, y = x.cast("double"), y.cast("double")
+    xm, ym = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(xm) * F.stddev_samp(ym))
+
+
 def top_correlations(df: DataFrame, target: str, cols: Sequence[str], k: int = 20) -> DataFrame:
     """Pearson correlation of each column with the target (pairwise non-null rows),
-    ranked by absolute value; top ``k``. One aggregation computes all of them."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"c{i}")
-                    for i, c in enumerate(cols)])
+    ranked by absolute value; top ``k``; constant columns are skipped. One
+    aggregation computes all of them."""
+    wide = df.agg(*[pearson(F.col(c), F.col(target)).alias(f"c{i}") for i, c in enumerate(cols)])
     long = wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)
     ])).alias("s")).select("s.feature", "s.corr")
-    long = long.filter(F.col("corr").isNotNull()).withColumn("abs_corr", F.abs("corr"))
+    long = long.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).withColumn("abs_corr", F.abs("corr"))
     return top_k(long, "abs_corr", k, tiebreak=["feature"])
 
 

@@ -132,7 +132,9 @@ def joined_filled(prices: DataFrame, load: DataFrame, weather: DataFrame, gas: D
         (clean_fuel(fuel, series_keys), keys),
     ])
     gas_c = clean_gas(gas)
-    joined = fill_from_daily(joined, S.TS, gas_c.withColumnRenamed("gas_date", "date"), "date", ["gas_price"])
+    # left joins keep every price row, so the price rows carry the same dates as ``joined``
+    joined = fill_from_daily(joined, S.TS, gas_c.withColumnRenamed("gas_date", "date"), "date", ["gas_price"],
+                             dates_from=base)
     order = [*series_keys, S.TS, *S.PRICE_RT, *S.PRICE_DA, "forecast_load_mw",
              *[f"{v}_selected" for v in S.WEATHER_VARS], "gas_price", *S.FUEL_COLUMNS]
     joined = joined.select(*order)

@@ -68,7 +68,7 @@ def walk_forward_baseline(tagged: DataFrame, y: str, group: Column | None = None
     prior = stats.select(IDX, "__g", F.sum("__s").over(w).alias("__cs"), F.sum("__c").over(w).alias("__cc"))
     val = t.filter(F.col(IDX) >= min_train)
     out = val.join(prior, on=[IDX, "__g"], how="left")
-    mean_t = F.col("__cs") / F.col("__cc")
+    mean_t = F.try_divide(F.col("__cs"), F.col("__cc"))
     pred = F.sinh(mean_t) if transform == "asinh" else mean_t
     return out.select(*keep, F.col(IDX).alias("fold"), F.col(y).alias("actual"), pred.alias("prediction"))
 
@@ -85,4 +85,4 @@ def cv_summary(pred: DataFrame) -> DataFrame:
     and the MAE pooled over all validation rows."""
     per = fold_scores(pred)
     return per.agg(F.avg("mae").alias("cv_mae"), F.count(F.lit(1)).alias("n_folds"),
-                   (F.sum(F.col("mae") * F.col("n_scored")) / F.sum("n_scored")).alias("pooled_mae"))
+                   F.try_divide(F.sum(F.col("mae") * F.col("n_scored")), F.sum("n_scored")).alias("pooled_mae"))

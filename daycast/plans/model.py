@@ -215,6 +215,22 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
+def split_importances(model: PipelineModel, features: Sequence[str], path: str, k: int = 30) -> DataFrame:
+    """Split-count importance (how many internal nodes split on each feature, the
+    default importance kind of leaf-wise boosting libraries) plus the summed split
+    gain. The trees are saved under ``path`` and their node table is aggregated by
+    Spark: one row per node, grouped by feature index."""
+    spark = SparkSession.getActiveSession()
+    model.stages[-1].write().overwrite().save(path)
+    nodes = spark.read.parquet(os.path.join(path, "data"))
+    names = F.array(*[F.lit(f) for f in features])
+    inner = nodes.filter(F.col("nodeData.leftChild") >= 0)
+    out = inner.groupBy(F.col("nodeData.split.featureIndex").alias("idx")).agg(
+        F.count(F.lit(1)).alias("splits"), F.sum("nodeData.gain").alias("total_gain"))
+    out = out.select(F.element_at(names, F.col("idx") + 1).alias("feature"), "splits", "total_gain")
+    return out.orderBy(F.col("splits").desc(), F.col("feature")).limit(k)
+
+
 def save_model(model: PipelineModel, meta: Mapping, path: str) -> None:
     """Model plus a one-row metadata table (features, params, transforms, scores)."""
     model.write().overwrite().save(os.path.join(path, "model"))

@@ -214,6 +214,14 @@ def q_importances(spark, sf):
     return M.importances(spark, model, feats, 30)
 
 
+@register("split_importances")
+def q_split_importances(spark, sf):
+    """Split counts per feature from the saved trees (top 30)."""
+    ft, feats, model = _final(spark, sf)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"trees-{uuid.uuid4().hex}")
+    return M.split_importances(model, feats, path, 30)
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     """Save the model with its metadata, load both back and re-score the training rows."""

@@ -110,3 +110,23 @@ def q_training_table(spark, sf):
     fuel pivot -> joins -> gas fill -> filters -> de-dup -> calendar, holiday, 63 lags,
     rolling stats -> complete rows: the 76-column training table."""
     return training_table(**feeds(spark, sf))
+
+
+def _corr_sql() -> str:
+    body = _sql()
+    from daycast.plans.features import REFERENCE_LAG_STEMS
+    feats = (["month", "day_of_week", "hour_of_day", "is_weekend", "is_holiday"] + _RND[:-1])
+    del REFERENCE_LAG_STEMS
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), asinh(total_lmp_rt)) AS corr FROM tt" for c in feats)
+    return (f"WITH tt AS ({body})\nSELECT feature, corr, abs(corr) AS abs_corr FROM ({parts}) "
+            f"WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs(corr) DESC, feature LIMIT 20")
+
+
+@register("training_correlations", _corr_sql(), ["corr", "abs_corr"])
+def q_training_correlations(spark, sf):
+    """The 20 features most correlated (|Pearson|) with the asinh-transformed target."""
+    from daycast.operators.profile import top_correlations
+    tt = q_training_table(spark, sf).withColumn("__y", F.asinh("total_lmp_rt"))
+    feats = [c for c in tt.columns if c not in ("datetime_ept", "total_lmp_rt", "__y")]
+    return top_correlations(tt, "__y", feats, k=20)

@@ -82,7 +82,7 @@ def v_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
     h = v_hourly(spark, sf_dir)
     tot = F.sum("v").over(Window.partitionBy("ts"))
-    return h.select("ts", "event_type", (F.col("v") / tot - 0.05).alias("share"))
+    return h.select("ts", "event_type", (F.try_divide(F.col("v"), tot) - 0.05).alias("share"))
 
 
 def v_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,3 +71,11 @@ def test_paired_test(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 5.0), (None, 1.0)], "a double, b double")
     r = paired_test(df, "a", "b").first()
     assert r.n == 3 and math.isclose(r.mean_diff, -1.0)
+
+
+def test_correlations_skip_constant_columns_under_ansi(spark):
+    from daycast.operators.profile import top_correlations
+    df = spark.createDataFrame([(1.0, 5.0, 2.0), (2.0, 5.0, 4.1), (3.0, 5.0, 5.9), (None, 5.0, 1.0)],
+                               "a double, const double, y double")
+    out = {r.feature: r.corr for r in top_correlations(df, "y", ["a", "const"], 5).collect()}
+    assert set(out) == {"a"} and out["a"] > 0.99

@@ -8,7 +8,7 @@ import pytest
 from tools.oracle_check import duck, rows
 
 SF = "/root/testdata/sf0.001"
-SLOW_ROWS_ONLY = {"grid_search_small", "walk_forward_gbt", "final_fit", "importances", "model_roundtrip",
+SLOW_ROWS_ONLY = {"grid_search_small", "walk_forward_gbt", "final_fit", "importances", "model_roundtrip", "split_importances",
                   "weighted_fit"}
 
 
