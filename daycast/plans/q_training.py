@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daycast import schemas as S
 from daycast.functions.time import hour_floor
 from daycast.plans import views as V
-from daycast.plans.features import training_table
+from daycast.plans.features import REFERENCE_LAG_STEMS, reference_lag_name, training_table
 from daycast.plans.oracle import training_sql
 from daycast.plans.registry import register
 
@@ -99,8 +99,7 @@ def _sql() -> str:
 
 
 _RND = (["temperature_2m_selected", "wind_speed_10m_selected", "cloud_cover_selected", "forecast_load_mw"]
-        + [f"lagged_{stem}_{s}" for stem in __import__("daycast.plans.features", fromlist=["x"]).REFERENCE_LAG_STEMS
-           for s in ("1", "3", "7")]
+        + [reference_lag_name(stem, off) for stem in REFERENCE_LAG_STEMS for off in S.LAG_SUFFIX]
         + ["rolling_rt_mean", "rolling_rt_stddev", "total_lmp_rt"])
 
 
@@ -114,9 +113,7 @@ def q_training_table(spark, sf):
 
 def _corr_sql() -> str:
     body = _sql()
-    from daycast.plans.features import REFERENCE_LAG_STEMS
-    feats = (["month", "day_of_week", "hour_of_day", "is_weekend", "is_holiday"] + _RND[:-1])
-    del REFERENCE_LAG_STEMS
+    feats = ["month", "day_of_week", "hour_of_day", "is_weekend", "is_holiday"] + _RND[:-1]
     parts = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), asinh(total_lmp_rt)) AS corr FROM tt" for c in feats)
     return (f"WITH tt AS ({body})\nSELECT feature, corr, abs(corr) AS abs_corr FROM ({parts}) "

@@ -78,3 +78,11 @@ def test_max_by_form_equals_row_number_form(spark):
     a = latest_before_cutoff(_versions(spark), "target", "issued", tiebreak=["vid"])
     b = latest_before_cutoff_ranked(_versions(spark), "target", "issued", tiebreak=["vid"]).select(*a.columns)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_incomplete_count_any_versus_all_null(spark):
+    from daycast.operators.filters import complete_rows, incomplete_count
+    df = spark.createDataFrame([("k1", 1.0, 2.0), ("k2", None, 2.0), ("k3", None, None)], "k string, a double, b double")
+    r = incomplete_count(df, exclude=["k"]).first()
+    assert (r.n_any_null, r.n_all_null, r.n_rows) == (2, 1, 3)
+    assert [x.k for x in complete_rows(df, exclude=["k"]).collect()] == ["k1"]
