@@ -89,28 +89,30 @@ def holidays_for(df: DataFrame, ts: str) -> DataFrame:
     return holiday_dim(df.select(F.year(F.col(ts)).alias("year")).distinct())
 
 
-def holiday_expr(date_col) -> "F.Column":
-    """The same holiday rules as a per-row predicate (0/1 INT) on a DATE: no dimension
-    and no join, so it stays inside whole-stage codegen. Agrees with ``holiday_dim``."""
-    d = F.col(date_col) if isinstance(date_col, str) else date_col
-    y, m, dd, dow = F.year(d), F.month(d), F.dayofmonth(d), F.dayofweek(d)
+def holiday_expr(date_sql: str) -> "F.Column":
+    """The same holiday rules as a per-row 0/1 INT predicate over a DATE, given as SQL
+    text (a column name or an expression such as ``to_date(ts)``). No dimension and no
+    join, so it stays inside whole-stage codegen; built as one SQL expression. Agrees
+    with ``holiday_dim`` (tested over 2019-2030)."""
+    if not isinstance(date_sql, str):
+        raise TypeError("holiday_expr takes SQL text for a DATE, e.g. 'd' or 'to_date(ts)'")
+    d = f"({date_sql})"
     wd = {"Sun": 1, "Mon": 2, "Tue": 3, "Wed": 4, "Thu": 5, "Fri": 6, "Sat": 7}
-    hit = F.lit(False)
+    terms = []
     for _, month, day, since in FIXED_DATE_HOLIDAYS:
-        ok = F.lit(True) if since is None else y >= since
-        actual = (m == month) & (dd == day)
-        # observed: Friday before a Saturday date, Monday after a Sunday date
-        fri = F.date_add(d, 1)
-        mon = F.date_sub(d, 1)
-        obs_fri = (dow == 6) & (F.month(fri) == month) & (F.dayofmonth(fri) == day)
-        obs_mon = (dow == 2) & (F.month(mon) == month) & (F.dayofmonth(mon) == day)
-        since_ok_fri = F.lit(True) if since is None else F.year(fri) >= since
-        since_ok_mon = F.lit(True) if since is None else F.year(mon) >= since
-        hit = hit | (ok & actual) | (obs_fri & since_ok_fri) | (obs_mon & since_ok_mon)
+        # the date itself; the Friday before a Saturday date; the Monday after a Sunday date
+        for shift, dow in [(0, None), (1, 6), (-1, 2)]:
+            t = d if shift == 0 else f"date_add({d}, {shift})"
+            cond = [f"month({t}) = {month}", f"dayofmonth({t}) = {day}"]
+            if dow is not None:
+                cond.append(f"dayofweek({d}) = {dow}")
+            if since is not None:
+                cond.append(f"year({t}) >= {since}")
+            terms.append("(" + " AND ".join(cond) + ")")
     for _, month, weekday, n in NTH_WEEKDAY_HOLIDAYS:
-        same = (m == month) & (dow == wd[weekday])
+        base = f"month({d}) = {month} AND dayofweek({d}) = {wd[weekday]}"
         if n < 0:
-            hit = hit | (same & (F.month(F.date_add(d, 7)) != month))
+            terms.append(f"({base} AND month(date_add({d}, 7)) != {month})")
         else:
-            hit = hit | (same & dd.between(7 * (n - 1) + 1, 7 * n))
-    return F.when(hit, 1).otherwise(0).cast("int")
+            terms.append(f"({base} AND dayofmonth({d}) BETWEEN {7 * (n - 1) + 1} AND {7 * n})")
+    return F.expr("CAST(CASE WHEN " + " OR ".join(terms) + " THEN 1 ELSE 0 END AS INT)")

@@ -41,14 +41,28 @@ def day_window(ts: str, series_keys: Sequence[str] = ()):
     return Window.partitionBy(*series_keys, _time_of_day(ts)).orderBy(epoch_day(ts))
 
 
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def window_sql(ts: str, series_keys: Sequence[str], first_back: int, last_back: int) -> str:
+    """SQL text of the shared window with a frame ``first_back``..``last_back`` days back
+    (same spec as ``day_window``). Expressions are built as SQL text: one call to the JVM
+    per expression instead of one per sub-expression, the same analysed plan."""
+    t = q(ts)
+    part = ", ".join([*map(q, series_keys), f"hour({t}) * 3600 + minute({t}) * 60 + second({t})"])
+    return (f"OVER (PARTITION BY {part} ORDER BY unix_date(to_date({t})) "
+            f"RANGE BETWEEN {first_back} PRECEDING AND {last_back} PRECEDING)")
+
+
 def lag_exprs(ts: str, cols: Iterable[str], offsets: Iterable[int], series_keys: Sequence[str] = (),
               name: Callable[[str, int], str] = default_lag_name) -> list[Column]:
-    w = day_window(ts, series_keys)
     out = []
     for off in offsets:
-        frame = w.rangeBetween(-off, -off)
+        w = window_sql(ts, series_keys, off, off)
         for c in cols:
-            out.append(F.first(F.col(c)).over(frame).alias(name(c, off)))
+            out.append(F.expr(f"first({q(c)}) {w}").alias(name(c, off)))
     return out
 
 
@@ -79,11 +93,8 @@ def exact_lags_join(df: DataFrame, ts: str, cols: Sequence[str], offsets: Sequen
 
 def rolling_exprs(ts: str, col: str, first_day: int = 2, last_day: int = 8, series_keys: Sequence[str] = (),
                   mean_name: str = "rolling_mean", std_name: str = "rolling_stddev") -> list[Column]:
-    frame = day_window(ts, series_keys).rangeBetween(-last_day, -first_day)
-    return [
-        F.avg(F.col(col)).over(frame).alias(mean_name),
-        F.stddev_samp(F.col(col)).over(frame).alias(std_name),
-    ]
+    w = window_sql(ts, series_keys, last_day, first_day)
+    return [F.expr(f"avg({q(col)}) {w}").alias(mean_name), F.expr(f"stddev_samp({q(col)}) {w}").alias(std_name)]
 
 
 def seasonal_rolling(df: DataFrame, ts: str, col: str, first_day: int = 2, last_day: int = 8,

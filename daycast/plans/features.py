@@ -20,7 +20,7 @@ from daycast.operators.dedupe import dedupe_hours, latest_before_cutoff
 from daycast.operators.fill import fill_from_daily
 from daycast.operators.filters import complete_rows, require_not_null
 from daycast.operators.joins import join_sources
-from daycast.operators.lags import day_window, default_lag_name
+from daycast.operators.lags import default_lag_name, q, window_sql
 from daycast.operators.normalize import normalize, pivot_share, select_vintage
 
 
@@ -35,7 +35,6 @@ def feature_table(df: DataFrame, ts: str, target: str, lag_cols: Mapping[str, ob
     NULLs (keys aside) are kept. Needs unique (series, ts)."""
     stems = dict(lag_cols) if isinstance(lag_cols, Mapping) else {c: c for c in lag_cols}
     lag_name = lag_name or default_lag_name
-    w = day_window(ts, series_keys)
     c = F.col(ts)
     dow = F.dayofweek(c)
     cal = [
@@ -45,17 +44,17 @@ def feature_table(df: DataFrame, ts: str, target: str, lag_cols: Mapping[str, ob
         F.when(dow.isin(1, 7), 1).otherwise(0).cast("int").alias("is_weekend"),
     ]
     if holidays:
-        cal.append(holiday_expr(F.to_date(c)).alias("is_holiday"))
+        cal.append(holiday_expr(f"to_date({q(ts)})").alias("is_holiday"))
     lags = []
     for stem, src in stems.items():
-        expr = F.col(src[0]) - F.col(src[1]) if isinstance(src, tuple) else F.col(src)
+        expr = f"{q(src[0])} - {q(src[1])}" if isinstance(src, tuple) else q(src)
         for off in offsets:
-            lags.append(F.first(expr).over(w.rangeBetween(-off, -off)).alias(lag_name(stem, off)))
+            lags.append(F.expr(f"first({expr}) {window_sql(ts, series_keys, off, off)}").alias(lag_name(stem, off)))
     rolls = []
     if roll is not None:
-        frame = w.rangeBetween(-roll[1], -roll[0])
-        rc = F.col(roll_col or target)
-        rolls = [F.avg(rc).over(frame).alias(roll_names[0]), F.stddev_samp(rc).over(frame).alias(roll_names[1])]
+        w = window_sql(ts, series_keys, roll[1], roll[0])
+        rc = q(roll_col or target)
+        rolls = [F.expr(f"avg({rc}) {w}").alias(roll_names[0]), F.expr(f"stddev_samp({rc}) {w}").alias(roll_names[1])]
     out = df.select(*series_keys, ts, *cal, *[F.col(f) for f in front], *lags, *rolls, F.col(target))
     if complete:
         out = complete_rows(out, exclude=[*series_keys, ts])

@@ -19,7 +19,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
 def _round_col(c: str, d: int):
-    return F.round(F.col(c) + F.signum(F.col(c)) * F.lit(10.0 ** -(d + 4)), d)
+    n = "`" + c.replace("`", "``") + "`"
+    return F.expr(f"round({n} + signum({n}) * {10.0 ** -(d + 4)!r}, {d})")
 
 
 def _round_df(df: DataFrame, rnd: dict[str, int]) -> DataFrame:

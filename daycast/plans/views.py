@@ -17,8 +17,16 @@ from daycast.sources.io import read_table
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    """The parquet table as a lazy DataFrame, memoised per session and path (only the
+    plan is kept, like a catalog entry: footers are not re-read for every view)."""
+    key = (spark._jsparkSession.hashCode(), f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = read_table(spark, key[1])
+    return _TABLES[key]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
