@@ -85,8 +85,9 @@ def reference_lag_name(stem: str, offset: int) -> str:
     return f"lagged_{stem}_{S.LAG_SUFFIX[offset]}"
 
 
-def clean_prices(prices: DataFrame) -> DataFrame:
-    return normalize(prices, {S.TS: to_ntz("datetime_beginning_ept"), **{c: c for c in S.PRICE_RT + S.PRICE_DA}})
+def clean_prices(prices: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    return normalize(prices, {**{k: k for k in series_keys}, S.TS: to_ntz("datetime_beginning_ept"),
+                              **{c: c for c in S.PRICE_RT + S.PRICE_DA}})
 
 
 def clean_load(load: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
@@ -124,7 +125,7 @@ def joined_filled(prices: DataFrame, load: DataFrame, weather: DataFrame, gas: D
     daily gas price over price rows, drop rows missing load, weather or fuel, and
     keep one row per hour (fill before the filter, de-duplication after it)."""
     keys = [*series_keys, S.TS]
-    base = clean_prices(prices)
+    base = clean_prices(prices, series_keys)
     joined = join_sources(base, [
         (clean_load(load, series_keys), keys),
         (clean_weather(weather, series_keys), keys),

@@ -82,3 +82,25 @@ def test_leakage_future_changes_do_not_move_features(spark, frames):
     feats = [c for c in base.columns if c != "total_lmp_rt"]
     diff = (base.loc[rows, feats] - after.loc[rows, feats]).abs().max().max()
     assert diff < 1e-9
+
+
+def test_many_series_at_once_equal_one_at_a_time(spark, frames):
+    """Two nodes through the keyed pipeline give, per node, exactly the single-node table."""
+    from pyspark.sql import functions as F
+    feeds_a = to_spark(spark, frames)
+    shifted = {k: v.copy() for k, v in frames.items()}
+    shifted["prices"]["total_lmp_rt"] = shifted["prices"]["total_lmp_rt"] * 1.5 - 3
+    feeds_b = to_spark(spark, shifted)
+    keyed = {}
+    for k in feeds_a:
+        if k == "gas":  # the daily gas price is shared by all nodes
+            keyed[k] = feeds_a[k]
+        else:
+            keyed[k] = feeds_a[k].withColumn("node", F.lit("A")).unionByName(feeds_b[k].withColumn("node", F.lit("B")))
+    both = training_table(**keyed, series_keys=["node"])
+    one_a = training_table(**feeds_a)
+    one_b = training_table(**to_spark(spark, shifted))
+    for node, single in [("A", one_a), ("B", one_b)]:
+        part = both.filter(F.col("node") == node).drop("node")
+        assert part.count() == single.count() > 0
+        assert part.exceptAll(single).count() == 0
