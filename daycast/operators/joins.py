@@ -23,14 +23,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFra
 def join_sources(base: DataFrame, sources: Sequence[tuple[DataFrame, object]]) -> DataFrame:
     """Left-join each source onto the base. Each entry is (df, on) where ``on`` is a
     column name / list of names shared by both sides, or (base expression, source
-    column) for a derived key such as the date of the base timestamp."""
+    column) for a derived key such as the date of the base timestamp. A derived key is
+    coarse (every hour of every series shares its date), so that source is broadcast
+    after a size check instead of shuffling the base onto few keys."""
     out = base
     for i, (src, on) in enumerate(sources):
         if isinstance(on, tuple):
             expr, src_col = on
             key = f"__jk{i}"
             out = out.withColumn(key, expr)
-            out = out.join(src.withColumnRenamed(src_col, key), on=key, how="left").drop(key)
+            side, _ = bounded_broadcast(src.withColumnRenamed(src_col, key))
+            out = out.join(side, on=key, how="left").drop(key)
         else:
             out = out.join(src, on=on, how="left")
     return out

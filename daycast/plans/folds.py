@@ -31,9 +31,12 @@ def periods(df: DataFrame, ts: str, period: str = "month") -> DataFrame:
 
 
 def tag_periods(df: DataFrame, ts: str, period: str = "month") -> DataFrame:
-    """Add ``period`` and its index. The period table has one row per period; AQE
-    broadcasts it at runtime when small, otherwise it is a regular shuffle join."""
-    return df.withColumn("period", period_key(ts, period)).join(periods(df, ts, period), on="period", how="inner")
+    """Add ``period`` and its index. The period table has one row per calendar period
+    and is broadcast after a size check: a shuffle join on the period key would send a
+    whole month of rows to one task."""
+    from daycast.operators.joins import bounded_broadcast
+    side, _ = bounded_broadcast(periods(df, ts, period))
+    return df.withColumn("period", period_key(ts, period)).join(side, on="period", how="inner")
 
 
 def fold_summary(tagged: DataFrame, min_train: int = 3) -> DataFrame:
@@ -66,6 +69,10 @@ def walk_forward_baseline(tagged: DataFrame, y: str, group: Column | None = None
     stats = t.groupBy(IDX, "__g").agg(F.sum(fwd(F.col(y))).alias("__s"), F.count(F.col(y)).alias("__c"))
     w = Window.partitionBy("__g").orderBy(IDX).rowsBetween(Window.unboundedPreceding, -1)
     prior = stats.select(IDX, "__g", F.sum("__s").over(w).alias("__cs"), F.sum("__c").over(w).alias("__cc"))
+    # one row per (period, group): broadcast after a size check, so the validation rows
+    # (many per key) are never shuffled onto a few period keys
+    from daycast.operators.joins import bounded_broadcast
+    prior, _ = bounded_broadcast(prior)
     val = t.filter(F.col(IDX) >= min_train)
     out = val.join(prior, on=[IDX, "__g"], how="left")
     mean_t = F.try_divide(F.col("__cs"), F.col("__cc"))

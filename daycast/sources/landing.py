@@ -41,7 +41,8 @@ def land_months(df: DataFrame, ts: str, path: str, calendar: DataFrame | None =
     if landed is not None:
         staged = staged.join(F.broadcast(landed), on="month", how="left_anti")
     if calendar is not None:
-        staged = staged.join(calendar.select("month"), on="month", how="left_semi")
+        # one row per month: broadcast, never shuffle the staged rows onto month keys
+        staged = staged.join(F.broadcast(calendar.select("month").distinct()), on="month", how="left_semi")
     staged.write.mode("append").partitionBy("month").parquet(path)
 
 
