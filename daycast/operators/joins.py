@@ -11,11 +11,13 @@ from daycast.operators.dedupe import dedupe_hours
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame, int]:
-    """Materialise a side that should be small once (reliable checkpoint into the
-    shared checkpoint folder), count it, and mark it for broadcast only when it holds
-    at most ``max_rows`` rows; beyond that it is returned as is for a shuffle join."""
-    from daycast.session import cut_lineage
-    small = cut_lineage(df)
+    """Compute a side that should be small once (persisted), count it, and mark it for
+    broadcast only when it holds at most ``max_rows`` rows; beyond that it is returned
+    as is for a shuffle join. The broadcast is built from the persisted blocks, so the
+    side is computed once; if an executor is lost before that, Spark recomputes the
+    blocks from lineage."""
+    from pyspark import StorageLevel
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = small.count()
     return (F.broadcast(small) if n <= max_rows else small), n
 

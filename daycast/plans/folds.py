@@ -56,34 +56,49 @@ def fold_split(tagged: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     return tagged.filter(F.col(IDX) < fold), tagged.filter(F.col(IDX) == fold)
 
 
-def walk_forward_baseline(tagged: DataFrame, y: str, group: Column | None = None, min_train: int = 3,
-                          transform: str = "asinh", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Out-of-fold predictions of a seasonal-mean model: for a validation row of fold j
-    and group g, the prediction is the mean of the training target of group g over
-    periods < j, taken in asinh space and mapped back (``transform='asinh'``) or raw.
-    Per (period, group) sums are aggregated once and accumulated with a running window,
-    so every fold costs nothing extra."""
-    g = group if group is not None else F.lit(0)
-    fwd = F.asinh if transform == "asinh" else (lambda c: c)
-    t = tagged.withColumn("__g", g)
-    stats = t.groupBy(IDX, "__g").agg(F.sum(fwd(F.col(y))).alias("__s"), F.count(F.col(y)).alias("__c"))
-    w = Window.partitionBy("__g").orderBy(IDX).rowsBetween(Window.unboundedPreceding, -1)
-    prior = stats.select(IDX, "__g", F.sum("__s").over(w).alias("__cs"), F.sum("__c").over(w).alias("__cc"))
-    # one row per (period, group): broadcast after a size check, so the validation rows
-    # (many per key) are never shuffled onto a few period keys
+def walk_forward_variants(tagged: DataFrame, y: str, variants: list[tuple[int, Column | None, str]],
+                          min_train: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Out-of-fold predictions of seasonal-mean models, several settings in one pass.
+    Each variant is (variant id, group expression or None, 'asinh' | 'raw'): for a
+    validation row of fold j and group g the prediction is the mean of the training
+    target of group g over periods < j (in asinh space and mapped back, or raw).
+
+    Rows are tagged with every variant (generator, no join), per (variant, period,
+    group) sums are aggregated once and accumulated with a running window, so every
+    fold and every variant costs one aggregation in total."""
+    items = []
+    for vid, group, transform in variants:
+        g = group if group is not None else F.lit(0)
+        yt = F.asinh(F.col(y)) if transform == "asinh" else F.col(y).cast("double")
+        items.append(F.struct(F.lit(vid).alias("vid"), g.cast("long").alias("g"), yt.alias("yt"),
+                              F.lit(transform == "asinh").alias("back")))
+    t = tagged.select(*keep, IDX, y, F.explode(F.array(*items)).alias("__v")).select(
+        *keep, IDX, y, F.col("__v.vid").alias("variant"), F.col("__v.g").alias("__g"),
+        F.col("__v.yt").alias("__yt"), F.col("__v.back").alias("__back"))
+    stats = t.groupBy("variant", IDX, "__g").agg(F.sum("__yt").alias("__s"), F.count("__yt").alias("__c"))
+    w = Window.partitionBy("variant", "__g").orderBy(IDX).rowsBetween(Window.unboundedPreceding, -1)
+    prior = stats.select("variant", IDX, "__g", F.sum("__s").over(w).alias("__cs"), F.sum("__c").over(w).alias("__cc"))
+    # one row per (variant, period, group): broadcast after a size check, so the
+    # validation rows (many per key) are never shuffled onto a few period keys
     from daycast.operators.joins import bounded_broadcast
     prior, _ = bounded_broadcast(prior)
     val = t.filter(F.col(IDX) >= min_train)
-    out = val.join(prior, on=[IDX, "__g"], how="left")
+    out = val.join(prior, on=["variant", IDX, "__g"], how="left")
     mean_t = F.try_divide(F.col("__cs"), F.col("__cc"))
-    pred = F.sinh(mean_t) if transform == "asinh" else mean_t
-    return out.select(*keep, F.col(IDX).alias("fold"), F.col(y).alias("actual"), pred.alias("prediction"))
+    pred = F.when(F.col("__back"), F.sinh(mean_t)).otherwise(mean_t)
+    return out.select("variant", *keep, F.col(IDX).alias("fold"), F.col(y).alias("actual"), pred.alias("prediction"))
+
+
+def walk_forward_baseline(tagged: DataFrame, y: str, group: Column | None = None, min_train: int = 3,
+                          transform: str = "asinh", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One setting of ``walk_forward_variants`` (see there)."""
+    return walk_forward_variants(tagged, y, [(0, group, transform)], min_train, keep).drop("variant")
 
 
-def fold_scores(pred: DataFrame) -> DataFrame:
-    """Per fold MAE (raw units) and row count."""
+def fold_scores(pred: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per fold MAE (raw units) and row count (per ``by`` too, e.g. the variant)."""
     err = F.abs(F.col("actual") - F.col("prediction"))
-    return pred.groupBy("fold").agg(F.avg(err).alias("mae"), F.count(F.lit(1)).alias("n_rows"),
+    return pred.groupBy(*by, "fold").agg(F.avg(err).alias("mae"), F.count(F.lit(1)).alias("n_rows"),
                                     F.count(err).alias("n_scored"))
 
 

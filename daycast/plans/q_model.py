@@ -14,7 +14,9 @@ from daycast.operators.sets import union_all
 from daycast.plans import model as M
 from daycast.plans import views as V
 from daycast.plans.features import feature_table
-from daycast.plans.folds import cv_summary, fold_scores, fold_summary, periods, tag_periods, walk_forward_baseline
+from daycast.plans.folds import (
+    cv_summary, fold_scores, fold_summary, periods, tag_periods, walk_forward_baseline, walk_forward_variants,
+)
 from daycast.plans.oracle import with_views
 from daycast.plans.registry import register
 from daycast.session import ensure_checkpoint_dir
@@ -40,9 +42,10 @@ def _wf_sql(group_expr: str = "dayofweek(ts)", transform: str = "asinh") -> str:
             f"FROM tagged v WHERE v.period_idx >= {MIN_TRAIN}")
 
 
-def _wf(spark, sf, group=True, transform="asinh", keep=("date",)):
+def _wf(spark, sf, group=True, transform="asinh", keep=("date",), tagged=None):
     g = day_of_week0("ts") if group else None
-    return walk_forward_baseline(_tagged_orders(spark, sf), "y", g, MIN_TRAIN, transform, keep=keep)
+    tagged = tagged if tagged is not None else _tagged_orders(spark, sf)
+    return walk_forward_baseline(tagged, "y", g, MIN_TRAIN, transform, keep=keep)
 
 
 @register("fold_months", with_views(_MONTHS, "v_orders_daily"))
@@ -162,11 +165,10 @@ def _best_sql() -> str:
 def q_best_params(spark, sf):
     """Walk-forward search over baseline settings (weekday grouping x target
     transform); the first combination with the lowest mean fold MAE."""
-    scores = []
-    for cid, (grouped, tr) in enumerate(_BASELINE_GRID):
-        s = fold_scores(_wf(spark, sf, grouped, tr)).select(F.lit(cid).alias("combo_id"), "fold", "mae")
-        scores.append(s)
-    return M.best_params(union_all(scores))
+    variants = [(cid, day_of_week0("ts") if grouped else None, tr) for cid, (grouped, tr) in enumerate(_BASELINE_GRID)]
+    pred = walk_forward_variants(_tagged_orders(spark, sf), "y", variants, MIN_TRAIN, keep=("ts",))
+    scores = fold_scores(pred, by=("variant",)).select(F.col("variant").alias("combo_id"), "fold", "mae")
+    return M.best_params(scores)
 
 
 # ------------------------------------------------------------------ boosted trees (rows-only checks)
