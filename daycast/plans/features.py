@@ -28,13 +28,28 @@ def feature_table(df: DataFrame, ts: str, target: str, lag_cols: Mapping[str, ob
                   series_keys: Sequence[str] = (), offsets: Sequence[int] = (2, 4, 8),
                   roll: tuple[int, int] | None = (2, 8), roll_col: str | None = None,
                   lag_name=None, roll_names=("rolling_mean", "rolling_stddev"),
-                  holidays: bool = True, complete: bool = True, front: Sequence[str] = ()) -> DataFrame:
+                  holidays: bool = True, complete: bool = True, front: Sequence[str] = (),
+                  dedupe: bool = False) -> DataFrame:
     """Calendar + holiday + exact lags + same-hour rolling stats + target, one row per
     (series, ts). ``lag_cols`` maps an output stem to a column name or to a pair
     (a, b) meaning the lagged difference a - b. With ``complete`` only rows without
-    NULLs (keys aside) are kept. Needs unique (series, ts)."""
+    NULLs (keys aside) are kept. Needs unique (series, ts), or ``dedupe=True``: rows
+    are then hash-partitioned once by (series, time of day), the repeated hour is
+    dropped by ``row_number`` over (series, time of day, day) with a total tie-break
+    (smallest row wins, as ``dedupe_hours``), and the lag window runs in the same stage
+    on the same partitioning: one shuffle for de-duplication and all features. Meant
+    for feeds whose copies per hour are few (a clock change gives two)."""
     stems = dict(lag_cols) if isinstance(lag_cols, Mapping) else {c: c for c in lag_cols}
     lag_name = lag_name or default_lag_name
+    if dedupe:
+        t = q(ts)
+        tod = f"hour({t}) * 3600 + minute({t}) * 60 + second({t})"
+        others = [c for c in df.columns if c not in (*series_keys, ts)]
+        order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in others)
+        part = ", ".join([*map(q, series_keys), tod, f"unix_date(to_date({t}))"])
+        df = (df.repartition(*[F.col(k) for k in series_keys], F.expr(tod))
+              .withColumn("__rn", F.expr(f"row_number() OVER (PARTITION BY {part} ORDER BY {order})"))
+              .filter(F.col("__rn") == 1).drop("__rn"))
     c = F.col(ts)
     dow = F.dayofweek(c)
     cal = [
@@ -120,7 +135,7 @@ def clean_fuel(fuel: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
 
 
 def joined_filled(prices: DataFrame, load: DataFrame, weather: DataFrame, gas: DataFrame, fuel: DataFrame,
-                  series_keys: Sequence[str] = ()) -> DataFrame:
+                  series_keys: Sequence[str] = (), dedupe: bool = True) -> DataFrame:
     """Normalise the five feeds, left-join them onto the price hours, forward-fill the
     daily gas price over price rows, drop rows missing load, weather or fuel, and
     keep one row per hour (fill before the filter, de-duplication after it)."""
@@ -139,7 +154,7 @@ def joined_filled(prices: DataFrame, load: DataFrame, weather: DataFrame, gas: D
              *[f"{v}_selected" for v in S.WEATHER_VARS], "gas_price", *S.FUEL_COLUMNS]
     joined = joined.select(*order)
     kept = require_not_null(joined, ["forecast_load_mw", "temperature_2m_selected", "coal_percentage"])
-    return dedupe_hours(kept, S.TS, series_keys).select(*order)
+    return dedupe_hours(kept, S.TS, series_keys).select(*order) if dedupe else kept
 
 
 def training_table(prices: DataFrame, load: DataFrame, weather: DataFrame, gas: DataFrame, fuel: DataFrame,
@@ -147,12 +162,13 @@ def training_table(prices: DataFrame, load: DataFrame, weather: DataFrame, gas:
     """The 76-column training table (plus series keys): key, calendar (5), weather (3),
     load, 63 lags, rolling mean and std of the target over days 2..8, target; complete
     rows only."""
-    j = joined_filled(prices, load, weather, gas, fuel, series_keys)
+    # de-duplication happens inside the feature window's partitioning (one shuffle)
+    j = joined_filled(prices, load, weather, gas, fuel, series_keys, dedupe=False)
     front = [f"{v}_selected" for v in S.WEATHER_VARS] + ["forecast_load_mw"]
     return feature_table(
         j, S.TS, S.TARGET, REFERENCE_LAG_STEMS, series_keys=series_keys, offsets=tuple(S.LAG_SUFFIX),
         roll=S.ROLL_DAYS, lag_name=reference_lag_name, roll_names=("rolling_rt_mean", "rolling_rt_stddev"),
-        holidays=True, complete=True, front=front)
+        holidays=True, complete=True, front=front, dedupe=True)
 
 
 def hourly_features(df: DataFrame, ts: str = "ts", target: str = "v", series_keys: Sequence[str] = (),

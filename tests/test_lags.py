@@ -98,3 +98,19 @@ def test_rolling_window_equals_union_of_self_joins(spark):
     r = lambda x: x.select("k", "t", F.round("rolling_mean", 9).alias("m"), F.round("rolling_stddev", 9).alias("s"))
     a, b = r(seasonal_rolling(df, "t", "v", 2, 8, ["k"])), r(seasonal_rolling_join(df, "t", "v", 2, 8, ["k"]))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_feature_table_inline_dedupe_equals_dedupe_then_features(spark):
+    from daycast.operators.dedupe import dedupe_hours
+    from daycast.plans.features import feature_table
+    rnd = random.Random(4)
+    rows = [(k, f"2024-03-{day:02d} {h:02d}:00:00", round(rnd.uniform(0, 100), 2))
+            for k in ["a", "b"] for day in range(1, 20) for h in range(0, 24, 6)]
+    rows += [("a", "2024-03-12 06:00:00", 1.0), ("b", "2024-03-15 12:00:00", 999.0)]  # repeated hours
+    df = _series(spark, rows)
+    a = feature_table(df, "t", "v", {"v": "v"}, series_keys=["k"], complete=False, dedupe=True)
+    b = feature_table(dedupe_hours(df, "t", ["k"]), "t", "v", {"v": "v"}, series_keys=["k"], complete=False)
+    assert a.count() == b.count() == len(rows) - 2
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    p = a._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1, p
