@@ -67,3 +67,14 @@ def range_text(first, last) -> Column:
         F.date_format(_c(first), "MM-dd-yyyy"), F.lit(" 00:00 to "),
         F.date_format(_c(last), "MM-dd-yyyy"), F.lit(" 23:59"),
     )
+
+
+def week_start(c) -> Column:
+    """Monday of the ISO week (DATE)."""
+    d = F.to_date(_c(c))
+    return F.date_sub(d, (F.dayofweek(d) + 5) % 7)
+
+
+def week_label(c) -> Column:
+    """Week period as text: Monday's date 'yyyy-MM-dd'."""
+    return F.date_format(week_start(c), "yyyy-MM-dd")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daycast.functions.time import week_start
 from daycast.functions.transforms import abs_error, win_flag
 
 
@@ -38,12 +39,6 @@ def win_rate(df: DataFrame, model_err: str = "model_abs_diff", bench_err: str =
     )
 
 
-def week_start(ts) -> Column:
-    """Monday of the ISO week (DATE)."""
-    d = F.to_date(F.col(ts) if isinstance(ts, str) else ts)
-    return F.date_sub(d, (F.dayofweek(d) + 5) % 7)
-
-
 def monthly_scorecard(df: DataFrame, ts: str, period: str = "month", model_err: str = "model_abs_diff",
                       bench_err: str = "da_abs_diff", win: str = "model_win") -> DataFrame:
     """Per period: model MAE, benchmark MAE, win rate, hour count and MAE gap. The

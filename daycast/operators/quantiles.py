@@ -30,7 +30,7 @@ def _tagged(df: DataFrame, intervals: list[tuple[int, str, float, float]]) -> Da
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 4096,
-                    max_leaf: int = 50000, stats: dict | None = None) -> dict[tuple[str, float], float | None]:
+                    max_leaf: int = 10000, stats: dict | None = None) -> dict[tuple[str, float], float | None]:
     """{(column, p): quantile}, the definition of pandas / SQL ``quantile_cont``.
     ``stats`` may pass precomputed {column: (n, min, max)}."""
     if stats is None:

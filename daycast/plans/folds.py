@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daycast.operators.evaluate import week_start
+from daycast.functions.time import week_start
 
 IDX = "period_idx"
 

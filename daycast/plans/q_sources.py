@@ -9,8 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.evaluate_week import week_label
-from daycast.functions.time import hour_floor
+from daycast.functions.time import hour_floor, week_label
 from daycast.operators.sets import union_all
 from daycast.plans import views as V
 from daycast.plans.oracle import with_views
