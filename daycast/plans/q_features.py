@@ -71,7 +71,7 @@ def q_feature_columns(spark, sf):
 
 # ---------------------------------------------------------------- lags and rolling
 @register("exact_lags", with_views(f"SELECT b.*, {_lag_sel} FROM v_hourly b {_lag_join}", "v_hourly"),
-          ["v", "v_lag2", "v_lag4", "v_lag8"])
+          ["v", "v_lag2", "v_lag4", "v_lag8"], dbl=["n_lag2", "n_lag4", "n_lag8"])
 def q_exact_lags(spark, sf):
     return exact_lags(V.v_hourly(spark, sf), "ts", ["v", "n"], LAGS, ["event_type"])
 
@@ -240,7 +240,7 @@ def q_forward_fill(spark, sf):
     """SELECT ts,
   last_value(v_day1 IGNORE NULLS) OVER (ORDER BY ts) AS v_day1, n_day1,
   last_value(v_day2 IGNORE NULLS) OVER (ORDER BY ts) AS v_day2, n_day2
-FROM v_twovintage""", "v_twovintage"), ["v_day1", "v_day2"])
+FROM v_twovintage""", "v_twovintage"), ["v_day1", "v_day2"], dbl=["n_day1", "n_day2"])
 def q_forward_fill_wide(spark, sf):
     """Unkeyed fill across day boundaries (the two-level scan's carry path)."""
     return forward_fill(V.v_twovintage(spark, sf), "ts", ["v_day1", "v_day2"])
@@ -251,7 +251,7 @@ _OD_YEARS = {"yrs": "SELECT DISTINCT year(date) AS year FROM v_orders_daily"}
 
 
 @register("holiday_dim", with_views("SELECT holiday_date, holiday_name FROM hol", "v_orders_daily",
-                                    extra={**_OD_YEARS, "hol": holiday_sql("yrs")}))
+                                    extra={**_OD_YEARS, "hol": holiday_sql("yrs")}), dates=["holiday_date"])
 def q_holiday_dim(spark, sf):
     """Holiday dates for every year the daily orders series covers."""
     od = V.v_orders_daily(spark, sf)
@@ -260,7 +260,8 @@ def q_holiday_dim(spark, sf):
 
 @register("holiday_flag", with_views(
     """SELECT o.date, o.y, CASE WHEN o.date IN (SELECT holiday_date FROM hol) THEN 1 ELSE 0 END AS is_holiday
-FROM v_orders_daily o""", "v_orders_daily", extra={**_OD_YEARS, "hol": holiday_sql("yrs")}), {"y": 2})
+FROM v_orders_daily o""", "v_orders_daily", extra={**_OD_YEARS, "hol": holiday_sql("yrs")}), {"y": 2},
+          dates=["date"])
 def q_holiday_flag(spark, sf):
     od = V.v_orders_daily(spark, sf).select("date", "y", "ts")
     return holiday_flag(od, "ts", holidays_for(od, "ts")).select("date", "y", "is_holiday")

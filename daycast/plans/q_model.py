@@ -69,7 +69,8 @@ _WF = _wf_sql()
 
 
 @register("walk_forward_baseline", with_views(f"SELECT date, fold, actual, prediction FROM ({_WF})",
-                                              "v_orders_daily", extra=_FOLD_CTES), {"actual": 2, "prediction": 2})
+                                              "v_orders_daily", extra=_FOLD_CTES), {"actual": 2, "prediction": 2},
+          dates=["date"])
 def q_walk_forward_baseline(spark, sf):
     """Out-of-fold predictions of the weekday seasonal mean (asinh space) per fold."""
     return _wf(spark, sf)

@@ -129,7 +129,8 @@ def q_scan_project(spark, sf):
 @register("normalize_casts", """SELECT o_orderkey,
   CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS order_ts,
   CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS order_date,
-  CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS total_price FROM orders""", {"total_price": 2})
+  CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS total_price FROM orders""", {"total_price": 2},
+          dates=["order_date"])
 def q_normalize_casts(spark, sf):
     """Text feeds to typed columns: timestamp (naive), date and double from strings."""
     o = V.orders(spark, sf).select(

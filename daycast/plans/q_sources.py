@@ -93,7 +93,7 @@ FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month',
 _ORD_BOUNDS = "SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders"
 
 
-@register("month_calendar", _CAL_SQL.format(bounds=_ORD_BOUNDS))
+@register("month_calendar", _CAL_SQL.format(bounds=_ORD_BOUNDS), dates=["month", "month_end"])
 def q_month_calendar(spark, sf):
     """Months spanned by the orders, with first / last day and the feed's range text."""
     b = V.orders(spark, sf).agg(F.to_date(F.min("o_orderdate")).alias("first"),
@@ -106,7 +106,8 @@ _SPAN = """SELECT min(d) AS lo, max(d) AS hi FROM (
 
 
 @register("missing_months", f"""SELECT c.* FROM ({_CAL_SQL.format(bounds=_SPAN)}) c
-WHERE c.month NOT IN (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)""")
+WHERE c.month NOT IN (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)""",
+          dates=["month", "month_end"])
 def q_missing_months(spark, sf):
     """Months between the first order and the last shipment with no orders landed."""
     o, li = V.orders(spark, sf), V.lineitem(spark, sf)

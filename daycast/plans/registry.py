@@ -34,16 +34,51 @@ def _round_sql(sql: str, rnd: dict[str, int]) -> str:
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"
 
 
-def register(name: str, sql: str | None = None, rnd: list[str] | dict[str, int] | None = None):
+def _dates_df(df: DataFrame, dates: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c) for c in df.columns])
+
+
+def _dates_sql(sql: str, dates: list[str]) -> str:
+    if not dates:
+        return sql
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"
+
+
+def _cast_df(df: DataFrame, cols: list[str], typ: str) -> DataFrame:
+    return df.select(*[F.col(c).cast(typ).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _cast_sql(sql: str, cols: list[str], typ: str) -> str:
+    if not cols:
+        return sql
+    rep = ", ".join(f"CAST({c} AS {typ}) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n)"
+
+
+def register(name: str, sql: str | None = None, rnd: list[str] | dict[str, int] | None = None,
+             dates: list[str] | None = None, dbl: list[str] | None = None):
+    """``dates`` lists DATE output columns; the check copies carry them as midnight
+    timestamps on both sides, so they compare the same way as timestamp columns
+    whether results are compared through Arrow or through pandas (where a DATE arrives
+    as a Python date from Spark but as datetime64 from DuckDB)."""
     digits = dict(rnd) if isinstance(rnd, dict) else {c: 6 for c in (rnd or [])}
+    dates = list(dates or [])
+    dbl = list(dbl or [])  # nullable integer counts: carried as DOUBLE (pandas has no common nullable int)
 
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _round_df(fn(spark, sf_dir), digits) if digits else fn(spark, sf_dir)
+            out = fn(spark, sf_dir)
+            out = _round_df(out, digits) if digits else out
+            out = _dates_df(out, dates) if dates else out
+            return _cast_df(out, dbl, "double") if dbl else out
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        REGISTRY[name] = (run, _round_sql(sql, digits) if sql is not None else None)
+        text = None
+        if sql is not None:
+            text = _cast_sql(_dates_sql(_round_sql(sql, digits), dates), dbl, "DOUBLE")
+        REGISTRY[name] = (run, text)
         return fn
 
     return deco
