@@ -125,3 +125,15 @@ def q_hourly_stream(spark, sf):
     micro-batch (runs once over the files available now)."""
     schema = read_table(spark, f"{sf}/events.parquet").schema
     return run_hourly_rollup(spark, sf, "events.parquet", schema, "ts", "value", ["event_type"])
+
+
+@register("latest_version_stream", """SELECT event_type, ts, event_id, value FROM (
+  SELECT event_type, date_trunc('hour', ts) AS ts, event_id, value FROM events)
+QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1""", ["value"])
+def q_latest_version_stream(spark, sf):
+    """Streaming keyed upsert: the current (highest) version per (event type, hour)."""
+    from daycast.streaming.versions import run_latest_versions
+    schema = read_table(spark, f"{sf}/events.parquet").schema
+    prep = lambda b: b.select("event_type", hour_floor("ts").alias("ts"), "event_id", "value")
+    out = run_latest_versions(spark, sf, "events.parquet", schema, ["event_type", "ts"], "event_id", prepare=prep)
+    return out.select("event_type", "ts", "event_id", "value")
