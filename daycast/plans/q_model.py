@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from daycast.functions.time import day_of_week0
 from daycast.operators.evaluate import forecast_errors, monthly_scorecard
 from daycast.operators.lags import exact_lags
-from daycast.operators.sets import union_all
 from daycast.plans import model as M
 from daycast.plans import views as V
 from daycast.plans.features import feature_table

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.functions.time import hour_floor, shift_days, to_ntz
+from daycast.functions.time import hour_floor, to_ntz
 from daycast.operators.lags import lag_exprs, rolling_exprs
 from daycast.sources.io import read_table
 
@@ -124,5 +124,3 @@ def v_bench_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     return e.select(hour_floor("ts").alias("datetime_ept"), (F.col("value") * 2).alias("da_pred"))
 
-
-__all__ = [n for n in dir() if n.startswith("v_")] + ["events", "orders", "lineitem", "table", "shift_days"]

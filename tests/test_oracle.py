@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest test tables
 (the driver runs the same comparison at sf0.01)."""
 
-import os
-
 import pytest
 
 from tools.oracle_check import duck, rows

@@ -83,7 +83,6 @@ def test_land_months_resumes_without_rewriting(spark):
 
 
 def test_extract_pushes_filters(spark):
-    from tests.conftest import ts  # noqa: F401
     path = _dir(spark, "ext")
     spark.range(100).select(F.col("id"), (F.col("id") % 3).cast("string").alias("k"),
                             (F.lit("2024-01-01").cast("timestamp_ntz") +
