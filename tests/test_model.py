@@ -87,3 +87,19 @@ def test_exact_quantiles_equal_numpy_including_ties(spark):
     for c in ["a", "b"]:
         for p in [0.0, 0.25, 0.5, 0.75, 1.0]:
             assert math.isclose(got[(c, p)], float(np.quantile(pdf[c], p)), rel_tol=1e-12, abs_tol=1e-12), (c, p)
+
+
+def test_describe_exact_and_approx(spark):
+    from daycast.operators.profile import describe_columns
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"a": rng.normal(0, 1, 4000), "b": rng.integers(0, 50, 4000).astype(float)})
+    df = spark.createDataFrame(pdf)
+    ex = {r["column"]: r for r in describe_columns(df, ["a", "b"]).collect()}
+    ap = {r["column"]: r for r in describe_columns(df, ["a", "b"], approx=True).collect()}
+    want = pdf.describe()
+    for c in ["a", "b"]:
+        assert ex[c]["count"] == 4000
+        for q, name in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]:
+            assert math.isclose(ex[c][name], float(pdf[c].quantile(q)), abs_tol=1e-12)
+            assert abs(ap[c][name] - ex[c][name]) <= 0.05 * (pdf[c].max() - pdf[c].min())
+        assert math.isclose(ex[c]["std"], want.loc["std", c], rel_tol=1e-9)

@@ -91,3 +91,13 @@ def test_extract_pushes_filters(spark):
     assert out.count() == 8
     assert "PushedFilters: [IsNotNull(k), IsNotNull(t), In(k" in out._jdf.queryExecution().executedPlan().toString() or \
         "PushedFilters" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_land_months_only_within_calendar(spark):
+    path = _dir(spark, "landing-cal")
+    df = spark.range(24 * 60).select((F.lit("2024-01-01").cast("timestamp_ntz") +
+                                      F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("t"), "id")
+    cal = month_calendar(spark.createDataFrame([(dt.date(2024, 2, 1), dt.date(2024, 2, 29))], "first date, last date"))
+    land_months(df, "t", path, calendar=cal)
+    got = spark.read.parquet(path)
+    assert got.count() == 24 * 29 and got.select("month").distinct().count() == 1
