@@ -101,3 +101,15 @@ def test_land_months_only_within_calendar(spark):
     land_months(df, "t", path, calendar=cal)
     got = spark.read.parquet(path)
     assert got.count() == 24 * 29 and got.select("month").distinct().count() == 1
+
+
+def test_read_table_over_a_file_glob_with_schema(spark):
+    base = _dir(spark, "glob")
+    for m in ["2024_01", "2024_02"]:
+        spark.range(5).select(F.lit(f"{m[:4]}-{m[5:]}-01 00:00:00").alias("datetime_beginning_ept"),
+                              F.col("id").cast("double").alias("total_lmp_rt"),
+                              F.lit(1.0).alias("unused")).write.parquet(f"{base}/rt_da_{m}.parquet")
+    df = read_table(spark, f"{base}/rt_da_*.parquet", "datetime_beginning_ept string, total_lmp_rt double")
+    assert df.count() == 10 and df.columns == ["datetime_beginning_ept", "total_lmp_rt"]
+    assert "ReadSchema: struct<datetime_beginning_ept:string,total_lmp_rt:double>" in \
+        df._jdf.queryExecution().executedPlan().toString()
