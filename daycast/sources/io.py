@@ -36,8 +36,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV with a header; naive timestamps with or without fractional seconds.
+    Malformed rows fail the read (no silent NULLs)."""
     return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "FAILFAST").csv(path))
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").option("mode", "FAILFAST").csv(path))
 
 
 def read_predictions(spark: SparkSession, path: str, schema: T.StructType = PREDICTIONS) -> DataFrame:

@@ -113,3 +113,13 @@ def test_read_table_over_a_file_glob_with_schema(spark):
     assert df.count() == 10 and df.columns == ["datetime_beginning_ept", "total_lmp_rt"]
     assert "ReadSchema: struct<datetime_beginning_ept:string,total_lmp_rt:double>" in \
         df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_reads_fractional_and_whole_second_stamps(spark):
+    path = _dir(spark, "csvfrac")
+    spark.createDataFrame([("2024-03-10 02:00:00", "1.5", "2.5"), ("2024-03-10 03:00:00.250000", "3", "4")],
+                          "datetime_ept string, actual_rt string, prediction string").write.option(
+        "header", True).csv(path)
+    rows = sorted(read_predictions(spark, path).collect())
+    assert rows[0].datetime_ept == dt.datetime(2024, 3, 10, 2)
+    assert rows[1].datetime_ept == dt.datetime(2024, 3, 10, 3, 0, 0, 250000)
