@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A malformed page fails the job instead of silently becoming zero rows.
+_JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "mode": "FAILFAST"}
+
+
 def row_array_schema(path: Sequence[str], row: T.StructType) -> T.StructType:
     """Schema of a payload whose rows sit at ``path``, e.g. ("items",) or ("response", "data")."""
     t: T.DataType = T.ArrayType(row)
@@ -22,8 +26,7 @@ def explode_rows(df: DataFrame, payload: str, path: Sequence[str], row: T.Struct
                  keep: Sequence[str] = ()) -> DataFrame:
     """JSON text column holding ``{"items": [{...}, ...]}`` (or a deeper path such as
     ``response.data``) to one row per array element with the element's fields."""
-    parsed = F.from_json(F.col(payload), row_array_schema(path, row),
-                         {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    parsed = F.from_json(F.col(payload), row_array_schema(path, row), _JSON_OPTS)
     arr: Column = parsed
     for name in path:
         arr = arr.getField(name)
@@ -43,6 +46,5 @@ def parse_parallel(df: DataFrame, payload: str, key: str, fields: dict[str, T.Da
     """JSON text ``{"<key>": {"time": [...], "<f>": [...]}}`` to rows."""
     inner = T.StructType([T.StructField(f, T.ArrayType(t)) for f, t in fields.items()])
     schema = T.StructType([T.StructField(key, inner)])
-    parsed = df.select(*keep, F.from_json(F.col(payload), schema,
-                                          {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}).alias("__p"))
+    parsed = df.select(*keep, F.from_json(F.col(payload), schema, _JSON_OPTS).alias("__p"))
     return zip_arrays(parsed, F.col("__p").getField(key), list(fields), keep)

@@ -123,3 +123,11 @@ def test_csv_reads_fractional_and_whole_second_stamps(spark):
     rows = sorted(read_predictions(spark, path).collect())
     assert rows[0].datetime_ept == dt.datetime(2024, 3, 10, 2)
     assert rows[1].datetime_ept == dt.datetime(2024, 3, 10, 3, 0, 0, 250000)
+
+
+def test_malformed_payload_fails_instead_of_dropping_rows(spark):
+    import pytest
+    row = T.StructType([T.StructField("a", T.LongType())])
+    df = spark.createDataFrame([('{"items": [{"a": 1}]}',), ('{"items": [{"a": 1}',)], "payload string")
+    with pytest.raises(Exception):
+        explode_rows(df, "payload", ["items"], row).collect()
