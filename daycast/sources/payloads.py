@@ -35,10 +35,16 @@ def explode_rows(df: DataFrame, payload: str, path: Sequence[str], row: T.Struct
 
 def zip_arrays(df: DataFrame, struct_col: str | Column, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Struct of equally long arrays (``{"time": [...], "x": [...]}``) to one row per
-    position, columns named after the fields."""
+    position, columns named after the fields. Arrays of different lengths raise an
+    error (``arrays_zip`` alone would pad with NULLs)."""
     s = F.col(struct_col) if isinstance(struct_col, str) else struct_col
     zipped = F.arrays_zip(*[s.getField(f).alias(f) for f in fields])
-    return df.select(*keep, F.inline(zipped))
+    sizes = [F.size(s.getField(f)) for f in fields]
+    same = F.lit(True)
+    for z in sizes[1:]:
+        same = same & (z == sizes[0])
+    checked = F.when(same, zipped).otherwise(F.raise_error(F.lit("parallel arrays differ in length")))
+    return df.select(*keep, F.inline(checked))
 
 
 def parse_parallel(df: DataFrame, payload: str, key: str, fields: dict[str, T.DataType],

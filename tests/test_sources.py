@@ -131,3 +131,11 @@ def test_malformed_payload_fails_instead_of_dropping_rows(spark):
     df = spark.createDataFrame([('{"items": [{"a": 1}]}',), ('{"items": [{"a": 1}',)], "payload string")
     with pytest.raises(Exception):
         explode_rows(df, "payload", ["items"], row).collect()
+
+
+def test_parallel_arrays_of_unequal_length_fail(spark):
+    import pytest
+    doc = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "x": [1.0]}}
+    df = spark.createDataFrame([(json.dumps(doc),)], "payload string")
+    with pytest.raises(Exception):
+        parse_parallel(df, "payload", "hourly", {"time": T.StringType(), "x": T.DoubleType()}).collect()
