@@ -114,3 +114,10 @@ def test_feature_table_inline_dedupe_equals_dedupe_then_features(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     p = a._jdf.queryExecution().executedPlan().toString()
     assert p.count("Exchange") == 1, p
+
+
+def test_duplicate_keys_check(spark):
+    from daycast.operators.filters import duplicate_keys
+    rows = [("a", "2024-11-03 01:00:00", 1.0), ("a", "2024-11-03 01:00:00", 2.0), ("a", "2024-11-03 02:00:00", 3.0)]
+    out = duplicate_keys(_series(spark, rows), ["k", "t"]).collect()
+    assert len(out) == 1 and out[0].n == 2 and out[0].t == ts("2024-11-03T01:00:00")
