@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.session import ensure_checkpoint_dir
@@ -14,6 +15,15 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (a checkout that is
+    not installed); workers of a cluster have it installed, or sent with --py-files."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def col(name: str) -> Column:
     """A column by its literal name (dots and backticks are part of it)."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -43,3 +53,31 @@ def stage_table(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 8) -> DataFrame:
+    """Equi-join of rows of any skew (``left``) with a table of one row per key (``right``):
+    a hot key's left rows are dealt over ``salts`` tasks, its right row is sent to each."""
+    others_hash = F.xxhash64(*[col(c) for c in left.columns])  # not rand(): a task run again must deal alike
+    spread = left.withColumn("__salt", F.pmod(others_hash, F.lit(salts)).cast("int"))
+    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
+def word_pieces(raw: bytes, overlap: int, limit: int = 4 << 20):
+    """The words of a text (split at ASCII space) in lists that share ``overlap`` words, so
+    that a very long text is never held as one list. Every run of overlap + 1 words is
+    whole in exactly one list."""
+    if len(raw) <= limit:
+        yield raw.split()
+        return
+    tail: list[bytes] = []
+    at, size = 0, len(raw)
+    while at < size:
+        end = min(size, at + limit)
+        while end < size and raw[end] not in b" \t\n\x0b\f\r":
+            end += 1
+        words = tail + raw[at:end].split()
+        yield words
+        tail = words[len(words) - min(overlap, len(words)):]
+        at = end

@@ -4,13 +4,24 @@ Each query applies its operator to the whole table and derives its contract's co
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daycast.llm.common import on_workers
+from daycast.llm.language_id import identify_language, learn_dictionaries
 from daycast.llm.line_dedup import dedup_lines
+from daycast.llm.mixing import copies_of, mix_to_targets
+from daycast.llm.packing import pack
+from daycast.llm.simhash_dedup import simhash_groups
+from daycast.llm.substring_dedup import dedup_substrings
+from daycast.llm.token_counts import count_tokens
+from daycast.llm.topk_search import search_top_k
 from daycast.llm.url_filter import filter_urls
+from daycast.llm.vector_dedup import dedup_vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -19,7 +30,12 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            on_workers(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
@@ -60,7 +76,8 @@ def op1_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", sha256_of(F.col("text")).alias("kept_sha256"))
 
 
-URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+URL_RULES = """SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+('org', '/fr/', 'allow') AS rules(host, path, verdict)"""
 
 URL_FILTER_SQL = """
 WITH rules(rule_host, rule_path, rule_verdict) AS (
@@ -83,6 +100,107 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM url
 @register("op2_url_filter", URL_FILTER_SQL)
 def op2_url_filter(spark, sf_dir):
     """Every page's url judged by four host and path rules."""
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    judged = filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    judged = filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), spark.sql(URL_RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def held_out(id_col: str = "doc_id") -> F.Column:
+    """The share of documents that no language is learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def learned_languages(docs: DataFrame) -> dict[str, bytes]:
+    return learn_dictionaries(docs.where(~held_out() & F.col("lang").isNotNull()))
+
+
+@register("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    """The language of every whole text, learned from three quarters of the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return identify_language(rows, learned_languages(docs)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@register("op9_simhash_dedup")
+def op9_simhash_dedup(spark, sf_dir):
+    """Groups of documents by 3-word shingle SimHash within 3 differing bits."""
+    return simhash_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=3)
+
+
+#: Shares of the tokens that the mix should have, by the domain of the labels.
+MIX_TARGETS = {"clean": 0.92, "low": 0.06, "toxic": 0.02}
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """The domain of each label: toxic, else low (quality 0) or clean."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean").alias("domain"))
+
+
+@register("op3_mixing")
+def op3_mixing(spark, sf_dir):
+    """Rates at which the documents' expected tokens by domain have the target shares."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mix_to_targets(docs, labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS)
+    shares = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(MIX_TARGETS))]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", copies_of(F.col("rate"), F.col("doc_id")).alias("copies"))
+
+
+@register("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    """Words of 20-word windows that also start earlier are removed."""
+    kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", sha256_of(F.col("text")).alias("kept_sha256"))
+
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS one, b.vec_id AS other FROM good a JOIN good b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.other FROM reach JOIN links ON reach.other = links.one)
+SELECT vec_id, (SELECT count(*) FROM links WHERE one = vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id
+"""
+
+
+@register("op5_embedding_dedup", EMBEDDING_DEDUP_SQL)
+def op5_embedding_dedup(spark, sf_dir):
+    """Vectors linked at a cosine of at least 0.95, and their components."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return dedup_vectors(vectors, min_cosine=0.95).select("vec_id", "n_links", "component_id", "kept")
+
+
+@register("op6_packing")
+def op6_packing(spark, sf_dir):
+    """All documents' tokens in sequences of at most 2048."""
+    packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    """Tokens of every whole text, and the longest prefix within 1024 of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), budget=1024, store=False)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fitting_chars")
+
+
+TOP_K_SQL = """
+WITH rows AS (
+  SELECT vec_id, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@register("op8_topk_search", TOP_K_SQL)
+def op8_topk_search(spark, sf_dir):
+    """The five best inner products of every fiftieth vector."""
+    return search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
