@@ -204,3 +204,11 @@ FROM scored QUALIFY rank <= 5
 def op8_topk_search(spark, sf_dir):
     """The five best inner products of every fiftieth vector."""
     return search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    """The five stages of corpus_pipeline over ``documents``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -79,7 +79,7 @@ def vector_links(vectors, least=0.95):
     good = {}
     for i, v in vectors.items():
         if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            good[i] = np.array(v, float)
+            good[i] = np.array(v, float) / max(map(abs, v))
     links, count = [], defaultdict(int)
     ids = sorted(good)
     for a in ids:
