@@ -58,7 +58,7 @@ def stage_table(df: DataFrame) -> DataFrame:
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 8) -> DataFrame:
     """Equi-join of rows of any skew (``left``) with a table of one row per key (``right``):
     a hot key's left rows are dealt over ``salts`` tasks, its right row is sent to each."""
-    others_hash = F.xxhash64(*[col(c) for c in left.columns])  # not rand(): a task run again must deal alike
+    others_hash = F.xxhash64(*[col(c) for c, t in left.dtypes if "map<" not in t])  # not rand(): a task run again must deal alike
     spread = left.withColumn("__salt", F.pmod(others_hash, F.lit(salts)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*keys, "__salt"], how).drop("__salt")

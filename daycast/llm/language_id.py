@@ -97,7 +97,8 @@ def identify_language(docs: DataFrame, dictionaries: dict[str, bytes], text_col:
                       chunk_bytes: int = 4096) -> DataFrame:
     """The input's columns with ``lang_pred``, ``score`` (the margin, 0 to 1) and ``rejected``
     (unknown language, or a margin under ``min_margin``)."""
-    kept = [c for c in docs.columns if c.lower() not in OUTPUTS]
+    names = [c for c in docs.columns if c.lower() not in OUTPUTS]
+    kept = [f"__in{i}" for i in range(len(names))]  # Python steps can't name columns with dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dictionaries, chunk_bytes)
@@ -109,6 +110,6 @@ def identify_language(docs: DataFrame, dictionaries: dict[str, bytes], text_col:
                 [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 [*kept, *OUTPUTS])
 
-    rows = docs.select(*[col(c) for c in kept], col(text_col).cast("string").alias("__text"))
-    schema = docs.select(*[col(c) for c in kept]).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.mapInArrow(run, schema)
+    rows = docs.select(*[col(c).alias(k) for c, k in zip(names, kept, strict=True)], col(text_col).cast("string").alias("__text"))
+    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return rows.mapInArrow(run, schema).toDF(*names, *OUTPUTS)
