@@ -57,35 +57,37 @@ def forward_fill(df: DataFrame, ts: str, cols: Sequence[str], series_keys: Seque
         *keys, _BUCKET,
         *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols],
     )
-    out = filled.join(carry, on=[*keys, _BUCKET], how="left")
+    # null-safe: the windows group rows with a NULL key, so the carry must reach them too
+    carry = carry.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, _BUCKET]})
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in [*keys, _BUCKET]]
+    out = filled.join(carry, on=same, how="left")
     return out.select(
         *[F.coalesce(F.col(c), F.col(f"__carry_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns]
     )
 
 
 def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, value_cols: Sequence[str],
-                    max_broadcast_rows: int = 2_000_000, dates_from: DataFrame | None = None) -> DataFrame:
+                    dates_from: DataFrame | None = None) -> DataFrame:
     """Attach a sparse daily series (no weekends or holidays) to hourly rows, each row
     taking the value of the latest date at or before its own date that has both a
     value and at least one base row. Dates with a value but no base rows never
     propagate, the same as joining by date first and forward-filling over base rows.
+    A date that ``daily`` repeats counts with its largest value, column by column.
 
     Work is done on one row per distinct date: base dates are reduced by an aggregate,
     the daily table is joined to them, filled with ``forward_fill`` and attached back.
-    That per-date table has one row per calendar date of the base (about 3,650 per
-    decade). It is checkpointed, counted and broadcast when within ``max_broadcast_rows``:
-    joining the big base on the date alone would shuffle every row of a busy date to one
-    task. Beyond the bound it falls back to a shuffle join.
+    That table has one row per calendar date of the base, about 3,650 a decade and under
+    four million for all years that a date can name, so it is broadcast: joining the big
+    base on the date alone would shuffle every row of a busy date to one task.
     """
     # ``dates_from`` may name a cheaper frame with the same timestamps (e.g. the base
     # before left joins that keep all of its rows)
     dates = (dates_from if dates_from is not None else base).select(F.to_date(F.col(ts)).alias(date_col)).distinct()
-    per_date = dates.join(daily.select(date_col, *value_cols), on=date_col, how="left")
+    one = daily.groupBy(date_col).agg(*[F.max(c).alias(c) for c in value_cols])
+    per_date = dates.join(one, on=date_col, how="left")
     per_date = forward_fill(per_date.withColumn("__d_ts", F.col(date_col).cast("timestamp_ntz")),
                             "__d_ts", value_cols, bucket="month").drop("__d_ts")
     other = [c for c in base.columns if c not in value_cols]
     out = base.select(*other).withColumn("__date", F.to_date(F.col(ts)))
-    from daycast.operators.joins import bounded_broadcast
-    side, _ = bounded_broadcast(per_date.withColumnRenamed(date_col, "__date"), max_broadcast_rows)
-    out = out.join(side, on="__date", how="left")
+    out = out.join(F.broadcast(per_date.withColumnRenamed(date_col, "__date")), on="__date", how="left")
     return out.drop("__date")

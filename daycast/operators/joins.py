@@ -10,32 +10,27 @@ from pyspark.sql import functions as F
 from daycast.operators.dedupe import dedupe_hours
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame, int]:
-    """Compute a side that should be small once (persisted), count it, and mark it for
-    broadcast only when it holds at most ``max_rows`` rows; beyond that it is returned
-    as is for a shuffle join. The broadcast is built from the persisted blocks, so the
-    side is computed once; if an executor is lost before that, Spark recomputes the
-    blocks from lineage."""
-    from pyspark import StorageLevel
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return (F.broadcast(small) if n <= max_rows else small), n
+def spread_join(base: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", salts: int = 8) -> DataFrame:
+    """Equi-join on a coarse key (a date, a period), which many rows of ``base`` share: each
+    key's rows are dealt over ``salts`` tasks and its rows of ``side`` are sent to all of
+    them. Whether ``side`` is small enough to broadcast instead is left to adaptive
+    execution, which knows its bytes."""
+    key = F.pmod(F.xxhash64(*[F.col(c) for c in base.columns]), F.lit(salts)).cast("int")
+    copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return base.withColumn("__salt", key).join(copies, on=[*on, "__salt"], how=how).drop("__salt")
 
 
 def join_sources(base: DataFrame, sources: Sequence[tuple[DataFrame, object]]) -> DataFrame:
     """Left-join each source onto the base. Each entry is (df, on) where ``on`` is a
     column name / list of names shared by both sides, or (base expression, source
     column) for a derived key such as the date of the base timestamp. A derived key is
-    coarse (every hour of every series shares its date), so that source is broadcast
-    after a size check instead of shuffling the base onto few keys."""
+    coarse (every hour of every series shares its date), so that join is spread."""
     out = base
     for i, (src, on) in enumerate(sources):
         if isinstance(on, tuple):
             expr, src_col = on
             key = f"__jk{i}"
-            out = out.withColumn(key, expr)
-            side, _ = bounded_broadcast(src.withColumnRenamed(src_col, key))
-            out = out.join(side, on=key, how="left").drop(key)
+            out = spread_join(out.withColumn(key, expr), src.withColumnRenamed(src_col, key), [key]).drop(key)
         else:
             out = out.join(src, on=on, how="left")
     return out
@@ -58,6 +53,8 @@ def attach_benchmark(pred: DataFrame, bench: DataFrame, key: str, value_cols: Se
 
 
 def attach_columns(left: DataFrame, right: DataFrame, key: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
-    """Left-attach selected columns of another table keyed on ``key`` (unique there)."""
+    """Left-attach selected columns of another table keyed on ``key``. A key the table
+    repeats takes its smallest row, so no row of ``left`` is multiplied."""
     key = [key] if isinstance(key, str) else list(key)
-    return left.join(right.select(*key, *cols), on=key, how="left")
+    one = right.select(*key, *cols).groupBy(*key).agg(F.min(F.struct(*cols)).alias("__row"))
+    return left.join(one, on=key, how="left").select(*left.columns, *[F.col(f"__row.{c}").alias(c) for c in cols])

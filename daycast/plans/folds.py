@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast.functions.time import week_start
+from daycast.operators.joins import spread_join
 
 IDX = "period_idx"
 
@@ -31,12 +32,10 @@ def periods(df: DataFrame, ts: str, period: str = "month") -> DataFrame:
 
 
 def tag_periods(df: DataFrame, ts: str, period: str = "month") -> DataFrame:
-    """Add ``period`` and its index. The period table has one row per calendar period
-    and is broadcast after a size check: a shuffle join on the period key would send a
-    whole month of rows to one task."""
-    from daycast.operators.joins import bounded_broadcast
-    side, _ = bounded_broadcast(periods(df, ts, period))
-    return df.withColumn("period", period_key(ts, period)).join(side, on="period", how="inner")
+    """Add ``period`` and its index. The period table has one row per calendar month or
+    week, at most some 120,000 for all years that a date can name, and is broadcast: a
+    shuffle join on the period key would send a whole month of rows to one task."""
+    return df.withColumn("period", period_key(ts, period)).join(F.broadcast(periods(df, ts, period)), on="period", how="inner")
 
 
 def fold_summary(tagged: DataFrame, min_train: int = 3) -> DataFrame:
@@ -78,12 +77,8 @@ def walk_forward_variants(tagged: DataFrame, y: str, variants: list[tuple[int, C
     stats = t.groupBy("variant", IDX, "__g").agg(F.sum("__yt").alias("__s"), F.count("__yt").alias("__c"))
     w = Window.partitionBy("variant", "__g").orderBy(IDX).rowsBetween(Window.unboundedPreceding, -1)
     prior = stats.select("variant", IDX, "__g", F.sum("__s").over(w).alias("__cs"), F.sum("__c").over(w).alias("__cc"))
-    # one row per (variant, period, group): broadcast after a size check, so the
-    # validation rows (many per key) are never shuffled onto a few period keys
-    from daycast.operators.joins import bounded_broadcast
-    prior, _ = bounded_broadcast(prior)
-    val = t.filter(F.col(IDX) >= min_train)
-    out = val.join(prior, on=["variant", IDX, "__g"], how="left")
+    # one row per (variant, period, group), of as many groups as the caller has
+    out = spread_join(t.filter(F.col(IDX) >= min_train), prior, ["variant", IDX, "__g"])
     mean_t = F.try_divide(F.col("__cs"), F.col("__cc"))
     pred = F.when(F.col("__back"), F.sinh(mean_t)).otherwise(mean_t)
     return out.select("variant", *keep, F.col(IDX).alias("fold"), F.col(y).alias("actual"), pred.alias("prediction"))

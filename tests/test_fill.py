@@ -58,3 +58,25 @@ def test_leading_null_stays_null(spark):
     gas = spark.createDataFrame([(d("2024-01-02"), 2.0)], "date date, gas double")
     out = {r.t.day: r.gas for r in fill_from_daily(base, "t", gas, "date", ["gas"]).collect()}
     assert out == {1: None, 2: 2.0}
+
+
+def test_forward_fill_reaches_rows_with_a_null_key(spark):
+    df = spark.createDataFrame([(None, "2024-01-01 00:00:00", 1.0), (None, "2024-01-02 00:00:00", None), ("a", "2024-01-02 00:00:00", None)],
+                               "k string, t string, v double").selectExpr("k", "cast(t as timestamp_ntz) AS t", "v")
+    from daycast.operators.fill import forward_fill
+    out = {(r.k, r.t.day): r.v for r in forward_fill(df, "t", ["v"], ["k"]).collect()}
+    assert out == {(None, 1): 1.0, (None, 2): 1.0, ("a", 2): None}
+
+
+def test_repeated_daily_dates_do_not_multiply_rows(spark):
+    from daycast.operators.fill import fill_from_daily
+    base = spark.sql("SELECT timestamp_ntz '2024-01-01 05:00:00' + make_dt_interval(cast(id as int)) AS t FROM range(3)")
+    daily = spark.sql("SELECT date '2024-01-01' AS d, cast(id as double) AS x FROM range(2)")
+    assert [r.x for r in fill_from_daily(base, "t", daily, "d", ["x"]).collect()] == [1.0, 1.0, 1.0]
+
+
+def test_attached_columns_do_not_multiply_rows(spark):
+    from daycast.operators.joins import attach_columns
+    left = spark.range(3).withColumnRenamed("id", "k")
+    right = spark.sql("SELECT * FROM VALUES (0L, 5), (0L, 3), (1L, 7) AS r(k, v)")
+    assert sorted((r.k, r.v) for r in attach_columns(left, right, "k", ["v"]).collect()) == [(0, 3), (1, 7), (2, None)]
