@@ -1,5 +1,5 @@
 from daycast.functions.time import (  # noqa: F401
-    as_ntz, cutoff_time, day_of_week0, epoch_day, hour_floor, month_key, month_start,
+    cutoff_time, day_of_week0, epoch_day, hour_floor, month_key, month_start,
     range_text, shift_days, to_ntz, week_label, week_start,
 )
 from daycast.functions.transforms import (  # noqa: F401

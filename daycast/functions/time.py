@@ -21,9 +21,6 @@ def to_ntz(c) -> Column:
     return _c(c).cast("timestamp_ntz")
 
 
-as_ntz = to_ntz
-
-
 def hour_floor(c) -> Column:
     """Start of the hour, computed from fields so it never leaves NTZ."""
     c = _c(c)

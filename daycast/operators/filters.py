@@ -34,7 +34,7 @@ def incomplete_count(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their counts: the check to run before the
-    window-based lags, which need unique (series, ts). One aggregation, map-side
+    """Keys that occur more than once, with their counts: what to look at when the
+    window-based lags refuse repeated stamps. One aggregation, map-side
     combined, so a hot key costs no more than any other."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from daycast import schemas as S
 from daycast.functions.time import to_ntz
-from daycast.operators.calendar import calendar_features, holiday_expr
+from daycast.operators.calendar import holiday_expr
 from daycast.operators.dedupe import dedupe_hours, latest_before_cutoff
 from daycast.operators.fill import fill_from_daily
 from daycast.operators.filters import complete_rows, require_not_null
 from daycast.operators.joins import join_sources
-from daycast.operators.lags import default_lag_name, q, window_sql
+from daycast.operators.lags import default_lag_name, packed_lags, q, time_of_day_sql, window_sql
 from daycast.operators.normalize import normalize, pivot_share, select_vintage
 
 
@@ -43,7 +43,7 @@ def feature_table(df: DataFrame, ts: str, target: str, lag_cols: Mapping[str, ob
     lag_name = lag_name or default_lag_name
     if dedupe:
         t = q(ts)
-        tod = f"hour({t}) * 3600 + minute({t}) * 60 + second({t})"
+        tod = time_of_day_sql(ts)
         others = [c for c in df.columns if c not in (*series_keys, ts)]
         order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in others)
         part = ", ".join([*map(q, series_keys), tod, f"unix_date(to_date({t}))"])
@@ -60,17 +60,15 @@ def feature_table(df: DataFrame, ts: str, target: str, lag_cols: Mapping[str, ob
     ]
     if holidays:
         cal.append(holiday_expr(f"to_date({q(ts)})").alias("is_holiday"))
-    lags = []
-    for stem, src in stems.items():
-        expr = f"{q(src[0])} - {q(src[1])}" if isinstance(src, tuple) else q(src)
-        for off in offsets:
-            lags.append(F.expr(f"first({expr}) {window_sql(ts, series_keys, off, off)}").alias(lag_name(stem, off)))
+    exprs = [f"{q(src[0])} - {q(src[1])}" if isinstance(src, tuple) else q(src) for src in stems.values()]
     rolls = []
     if roll is not None:
         w = window_sql(ts, series_keys, roll[1], roll[0])
         rc = q(roll_col or target)
         rolls = [F.expr(f"avg({rc}) {w}").alias(roll_names[0]), F.expr(f"stddev_samp({rc}) {w}").alias(roll_names[1])]
-    out = df.select(*series_keys, ts, *cal, *[F.col(f) for f in front], *lags, *rolls, F.col(target))
+    packed, lag = packed_lags(df, ts, exprs, offsets, series_keys, extra=rolls, unique=dedupe)
+    lags = [lag(i, off).alias(lag_name(stem, off)) for i, stem in enumerate(stems) for off in offsets]
+    out = packed.select(*series_keys, ts, *cal, *[F.col(f) for f in front], *lags, *(roll_names if rolls else ()), F.col(target))
     if complete:
         out = complete_rows(out, exclude=[*series_keys, ts])
     return out
@@ -169,12 +167,3 @@ def training_table(prices: DataFrame, load: DataFrame, weather: DataFrame, gas:
         j, S.TS, S.TARGET, REFERENCE_LAG_STEMS, series_keys=series_keys, offsets=tuple(S.LAG_SUFFIX),
         roll=S.ROLL_DAYS, lag_name=reference_lag_name, roll_names=("rolling_rt_mean", "rolling_rt_stddev"),
         holidays=True, complete=True, front=front, dedupe=True)
-
-
-def hourly_features(df: DataFrame, ts: str = "ts", target: str = "v", series_keys: Sequence[str] = (),
-                    lag_cols: Sequence[str] = ("v",)) -> DataFrame:
-    """Feature table of a simple hourly series (used on the test views)."""
-    return feature_table(df, ts, target, {c: c for c in lag_cols}, series_keys=series_keys)
-
-
-__all__ = ["feature_table", "training_table", "joined_filled", "hourly_features", "calendar_features"]

@@ -83,7 +83,7 @@ FROM events GROUP BY date_trunc('hour', ts)""",
   avg({_CASE.format(k='view', v='value')}) AS cloud_cover_previous_day2
 FROM events GROUP BY date_trunc('hour', ts)""",
     "f_gas": """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS period, CAST(avg(value) AS VARCHAR) AS value
-FROM events WHERE event_type = 'signup' AND dayofweek(ts) NOT IN (0, 6) GROUP BY CAST(ts AS DATE)""",
+FROM events WHERE dayofweek(ts) NOT IN (0, 6) GROUP BY CAST(ts AS DATE)""",
     "f_fuel": """SELECT strftime(h.ts, '%Y-%m-%d %H:%M:%S') AS datetime_beginning_ept,
   CASE h.event_type """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FUEL_OF_EVENT.items()) + """ END AS fuel_type,
   h.v / sum(h.v) OVER (PARTITION BY h.ts) - 0.05 AS fuel_percentage_of_total

@@ -1,7 +1,11 @@
 """Exact lags and same-hour rolling statistics: gaps, equivalence with the self-join
 form, and the physical plan (one exchange, no single partition)."""
 
+import datetime as dt
 import random
+import statistics
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -39,10 +43,8 @@ def test_window_form_equals_self_join_form_on_random_gappy_series(spark):
                 if rnd.random() < 0.8:
                     rows.append((k, f"2024-02-{day:02d} {h:02d}:00:00", round(rnd.uniform(-50, 500), 2)))
     df = _series(spark, rows)
-    a = exact_lags(df, "t", ["v"], [2, 4, 8], ["k"], method="window")
-    b = exact_lags(df, "t", ["v"], [2, 4, 8], ["k"], method="join")
-    assert a.exceptAll(b.select(*a.columns)).count() == 0
-    assert b.select(*a.columns).exceptAll(a).count() == 0
+    got = {(r.k, r.t): (r.v_lag2, r.v_lag4, r.v_lag8) for r in exact_lags(df, "t", ["v"], [2, 4, 8], ["k"]).collect()}
+    assert got == {key: tuple(past(rows, key, o) for o in (2, 4, 8)) for key in got} and len(got) == len(rows)
 
 
 def test_rolling_mean_std_over_existing_days_only(spark):
@@ -67,7 +69,7 @@ def test_std_of_single_value_is_null(spark):
 def test_offset_rows_matches_union_of_joins(spark):
     rows = [("a", f"2024-01-{d:02d} 10:00:00", float(d)) for d in range(1, 15) if d != 6]
     df = _series(spark, rows)
-    got = {(r.t, r.offset_days): r.hist_value for r in offset_rows(df, "t", "v", 2, 8, ["k"]).collect()}
+    got = {(r.t, r.offset_days): r.past_value for r in offset_rows(df, "t", "v", 2, 8, ["k"]).collect()}
     want = {}
     vals = {r[1]: r[2] for r in rows}
     for t, v in vals.items():
@@ -89,15 +91,36 @@ def test_lags_and_rolling_share_one_exchange_and_no_single_partition(spark):
     assert plan.count("Exchange hashpartitioning") == 1, plan
 
 
-def test_rolling_window_equals_union_of_self_joins(spark):
-    from daycast.operators.lags import seasonal_rolling_join
+def past(rows, key, days):
+    """The value ``days`` before a (series, time) key, looked up."""
+    at = (key[1] - dt.timedelta(days=days)).strftime("%Y-%m-%d %H:%M:%S")
+    return next((v for k, t, v in rows if (k, t) == (key[0], at)), None)
+
+
+def test_rolling_equals_looked_up_days(spark):
     rnd = random.Random(9)
     rows = [(k, f"2024-02-{day:02d} {h:02d}:00:00", round(rnd.uniform(-50, 500), 2))
             for k in ["a", "b"] for day in range(1, 25) for h in range(0, 24, 4) if rnd.random() < 0.7]
-    df = _series(spark, rows)
-    r = lambda x: x.select("k", "t", F.round("rolling_mean", 9).alias("m"), F.round("rolling_stddev", 9).alias("s"))
-    a, b = r(seasonal_rolling(df, "t", "v", 2, 8, ["k"])), r(seasonal_rolling_join(df, "t", "v", 2, 8, ["k"]))
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for r in seasonal_rolling(_series(spark, rows), "t", "v", 2, 8, ["k"]).collect():
+        found = [v for v in (past(rows, (r.k, r.t), o) for o in range(2, 9)) if v is not None]
+        assert (r.rolling_mean is None) == (not found) and (r.rolling_stddev is None) == (len(found) < 2)
+        assert not found or abs(r.rolling_mean - statistics.mean(found)) < 1e-9
+        assert len(found) < 2 or abs(r.rolling_stddev - statistics.stdev(found)) < 1e-9
+
+
+def test_stamps_within_a_second_stay_apart(spark):
+    rows = [("a", "2024-01-01 05:00:00.1", 1.0), ("a", "2024-01-03 05:00:00.5", 3.0), ("a", "2024-01-03 05:00:00.1", 4.0)]
+    out = {r.v: r.v_lag2 for r in exact_lags(_series(spark, rows), "t", ["v"], [2], ["k"]).collect()}
+    assert out == {1.0: None, 3.0: None, 4.0: 1.0}
+    rolled = {r.v: r.rolling_mean for r in seasonal_rolling(_series(spark, rows), "t", "v", 2, 8, ["k"]).collect()}
+    assert rolled == {1.0: None, 3.0: None, 4.0: 1.0}
+
+
+def test_repeated_stamps_are_refused(spark):
+    rows = [("a", "2024-01-01 05:00:00", 1.0), ("a", "2024-01-01 05:00:00", 2.0), ("a", "2024-01-03 05:00:00", 3.0)]
+    for out in (exact_lags(_series(spark, rows), "t", ["v"], [2], ["k"]), seasonal_rolling(_series(spark, rows), "t", "v", 2, 8, ["k"])):
+        with pytest.raises(Exception, match="repeated t"):
+            out.collect()
 
 
 def test_feature_table_inline_dedupe_equals_dedupe_then_features(spark):
