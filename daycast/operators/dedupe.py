@@ -1,31 +1,24 @@
-"""De-duplication and latest-version selection with map-side combine.
+"""De-duplication and latest-version selection by ``row_number() = 1``.
 
-``row_number() = 1`` ships every duplicate of a key to one task before choosing. Here
-the survivor is chosen with ``min_by`` / ``max_by`` over a struct, an aggregate with
-partial aggregation: each map task keeps one row per key, so even a key holding a third
-of all rows is reduced before the shuffle.
+Spark plans the filter on the rank as a WindowGroupLimit before the shuffle: each task
+keeps one row per key it has seen, so even a key holding a third of all rows is reduced
+where it is read, and a second one after the shuffle keeps the best of those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast.functions.time import cutoff_time
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column], largest: bool) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*order)
-    chooser = F.max_by if largest else F.min_by
-    return (
-        df.groupBy(*keys)
-        .agg(chooser(payload, rank).alias("__row"))
-        .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
-    )
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: bool) -> DataFrame:
+    by = [F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_first() for c in order]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def dedupe_hours(df: DataFrame, ts: str, series_keys: Sequence[str] = (),
@@ -36,7 +29,7 @@ def dedupe_hours(df: DataFrame, ts: str, series_keys: Sequence[str] = (),
     keys = [*series_keys, ts]
     others = [c for c in df.columns if c not in keys]
     order_cols = list(order_by or []) + [c for c in others if c not in (order_by or [])]
-    return _pick(df, keys, [F.col(c) for c in order_cols], largest=(keep == "last"))
+    return _pick(df, keys, order_cols, largest=(keep == "last"))
 
 
 def issued_before(df: DataFrame, target: str, issued: str, days_before: int = 1, hour: int = 10) -> DataFrame:
@@ -52,23 +45,14 @@ def latest_before_cutoff(df: DataFrame, target: str, issued: str, series_keys: S
     kept = issued_before(df, target, issued, days_before, hour)
     keys = [*series_keys, target]
     others = [c for c in kept.columns if c not in keys and c != issued and c not in tiebreak]
-    order = [F.col(issued), *[F.col(c) for c in tiebreak], *[F.col(c) for c in others]]
+    order = [issued, *tiebreak, *others]
     return _pick(kept, keys, order, largest=True)
 
 
-def latest_before_cutoff_ranked(df: DataFrame, target: str, issued: str, series_keys: Sequence[str] = (),
-                                tiebreak: Sequence[str] = (), days_before: int = 1, hour: int = 10) -> DataFrame:
-    """``row_number() = 1`` formulation (no map-side combine), kept for comparison."""
-    from pyspark.sql import Window
-    kept = issued_before(df, target, issued, days_before, hour)
-    w = Window.partitionBy(*series_keys, target).orderBy(F.col(issued).desc(), *[F.col(c).desc() for c in tiebreak])
-    return kept.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
-
-
 def latest_version(df: DataFrame, keys: Sequence[str], version: str, current_flag: str | None = None) -> DataFrame:
     """Current version of a re-published record: the highest version, optionally only
     among rows flagged current."""
     if current_flag is not None:
         df = df.filter(F.col(current_flag))
     others = [c for c in df.columns if c not in keys and c != version]
-    return _pick(df, list(keys), [F.col(version), *[F.col(c) for c in others]], largest=True)
+    return _pick(df, list(keys), [version, *others], largest=True)

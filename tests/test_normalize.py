@@ -73,11 +73,12 @@ def test_pivot_negative_share_clamped_only_with_company(spark):
     assert out["t2"].Storage == -0.2 and out["t2"].Coal == 0.0
 
 
-def test_max_by_form_equals_row_number_form(spark):
-    from daycast.operators.dedupe import latest_before_cutoff_ranked
-    a = latest_before_cutoff(_versions(spark), "target", "issued", tiebreak=["vid"])
-    b = latest_before_cutoff_ranked(_versions(spark), "target", "issued", tiebreak=["vid"]).select(*a.columns)
-    assert sorted(a.collect()) == sorted(b.collect())
+def test_latest_before_cutoff_equals_max_by(spark):
+    v = _versions(spark)
+    a = latest_before_cutoff(v, "target", "issued", tiebreak=["vid"])
+    kept = v.filter("issued <= timestampadd(HOUR, -14, cast(to_date(target) as timestamp_ntz))")
+    b = kept.groupBy("target").agg(F.max_by(F.struct("issued", "fc", "vid"), F.struct("issued", "vid")).alias("r")).select("target", "r.*")
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
 
 
 def test_incomplete_count_any_versus_all_null(spark):
