@@ -4,18 +4,33 @@ combine) except the histogram, which needs the range first."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def finite(c) -> Column:
+    """The value as a double where it is a number, else NULL (NaN and infinities too)."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(F.abs(x) < F.lit(math.inf), x)
+
+
+def _is_nan(df: DataFrame, c: str) -> Column:
+    floating = dict(df.dtypes)[c] in ("double", "float")
+    return F.coalesce(F.isnan(F.col(c)), F.lit(False)) if floating else F.lit(False)
+
+
 def null_audit(df: DataFrame, cols: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """One row: ``total_rows`` and a non-null count per column. ``cols`` maps output
-    name to column (or is a list; names become ``has_<col>``)."""
+    """One row: ``total_rows``, and per column the counts of its non-null values, its NULLs
+    (``<name>_nulls``) and its NaNs (``<name>_nans``). ``cols`` maps output name to column
+    (or is a list; names become ``has_<col>``)."""
     mapping = dict(cols) if isinstance(cols, Mapping) else {f"has_{c}": c for c in cols}
-    return df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  *[F.count(F.col(c)).alias(n) for n, c in mapping.items()])
+    counts = []
+    for n, c in mapping.items():
+        counts += [F.count(F.col(c)).alias(n), F.count_if(F.col(c).isNull()).alias(f"{n}_nulls"), F.count_if(_is_nan(df, c)).alias(f"{n}_nans")]
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), *counts)
 
 
 def has_nulls(df: DataFrame) -> DataFrame:
@@ -34,8 +49,8 @@ def coverage(df: DataFrame, ts: str, series_keys: Sequence[str] = ()) -> DataFra
 
 def describe_columns(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Transposed summary (one row per column): count, mean, sample std, min, 25/50/75%
-    (linear interpolation between closest ranks, as pandas / quantile_cont) and max,
-    NULLs skipped. count / mean / std / min / max are one aggregation of one scan. The
+    (linear interpolation between closest ranks, as pandas / quantile_cont) and max of
+    the finite values; ``n_null`` and ``n_nonfinite`` count what was left out. count / mean / std / min / max are one aggregation of one scan. The
     quartiles are exact via ``exact_quantiles`` (a few distributed bucket-count passes;
     no task ever holds a column's values), or a bounded sketch with ``approx``."""
     from daycast.operators.quantiles import exact_quantiles
@@ -43,8 +58,8 @@ def describe_columns(df: DataFrame, cols: Sequence[str], approx: bool = False, a
     qs = [0.25, 0.5, 0.75]
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        parts = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        x = finite(c)
+        parts = [F.count(x).alias("count"), F.count_if(F.col(c).isNull()).alias("n_null"), F.count(F.lit(1)).alias("n_rows"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                  F.min(x).alias("min"), F.max(x).alias("max")]
         if approx:
             parts.append(F.percentile_approx(x, qs, accuracy).alias("q"))
@@ -56,25 +71,27 @@ def describe_columns(df: DataFrame, cols: Sequence[str], approx: bool = False, a
     else:
         quart = exact_quantiles(df, cols, qs, stats={c: (s["count"], s["min"], s["max"]) for c, s in stats.items()})
     rows = [(c, stats[c]["count"], stats[c]["mean"], stats[c]["std"], stats[c]["min"],
-             *[None if quart[(c, q)] is None else float(quart[(c, q)]) for q in qs], stats[c]["max"]) for c in cols]
+             *[None if quart[(c, q)] is None else float(quart[(c, q)]) for q in qs], stats[c]["max"], stats[c]["n_null"],
+             stats[c]["n_rows"] - stats[c]["n_null"] - stats[c]["count"]) for c in cols]
     return df.sparkSession.createDataFrame(
         rows, "column string, count long, mean double, std double, min double, q25 double, q50 double, "
-              "q75 double, max double")
+              "q75 double, max double, n_null long, n_nonfinite long")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
-    """Equal-width histogram between min and max, the max falling in the last bin.
-    Returns every bin (empty ones with 0): bin, bin_lo, bin_hi, n. The two range
-    scalars are the only values brought to the driver."""
+    """Equal-width histogram of the finite values between min and max, the max falling in
+    the last bin. Returns every bin (empty ones with 0): bin, bin_lo, bin_hi, n; NaN,
+    infinite and NULL values are in none (``describe_columns`` counts them). The two
+    range scalars are the only values brought to the driver."""
     spark = df.sparkSession
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    x = finite(col)
+    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return spark.range(0).select(F.col("id").cast("int").alias("bin"), F.lit(None).cast("double").alias("bin_lo"),
                                      F.lit(None).cast("double").alias("bin_hi"), F.lit(0).cast("long").alias("n"))
     lo, hi = float(lo), float(hi)
     width = (hi - lo) / bins if hi > lo else 1.0
-    x = F.col(col).cast("double")
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -133,10 +150,3 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return (df.agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.explode(types).alias("t"), "n_rows")
             .select("t.dtype", "t.n_columns", "n_rows", F.lit(len(df.columns)).alias("total_columns")))
-
-
-def months(df: DataFrame, ts: str) -> DataFrame:
-    """Distinct month periods, in order, with their rank."""
-    from pyspark.sql import Window
-    m = df.select(F.date_format(F.col(ts), "yyyy-MM").alias("month")).distinct()
-    return m.withColumn("month_idx", (F.row_number().over(Window.orderBy("month")) - 1).cast("int"))

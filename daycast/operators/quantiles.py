@@ -19,23 +19,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daycast.operators.profile import finite
+
 
 def _tagged(df: DataFrame, intervals: list[tuple[int, str, float, float]]) -> DataFrame:
     """(iid, x) for every value inside one of the open intervals (literal predicates,
     no join; nested intervals of different depths may both match)."""
-    items = [F.when(F.col(c).cast("double").between(lo, hi),
-                    F.struct(F.lit(iid).alias("iid"), F.col(c).cast("double").alias("x")))
+    items = [F.when(finite(c).between(lo, hi), F.struct(F.lit(iid).alias("iid"), finite(c).alias("x")))
              for iid, c, lo, hi in intervals]
     return df.select(F.explode(F.array(*items)).alias("s")).filter(F.col("s").isNotNull()).select("s.iid", "s.x")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 4096,
                     max_leaf: int = 10000, stats: dict | None = None) -> dict[tuple[str, float], float | None]:
-    """{(column, p): quantile}, the definition of pandas / SQL ``quantile_cont``.
-    ``stats`` may pass precomputed {column: (n, min, max)}."""
+    """{(column, p): quantile} of the finite values, the definition of pandas / SQL
+    ``quantile_cont``. ``stats`` may pass precomputed {column: (n, min, max)} of those."""
     if stats is None:
-        row = df.agg(*[F.struct(F.count(F.col(c).cast("double")).alias("n"), F.min(F.col(c).cast("double")).alias("lo"),
-                                F.max(F.col(c).cast("double")).alias("hi")).alias(f"s{i}")
+        row = df.agg(*[F.struct(F.count(finite(c)).alias("n"), F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi")).alias(f"s{i}")
                        for i, c in enumerate(cols)]).first()
         stats = {c: (row[f"s{i}"]["n"], row[f"s{i}"]["lo"], row[f"s{i}"]["hi"]) for i, c in enumerate(cols)}
     need: dict[tuple[str, int], tuple[float, float, int, int]] = {}  # (col, rank) -> (lo, hi, below, n_in)
@@ -80,7 +80,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             meta = {ids[iv]: iv for iv in split}
             lo_of = F.element_at(F.create_map(*[F.lit(v) for i in meta for v in (i, meta[i][1])]), F.col("iid"))
             hi_of = F.element_at(F.create_map(*[F.lit(v) for i in meta for v in (i, meta[i][2])]), F.col("iid"))
-            b = F.least(F.floor((F.col("x") - lo_of) / ((hi_of - lo_of) / buckets)), F.lit(buckets - 1)).cast("int")
+            # halves first: the width of an interval of doubles may exceed a double; the ends
+            # fall in different buckets, so every round narrows
+            share = (F.col("x") / 2 - lo_of / 2) / (hi_of / 2 - lo_of / 2)
+            b = F.when(F.col("x") == hi_of, buckets - 1).otherwise(F.least(F.floor(share * buckets), F.lit(buckets - 2))).cast("int")
             per: dict[int, list] = {}
             for r in tagged.groupBy("iid", b.alias("b")).agg(
                     F.count(F.lit(1)).alias("cnt"), F.min("x").alias("bmin"), F.max("x").alias("bmax")).collect():
@@ -92,9 +95,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 acc = below
                 for r in sorted(per[iid], key=lambda r: r["b"]):
                     if acc + r["cnt"] > key[1]:
+                        if r["cnt"] == n_in:
+                            raise ArithmeticError(f"the interval {lo!r} to {hi!r} of {key[0]} does not narrow")
                         need[key] = (r["bmin"], r["bmax"], acc, r["cnt"])
-                        if r["cnt"] == n_in:  # cannot narrow (adjacent doubles): read as a leaf next
-                            need[key] = (r["bmin"], r["bmax"], acc, min(r["cnt"], max_leaf))
                         break
                     acc += r["cnt"]
     out = {}
