@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycast.schemas import PREDICTIONS
@@ -30,16 +31,22 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mo
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; timestamps written as local wall-clock text."""
+    """CSV with a header; timestamps written as local wall-clock text, to the microsecond."""
     (df.write.mode(mode).option("header", True)
-       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; naive timestamps with or without fractional seconds.
-    Malformed rows fail the read (no silent NULLs)."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").option("mode", "FAILFAST").csv(path))
+    """CSV with a header; naive timestamps with or without fractional seconds; NaN reads as
+    NULL. Malformed rows fail the read (no silent NULLs)."""
+    return nan_to_null(spark.read.schema(schema).option("header", True)
+                       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").option("mode", "FAILFAST").csv(path))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns as NULL: the form in which other tools write a missing number."""
+    return df.select(*[F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) if t in ("double", "float") else F.col(f"`{c}`")
+                       for c, t in df.dtypes])
 
 
 def read_predictions(spark: SparkSession, path: str, schema: T.StructType = PREDICTIONS) -> DataFrame:

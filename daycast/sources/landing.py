@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.functions.time import month_start, range_text
@@ -29,21 +31,43 @@ def missing_months(calendar: DataFrame, landed: DataFrame, month: str = "month")
     return calendar.join(landed.select(month).distinct(), on=month, how="left_anti")
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is none; any other failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def land_months(df: DataFrame, ts: str, path: str, calendar: DataFrame | None = None) -> None:
-    """Append rows of months not yet under ``path`` (partitioned by month), so an
-    interrupted backfill resumes where it stopped and never rewrites a month."""
+    """Append the months that have not landed under ``path``, so an interrupted backfill
+    resumes where it stopped and never rewrites a month.
+
+    The rows of one run go to a batch folder of their own, partitioned by month; only
+    when all are written, the run's months are marked as landed with that batch's name.
+    A batch that was cut short has no mark: ``landed_rows`` does not read it, and its months
+    land with the next run."""
     spark = df.sparkSession
     staged = df.withColumn("month", month_start(ts))
-    try:
-        landed = spark.read.parquet(path).select("month").distinct()
-    except Exception:  # nothing landed yet
-        landed = None
-    if landed is not None:
-        staged = staged.join(F.broadcast(landed), on="month", how="left_anti")
+    marks = _read_if_there(spark, f"{path}/landed")
+    if marks is not None:
+        # one row per landed month, some 120,000 for all years that a date can name
+        staged = staged.join(F.broadcast(marks.select("month").distinct()), on="month", how="left_anti")
     if calendar is not None:
-        # one row per month: broadcast, never shuffle the staged rows onto month keys
         staged = staged.join(F.broadcast(calendar.select("month").distinct()), on="month", how="left_semi")
-    staged.write.mode("append").partitionBy("month").parquet(path)
+    batch = uuid.uuid4().hex
+    staged.write.partitionBy("month").parquet(f"{path}/rows/batch={batch}")
+    written = spark.read.schema(staged.schema).parquet(f"{path}/rows/batch={batch}")
+    written.select("month").distinct().withColumn("batch", F.lit(batch)).coalesce(1).write.mode("append").parquet(f"{path}/landed")
+
+
+def landed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all landed months; files without a mark are not read."""
+    marks = spark.read.parquet(f"{path}/landed").select("month", "batch").distinct()
+    rows = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    return rows.join(F.broadcast(marks), on=["month", "batch"], how="left_semi").drop("batch")
 
 
 def extract(df: DataFrame, ts: str, start=None, end=None, key: str | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daycast.sources.io import nan_to_null
 
 # A malformed page fails the job instead of silently becoming zero rows.
 _JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "mode": "FAILFAST"}
@@ -30,7 +31,7 @@ def explode_rows(df: DataFrame, payload: str, path: Sequence[str], row: T.Struct
     arr: Column = parsed
     for name in path:
         arr = arr.getField(name)
-    return df.select(*keep, F.inline(arr))
+    return nan_to_null(df.select(*keep, F.inline(arr)))
 
 
 def zip_arrays(df: DataFrame, struct_col: str | Column, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -44,7 +45,7 @@ def zip_arrays(df: DataFrame, struct_col: str | Column, fields: Sequence[str], k
     for z in sizes[1:]:
         same = same & (z == sizes[0])
     checked = F.when(same, zipped).otherwise(F.raise_error(F.lit("parallel arrays differ in length")))
-    return df.select(*keep, F.inline(checked))
+    return nan_to_null(df.select(*keep, F.inline(checked)))
 
 
 def parse_parallel(df: DataFrame, payload: str, key: str, fields: dict[str, T.DataType],

@@ -5,12 +5,13 @@ import json
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycast.session import ensure_checkpoint_dir
 from daycast.sources.io import read_predictions, read_table, write_csv, write_table
-from daycast.sources.landing import extract, land_months, missing_months, month_calendar
+from daycast.sources.landing import extract, land_months, landed_rows, missing_months, month_calendar
 from daycast.sources.payloads import explode_rows, parse_parallel
 
 
@@ -72,14 +73,47 @@ def test_month_calendar_and_missing_months(spark):
     assert [r.month_label for r in missing_months(cal, landed).orderBy("month").collect()] == ["2024_01", "2024_04"]
 
 
+def _hours(spark, n):
+    return spark.range(n).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("t"), "id")
+
+
 def test_land_months_resumes_without_rewriting(spark):
     path = _dir(spark, "landing")
-    df = spark.range(24 * 40).select((F.lit("2024-01-01").cast("timestamp_ntz") +
-                                      F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("t"), "id")
+    df = _hours(spark, 24 * 40)
     land_months(df.filter(F.col("t") < F.lit("2024-02-01").cast("timestamp_ntz")), "t", path)
     land_months(df, "t", path)       # January already landed: only February is appended
     land_months(df, "t", path)       # nothing new
-    assert spark.read.parquet(path).count() == 24 * 40
+    assert landed_rows(spark, path).count() == 24 * 40
+
+
+def test_cut_short_batch_is_not_read_and_lands_again(spark):
+    path = _dir(spark, "landing-cut")
+    df = _hours(spark, 24 * 40)
+    df.withColumn("month", F.trunc("t", "month")).limit(5).write.partitionBy("month").parquet(f"{path}/rows/batch=cut")
+    land_months(df, "t", path)
+    assert landed_rows(spark, path).count() == 24 * 40
+
+
+def test_unreadable_marks_raise_and_add_nothing(spark, tmp_path):
+    path = str(tmp_path)
+    df = _hours(spark, 24 * 40)
+    land_months(df, "t", path)
+    before = spark.read.parquet(f"{path}/rows").count()
+    mark = next(p for p in (tmp_path / "landed").iterdir() if p.name.startswith("part-"))
+    mark.write_bytes(b"not a parquet file")
+    (tmp_path / "landed" / f".{mark.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        land_months(df, "t", path)
+    assert spark.read.parquet(f"{path}/rows").count() == before
+
+
+def test_csv_keeps_microseconds_and_reads_nan_as_null(spark):
+    path = _dir(spark, "csvmicro")
+    df = spark.createDataFrame([("2024-03-10 05:00:00.123456", float("nan"), 2.5)], "d string, actual_rt double, prediction double").select(
+        F.col("d").cast("timestamp_ntz").alias("datetime_ept"), "actual_rt", "prediction")
+    write_csv(df, path)
+    back = read_predictions(spark, path).first()
+    assert back.datetime_ept == dt.datetime(2024, 3, 10, 5, 0, 0, 123456) and back.actual_rt is None and back.prediction == 2.5
 
 
 def test_extract_pushes_filters(spark):
@@ -99,7 +133,7 @@ def test_land_months_only_within_calendar(spark):
                                       F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("t"), "id")
     cal = month_calendar(spark.createDataFrame([(dt.date(2024, 2, 1), dt.date(2024, 2, 29))], "first date, last date"))
     land_months(df, "t", path, calendar=cal)
-    got = spark.read.parquet(path)
+    got = landed_rows(spark, path)
     assert got.count() == 24 * 29 and got.select("month").distinct().count() == 1
 
 
@@ -126,7 +160,6 @@ def test_csv_reads_fractional_and_whole_second_stamps(spark):
 
 
 def test_malformed_payload_fails_instead_of_dropping_rows(spark):
-    import pytest
     row = T.StructType([T.StructField("a", T.LongType())])
     df = spark.createDataFrame([('{"items": [{"a": 1}]}',), ('{"items": [{"a": 1}',)], "payload string")
     with pytest.raises(Exception):
@@ -134,7 +167,6 @@ def test_malformed_payload_fails_instead_of_dropping_rows(spark):
 
 
 def test_parallel_arrays_of_unequal_length_fail(spark):
-    import pytest
     doc = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "x": [1.0]}}
     df = spark.createDataFrame([(json.dumps(doc),)], "payload string")
     with pytest.raises(Exception):
