@@ -1,9 +1,10 @@
-"""Session helpers: a tuned local session for tests and benches, and lineage cutting."""
+"""Session helpers: session settings, the shared checkpoint folder, and stage tables in it."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +24,17 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "daycast", conf: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session. ``master`` defaults to local[$BENCH_CPUS or 8]."""
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    builder = SparkSession.builder.master(master).appName(app)
+    """Create (or reuse) a session. Without ``master``, a job started by spark-submit keeps
+    the master and the memory it was given; only a plain Python process runs locally.
+    Shuffle partitions are the cluster's unless ``conf`` sets them."""
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    builder = SparkSession.builder.appName(app)
     settings = dict(DEFAULT_CONF)
-    settings.setdefault("spark.sql.shuffle.partitions", "8")
-    settings.setdefault("spark.driver.memory", "8g")
+    if not submitted:
+        settings["spark.driver.memory"] = "8g"
+        master = master or os.environ.get("MASTER", "local[*]")
+    if master:
+        builder = builder.master(master)
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -38,9 +44,9 @@ def get_spark(master: str | None = None, app: str = "daycast", conf: dict | None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; only when none is configured (tests,
-    local runs) set a fresh scratch folder. On a cluster ``spark.checkpoint.dir``
-    names shared storage and is used as is."""
+    """Return the cluster's checkpoint folder: ``spark.checkpoint.dir`` names shared storage
+    and is used as is. Only a local master, where all tasks share this machine's disk, may
+    go without and gets a fresh scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,20 +55,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="daycast-ckpt-")
     sc.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def persist_stage(df: DataFrame) -> DataFrame:
-    """Keep a stage that is audited (counted, profiled) and then reused, so the audit
-    does not recompute it. Spilled blocks survive memory pressure; blocks lost with an
-    executor are recomputed from lineage. For long lineages use ``cut_lineage``."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def write_stage(df: DataFrame, kind: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back: later
+    steps start from files, which survive the executors that wrote them."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{kind}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,3 +33,29 @@ def test_stream_restart_resumes_from_checkpoint(spark):
     again = run_hourly_rollup(spark, SF, "events.parquet", schema, "ts", "value", ["event_type"], out_dir=out)
     assert sorted(again.collect()) == a
     assert spark.read.parquet(os.path.join(out, "data")).select("batch_id").distinct().count() == n_batches
+
+
+def test_late_files_correct_closed_hours(spark, tmp_path):
+    """Three files in three runs, the last four days older than the first."""
+    schema = "k string, t timestamp_ntz, v double"
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    files = [[("a", "2024-01-05 10:10:00", 1.0), ("a", "2024-01-05 10:20:00", 2.0)], [("a", "2024-01-06 10:10:00", 5.0), ("a", "2024-01-05 10:59:59", 9.0)],
+             [("a", "2024-01-01 03:00:00", 7.0), ("a", "2024-01-05 10:00:00", None)]]
+    typed = spark.createDataFrame([], schema).schema
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, "k string, t string, v double").withColumn("t", F.col("t").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(source)
+        table = run_hourly_rollup(spark, source, "*.parquet", typed, "t", "v", ["k"], out_dir=out, files_per_batch=1, compact_after=2)
+        got = {r.hour_start.isoformat(): (r.mean_value, r.n) for r in table.collect()}
+    assert got == {"2024-01-05T10:00:00": (4.0, 4), "2024-01-06T10:00:00": (5.0, 1), "2024-01-01T03:00:00": (7.0, 1)}
+    assert spark.read.parquet(f"{out}/compact").count() >= 2
+
+
+def test_checkpoint_folder_is_demanded_off_local():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from daycast.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
