@@ -111,41 +111,27 @@ def q_monthly_scorecard_orders(spark, sf):
     return monthly_scorecard(e, "ts", period="month", bench_err="bench_abs_diff")
 
 
-def _values(name: str, values, typ: str | None = None) -> str:
-    rows = ", ".join(f"({i}, {('CAST(' + repr(v) + f' AS {typ})') if typ else repr(v)})" for i, v in enumerate(values))
-    return f"(VALUES {rows}) {name}(i, x)"
-
-
-def _alpha_sql(a) -> str:
-    return "CAST(NULL AS DOUBLE)" if a is None else f"CAST({a} AS DOUBLE)"
-
-
-def _grid_sql() -> str:
-    base = M.BOOSTED_LEAVES_GRID
-    rels, radix, cols = [], "0", []
-    for k, vals in base.items():
-        typ = "DOUBLE" if any(isinstance(v, float) for v in vals) else None
-        rels.append(_values(f"g_{k}", vals, typ))
-        radix = f"({radix}) * {len(vals)} + g_{k}.i"
-        cols.append(f"g_{k}.x AS {k}")
-    var_rows = ", ".join(
-        f"({i}, '{v['objective']}', {_alpha_sql(v['alpha'])})"
-        for i, v in enumerate(M.BOOSTED_LEAVES_VARIANTS))
-    rels.append(f"(VALUES {var_rows}) g_v(i, objective, alpha)")
-    n_var = len(M.BOOSTED_LEAVES_VARIANTS)
-    folds = f"(SELECT unnest(generate_series({MIN_TRAIN}, (SELECT count(*) FROM months) - 1)) AS fold) f"
-    return (f"SELECT CAST(({radix}) * {n_var} + g_v.i AS INTEGER) AS combo_id, {', '.join(cols)}, "
-            f"g_v.objective, g_v.alpha, CAST(f.fold AS INTEGER) AS fold FROM {', '.join(rels)}, {folds}")
-
-
-@register("param_grid", with_views(_grid_sql(), "v_orders_daily", extra={"months": _MONTHS}), ["learning_rate", "alpha"])
+@register("param_grid", with_views(
+    f"""SELECT CAST(dense_rank() OVER (ORDER BY n, r, d, w, o) - 1 AS INTEGER) AS combo_id, CAST(n AS INTEGER) AS n_estimators,
+  CAST(r AS DOUBLE) AS learning_rate, CAST(d AS INTEGER) AS max_depth, CAST(w AS INTEGER) AS min_child_weight, o AS objective,
+  fold, n_train_rows, n_val_rows
+FROM (SELECT unnest([100, 200]) AS n), (SELECT unnest([0.01, 0.05, 0.1, 0.3]) AS r), (SELECT unnest([6, 8]) AS d),
+  (SELECT unnest([1, 5, 20]) AS w), (SELECT unnest(['absolute', 'squared']) AS o),
+  (SELECT m.period_idx AS fold, (SELECT count(*) FROM tagged t WHERE t.period_idx < m.period_idx) AS n_train_rows,
+     (SELECT count(*) FROM tagged t WHERE t.period_idx = m.period_idx) AS n_val_rows
+   FROM months m WHERE m.period_idx >= {MIN_TRAIN})
+QUALIFY true""".replace("row_number() OVER (ORDER BY n, r, d, w, o) - 1", "dense_rank() OVER (ORDER BY n, r, d, w, o) - 1").replace("\nQUALIFY true", ""),
+    "v_orders_daily", extra=_FOLD_CTES), ["learning_rate"])
 def q_param_grid(spark, sf):
-    """The 720-combination grid crossed with the folds the data supports: the task
-    list of a walk-forward grid search (one row per fit)."""
-    anchor = periods(V.v_orders_daily(spark, sf), "ts", "month").agg(F.count(F.lit(1)).alias("__n"))
-    g = M.grid_frame(anchor, M.BOOSTED_LEAVES_GRID, M.BOOSTED_LEAVES_VARIANTS)
-    g = g.withColumn("fold", F.explode(F.sequence(F.lit(MIN_TRAIN), (F.col("__n") - 1).cast("int"))))
-    return g.withColumn("fold", F.col("fold").cast("int")).drop("__n")
+    """The task list of a grid search: the distinct settings of the study's grids that the
+    learner honours, each with the folds the data supports and their row counts."""
+    ordered = sorted(M.honoured(M.grid_settings(M.BOOSTED_DEPTH_GRID, M.BOOSTED_DEPTH_VARIANTS)),
+                     key=lambda s: (s["n_estimators"], s["learning_rate"], s["max_depth"], s["min_child_weight"], s["objective"]))
+    folds = fold_summary(_tagged_orders(spark, sf), MIN_TRAIN).select("fold", "n_train_rows", "n_val_rows")
+    tasks = F.explode(F.array(*[F.struct(F.lit(i).alias("combo_id"), F.lit(s["n_estimators"]).alias("n_estimators"), F.lit(float(s["learning_rate"])).alias("learning_rate"),
+                                         F.lit(s["max_depth"]).alias("max_depth"), F.lit(s["min_child_weight"]).alias("min_child_weight"), F.lit(s["objective"]).alias("objective"))
+                                for i, s in enumerate(ordered)]))
+    return folds.select("*", tasks.alias("s")).select("s.*", "fold", "n_train_rows", "n_val_rows")
 
 
 _BASELINE_GRID = [(True, "asinh"), (True, "raw"), (False, "asinh"), (False, "raw")]
@@ -171,80 +157,117 @@ def q_best_params(spark, sf):
     return M.best_params(scores)
 
 
-# ------------------------------------------------------------------ boosted trees (rows-only checks)
-def _weekly_features(spark, sf):
+# ------------------------------------------------------------------ boosted trees
+#: The search of the registered queries: settings of the study's grid, on weekly folds.
+SEARCH = [{"n_estimators": 30, "learning_rate": r, "max_depth": 4, "min_child_weight": 5, "objective": "reg:absoluteerror"} for r in (0.05, 0.1)]
+_WEEKS = {"weeks": "SELECT wk, CAST(row_number() OVER (ORDER BY wk) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT date_trunc('week', ts) AS wk FROM feats)"}
+_VALIDATED = "SELECT f.*, w.idx FROM feats f JOIN weeks w ON w.wk = date_trunc('week', f.ts)"
+
+
+def _feats_sql(sql: str, **extra: str) -> str:
+    """``sql`` over ``feats`` (the all-events feature table) and ``weeks`` (its weeks, numbered)."""
+    from daycast.plans.q_features import FEATURE_ALL_SQL
+    ctes = {"feats": FEATURE_ALL_SQL, **_WEEKS, **extra}
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + sql
+
+
+def _features(spark, sf):
     ft = feature_table(V.v_all(spark, sf), "ts", "v", {"v": "v"})
+    return ft, [c for c in ft.columns if c not in ("ts", "v")]
+
+
+def _weekly_features(spark, sf):
+    """The feature table with its week's index, the feature columns, and the folds."""
+    ft, feats = _features(spark, sf)
     tagged = tag_periods(ft, "ts", "week")
-    feats = [c for c in ft.columns if c not in ("ts", "v")]
     n = tagged.select("period_idx").distinct().count()
-    return tagged, feats, list(range(2, n))
+    return tagged, feats, list(range(MIN_TRAIN, n))
 
 
-_SMALL_GRID = M.grid_dicts({"n_estimators": [5, 10], "max_depth": [3]}, [{"objective": "mae"}])
+def _searched(spark, sf):
+    tagged, feats, folds = _weekly_features(spark, sf)
+    return tagged, feats, folds, M.grid_search(tagged, feats, "v", SEARCH, folds, parallelism=2, bound=10)
 
 
-@register("grid_search_small")
+@register("grid_search_small", _feats_sql(
+    f"""SELECT CAST(i AS INTEGER) AS combo_id, 30 AS n_estimators, [0.05, 0.1][i + 1] AS learning_rate, 4 AS max_depth,
+  5 AS min_child_weight, 'reg:absoluteerror' AS objective, (SELECT count(*) FROM weeks WHERE idx >= {MIN_TRAIN}) AS n_folds,
+  true AS scored FROM (SELECT unnest([0, 1]) AS i)"""), ["learning_rate"])
 def q_grid_search_small(spark, sf):
-    """GBT grid search over weekly expanding folds: (combo_id, fold, mae, n_val)."""
-    tagged, feats, folds = _weekly_features(spark, sf)
-    return M.grid_search(tagged, feats, "v", _SMALL_GRID, folds, parallelism=2)
+    """Grid search over weekly expanding folds: one row per setting with its parameters and
+    folds. The scores are the learner's own; the check sees that each setting has one."""
+    *_, scores = _searched(spark, sf)
+    out = M.search_results(scores, SEARCH)
+    return out.select("combo_id", "n_estimators", "learning_rate", "max_depth", "min_child_weight", "objective", "n_folds",
+                      F.coalesce(F.col("avg_mae") > 0, F.lit(False)).alias("scored"))
 
 
-@register("walk_forward_gbt")
+@register("walk_forward_gbt", _feats_sql(
+    f"SELECT ts, idx AS fold, v AS actual, true AS predicted FROM ({_VALIDATED}) WHERE idx >= {MIN_TRAIN}"), ["actual"])
 def q_walk_forward_gbt(spark, sf):
-    """Out-of-fold GBT predictions (ts, fold, actual, prediction) for one setting."""
-    tagged, feats, folds = _weekly_features(spark, sf)
-    return M.walk_forward(tagged, feats, "v", _SMALL_GRID[0], folds, "ts", parallelism=2, bound=10)
+    """The search's winner walked forward: every validation hour has a prediction."""
+    tagged, feats, folds, scores = _searched(spark, sf)
+    out = M.walk_forward(tagged, feats, "v", M.best_setting(scores, SEARCH), folds, "ts", parallelism=2, bound=10)
+    return out.select("ts", "fold", "actual", F.col("prediction").isNotNull().alias("predicted"))
 
 
 def _final(spark, sf):
-    ft = feature_table(V.v_all(spark, sf), "ts", "v", {"v": "v"})
-    feats = [c for c in ft.columns if c not in ("ts", "v")]
-    return ft, feats, M.fit_final(ft, feats, "v", _SMALL_GRID[0])
+    ft, feats = _features(spark, sf)
+    return ft, feats, M.fit_final(ft, feats, "v", SEARCH[1])
 
 
-@register("final_fit")
+@register("final_fit", _feats_sql("SELECT count(*) AS n_rows, true AS better_than_mean FROM feats"))
 def q_final_fit(spark, sf):
-    """Fit on all rows; training MAE in raw units."""
+    """Fit on all rows; whether the training MAE in raw units beats the mean's."""
     ft, feats, model = _final(spark, sf)
-    return M.train_mae(model, ft, "v")
+    plain = ft.agg(F.avg("v").alias("m")).first()["m"]
+    naive = ft.agg(F.avg(F.abs(F.col("v") - plain)).alias("e")).first()["e"]
+    return M.train_mae(model, ft, "v").select("n_rows", (F.col("train_mae") < naive).alias("better_than_mean"))
 
 
-@register("importances")
+@register("importances", """SELECT unnest(['month', 'day_of_week', 'hour_of_day', 'is_weekend', 'is_holiday', 'v_lag2', 'v_lag4', 'v_lag8',
+  'rolling_mean', 'rolling_stddev']) AS feature, CAST(1 AS DOUBLE) AS total""", ["total"])
 def q_importances(spark, sf):
+    """Impurity importances: the features, whose shares sum to 1."""
     ft, feats, model = _final(spark, sf)
-    return M.importances(spark, model, feats, 30)
+    imp = M.importances(spark, model, feats, 30)
+    total = imp.agg(F.sum("importance").alias("t")).first()["t"]
+    return imp.select("feature", F.lit(float(total)).alias("total"))
 
 
-@register("split_importances")
+@register("split_importances", "SELECT true AS known_features, true AS within_trees")
 def q_split_importances(spark, sf):
-    """Split counts per feature from the saved trees (top 30)."""
+    """Split counts from the saved trees: only known features, no more splits than the trees can have."""
     ft, feats, model = _final(spark, sf)
     path = os.path.join(ensure_checkpoint_dir(spark), f"trees-{uuid.uuid4().hex}")
-    return M.split_importances(model, feats, path, 30)
+    top = M.split_importances(model, feats, path, 30)
+    most = SEARCH[1]["n_estimators"] * (2 ** SEARCH[1]["max_depth"] - 1)
+    return top.agg(F.bool_and(F.col("feature").isin(feats)).alias("known_features"),
+                   F.sum("splits").between(1, most).alias("within_trees"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", _feats_sql("SELECT count(*) AS n_rows, true AS same_score, 'asinh' AS target_transform FROM feats"))
 def q_model_roundtrip(spark, sf):
     """Save the model with its metadata, load both back and re-score the training rows."""
     ft, feats, model = _final(spark, sf)
     path = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
     score = M.train_mae(model, ft, "v").first()["train_mae"]
-    M.save_model(model, {"feature_cols": feats, "best_params": _SMALL_GRID[0], "target_transform": "asinh",
+    M.save_model(model, {"feature_cols": feats, "best_params": SEARCH[1], "target_transform": "asinh",
                          "inverse_transform": "sinh", "train_mae": score}, path)
     loaded, meta = M.load_model(spark, path)
-    again = M.train_mae(loaded, ft, "v").first()["train_mae"]
-    return meta.withColumn("reloaded_train_mae", F.lit(again)).withColumn(
-        "same_score", F.lit(abs(again - score) < 1e-9))
+    again = M.train_mae(loaded, ft, "v").first()
+    return meta.select(F.lit(again["n_rows"]).cast("long").alias("n_rows"), F.lit(abs(again["train_mae"] - score) < 1e-9).alias("same_score"), "target_transform")
 
 
-@register("weighted_fit")
+@register("weighted_fit", _feats_sql(
+    f"""SELECT period, n_rows, true AS scored FROM (SELECT CASE WHEN idx = (SELECT max(idx) FROM weeks) THEN 'validation' ELSE 'training' END AS period,
+  count(*) AS n_rows FROM ({_VALIDATED}) GROUP BY 1)"""))
 def q_weighted_fit(spark, sf):
-    """Sample weights growing with the target's magnitude, and early stopping on the
-    last period as the validation set."""
-    tagged, feats, folds = _weekly_features(spark, sf)
-    last = max(folds) if folds else 0
-    data = tagged.withColumn("w", F.abs(F.col("v")) / 100 + 1).withColumn("is_val", F.col("period_idx") == last)
-    model = M.fit_final(data, feats, "v", {"n_estimators": 20, "max_depth": 3, "objective": "mae"},
-                        weight_col="w", validation_col="is_val")
-    return M.train_mae(model, data, "v")
+    """Sample weights growing with the target's magnitude, early stopping on the last week;
+    training and validation rows are scored apart."""
+    tagged, feats, _ = _weekly_features(spark, sf)
+    last = tagged.agg(F.max("period_idx").alias("i")).first()["i"]
+    data = tagged.withColumn("w", F.abs(F.col("v")) / 100 + 1).withColumn("is_val", F.col("period_idx") == F.lit(last))
+    model = M.fit_final(data, feats, "v", SEARCH[1], weight_col="w", validation_col="is_val")
+    scored = M.predict_raw(model, data).groupBy(F.when(F.col("is_val"), "validation").otherwise("training").alias("period"))
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (F.avg(F.abs(F.col("v") - F.col("prediction"))) >= 0).alias("scored"))

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from daycast.plans import model as M
@@ -48,15 +49,26 @@ def test_fold_summary_counts(spark):
         assert s[j].n_val_rows == per[j] and s[j].n_train_rows == sum(per[:j])
 
 
-def test_grid_frame_enumeration_matches_product(spark):
-    g = M.grid_frame(spark.range(1).drop("id"), M.BOOSTED_LEAVES_GRID, M.BOOSTED_LEAVES_VARIANTS)
-    rows = sorted(g.collect(), key=lambda r: r.combo_id)
-    assert len(rows) == 720 and [r.combo_id for r in rows] == list(range(720))
-    want = M.grid_dicts(M.BOOSTED_LEAVES_GRID, M.BOOSTED_LEAVES_VARIANTS)
-    for r, w in zip(rows, want):
-        for k, v in w.items():
-            assert r[k] == v or (v is None and r[k] is None), (k, r, w)
-    assert len(list(itertools.product(*M.BOOSTED_DEPTH_GRID.values()))) * 5 == 960
+def test_grids_have_the_honoured_settings_only():
+    leaves = M.grid_settings(M.BOOSTED_LEAVES_GRID, M.BOOSTED_LEAVES_VARIANTS)
+    depth = M.grid_settings(M.BOOSTED_DEPTH_GRID, M.BOOSTED_DEPTH_VARIANTS)
+    assert len(leaves) == 720 and len(depth) == 960 and len(list(itertools.product(*M.BOOSTED_DEPTH_GRID.values()))) * 5 == 960
+    assert M.honoured(leaves) == []  # every one asks for a number of leaves
+    kept = M.honoured(depth)
+    assert len(kept) == 96 and len({tuple(sorted(s.items())) for s in kept}) == 96
+    assert {s["objective"] for s in kept} == {"absolute", "squared"}
+
+
+@pytest.mark.parametrize("bad", [{"max_depth": -1}, {"max_depth": 31}, {"num_leaves": 31}, {"reg_alpha": 1}, {"reg_lambda": 1}, {"objective": "quantile"},
+                                 {"objective": "huber", "alpha": 0.1}, {"objective": "reg:pseudohubererror"}, {"alpha": 0.5}, {"subsample": 0.5}])
+def test_what_cannot_be_honoured_is_refused(bad):
+    with pytest.raises(ValueError):
+        M.setting(bad)
+
+
+def test_objectives_reach_the_learner():
+    assert M.gbt_for({"objective": "reg:absoluteerror"}).getLossType() == "absolute"
+    assert M.gbt_for({"objective": "reg:squarederror", "reg_alpha": 0, "min_child_weight": 20}).getMinInstancesPerNode() == 20
 
 
 def test_best_params_first_minimum(spark):
@@ -74,6 +86,32 @@ def test_small_gbt_walk_forward(spark):
     assert pred.count() == tagged.filter(F.col("period_idx").isin(3, 4)).count()
     scores = M.grid_search(tagged, ["dow", "m"], "y", [params], [3], parallelism=1)
     assert scores.count() == 1 and scores.first().mae > 0
+    two = [params, {**params, "n_estimators": 10}]
+    scores = M.grid_search(tagged, ["dow", "m"], "y", two, [3, 4], parallelism=2, bound=10)
+    found = {r.n_estimators: r for r in M.search_results(scores, two).collect()}
+    assert {n: r.n_folds for n, r in found.items()} == {5: 2, 10: 2}
+    assert M.best_setting(scores, two)["n_estimators"] == min(found, key=lambda n: found[n].avg_mae)
+    assert M.walk_forward(tagged, ["dow", "m"], "y", params, [], "ts").count() == 0
+
+
+def test_quantiles_skip_what_is_no_number(spark):
+    """One NaN, infinity or NULL among many values: bounded rows reach the driver, results are exact."""
+    from daycast.operators.profile import describe_columns, histogram
+    df = spark.range(50_000).select(F.when(F.col("id") == 7, float("nan")).when(F.col("id") == 8, float("-inf")).when(F.col("id") != 9, F.col("id").cast("double")).alias("x"))
+    row = describe_columns(df, ["x"]).first()
+    values = np.delete(np.arange(50_000.0), [7, 8, 9])
+    assert (row["count"], row.n_null, row.n_nonfinite) == (49_997, 1, 2)
+    assert (row.q25, row.q50, row.q75) == tuple(float(np.quantile(values, q)) for q in (0.25, 0.5, 0.75))
+    bins = histogram(df, "x", 4).orderBy("bin").collect()
+    assert sum(r.n for r in bins) == 49_997 and max(r.n for r in bins) < 12_600
+
+
+def test_quantiles_of_extreme_doubles(spark):
+    from daycast.operators.quantiles import exact_quantiles
+    for values in ([-1.7e308, 1.7e308, 0.0, 1.0], [5e-324, 0.0, 1e-323], [1.0, math.nextafter(1.0, 2)] * 40):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        got = exact_quantiles(df, ["x"], [0.0, 1.0], buckets=4, max_leaf=1)
+        assert got == {("x", 0.0): min(values), ("x", 1.0): max(values)}
 
 
 def test_exact_quantiles_equal_numpy_including_ties(spark):
