@@ -1,13 +1,13 @@
 """DuckDB SQL for the test views and shared CTEs, used as independent oracles.
 
-The oracle texts are written the way a SQL user would (self-joins per offset, UNION
-ALL, ROW_NUMBER), deliberately not mirroring the Spark plans they check.
+Each text states a rule in another form than the Spark plan it checks: lags are look-ups
+by row value, rolling statistics a lateral aggregate over the days a rule names, versions
+an ``arg_max`` with a filter, fills an ASOF join, holidays day arithmetic. Names and
+constants are restated here rather than imported from the code under test.
 """
 
 from __future__ import annotations
 
-from daycast.operators.calendar import FIXED_DATE_HOLIDAYS, NTH_WEEKDAY_HOLIDAYS
-
 VIEWS = {
     "v_hourly": "SELECT event_type, date_trunc('hour', ts) AS ts, sum(value) AS v, count(*) AS n "
                 "FROM events GROUP BY 1, 2",
@@ -16,13 +16,13 @@ VIEWS = {
                    "date_trunc('hour', ts) + to_days(CAST(event_id % 3 + 1 AS INTEGER)) AS target, "
                    "value AS fc, event_id FROM events",
     "v_twovintage": "SELECT date_trunc('hour', ts) AS ts, "
-                    "sum(CASE WHEN event_type = 'click' THEN value END) AS v_day1, "
-                    "CAST(sum(CASE WHEN event_type = 'click' THEN 1 END) AS BIGINT) AS n_day1, "
-                    "sum(CASE WHEN event_type = 'view' THEN value END) AS v_day2, "
-                    "CAST(sum(CASE WHEN event_type = 'view' THEN 1 END) AS BIGINT) AS n_day2 "
+                    "sum(value) FILTER (event_type NOT IN ('signup', 'view')) AS v_day1, "
+                    "nullif(count(*) FILTER (event_type NOT IN ('signup', 'view')), 0) AS n_day1, "
+                    "sum(value) FILTER (event_type IN ('signup', 'view')) AS v_day2, "
+                    "nullif(count(*) FILTER (event_type IN ('signup', 'view')), 0) AS n_day2 "
                     "FROM events GROUP BY 1",
     "v_daily": "SELECT CAST(ts AS DATE) AS date, avg(value) AS daily_value FROM events "
-               "WHERE event_type = 'signup' AND dayofweek(ts) NOT IN (0, 6) GROUP BY 1",
+               "WHERE dayofweek(ts) NOT IN (0, 6) GROUP BY 1",
     "v_share": "SELECT h.ts, h.event_type, h.v / t.tot - 0.05 AS share FROM v_hourly h "
                "JOIN (SELECT ts, sum(v) AS tot FROM v_hourly GROUP BY ts) t ON h.ts = t.ts",
     "v_dup": "SELECT event_type, date_trunc('hour', ts) AS ts, event_id, value FROM events",
@@ -63,118 +63,100 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_WD = {"Sun": 0, "Mon": 1, "Tue": 2, "Wed": 3, "Thu": 4, "Fri": 5, "Sat": 6}
+# Fixed values, restated: US federal holidays. Dates (month, day, first year) with the
+# neighbouring weekday they are also observed on, and weekdays by their place in the month.
+_DATES = """(VALUES (1, 1, 0, 'New Year''s Day'), (6, 19, 2021, 'Juneteenth National Independence Day'),
+  (7, 4, 0, 'Independence Day'), (11, 11, 0, 'Veterans Day'), (12, 25, 0, 'Christmas Day')) fixed(mon, dom, since, holiday)"""
+_PLACES = """(VALUES (1, 1, 15, 21, 'Martin Luther King Jr. Day'), (2, 1, 15, 21, 'Washington''s Birthday'), (5, 1, 25, 31, 'Memorial Day'),
+  (9, 1, 1, 7, 'Labor Day'), (10, 1, 8, 14, 'Columbus Day'), (11, 4, 22, 28, 'Thanksgiving')) placed(mon, dow, lo, hi, holiday)"""
 
 
 def holiday_sql(years_relation: str) -> str:
     """SELECT holiday_date, holiday_name for the years in ``years_relation`` (column
-    ``year``), observed days included, written with DuckDB date arithmetic."""
-    parts = []
-    for name, m, d, since in FIXED_DATE_HOLIDAYS:
-        cond = "TRUE" if since is None else f"hy >= {since}"
-        dd = f"make_date(CAST(hy AS INTEGER), {m}, {d})"
-        parts.append(f"SELECT y, {dd} AS holiday_date, {_q(name)} AS holiday_name FROM hb WHERE {cond}")
-        parts.append(
-            f"SELECT y, CASE dayofweek({dd}) WHEN 6 THEN {dd} - 1 WHEN 0 THEN {dd} + 1 END, "
-            f"{_q(name + ' (observed)')} FROM hb WHERE {cond} AND dayofweek({dd}) IN (0, 6)")
-    for name, m, wd, n in NTH_WEEKDAY_HOLIDAYS:
-        first = f"make_date(CAST(hy AS INTEGER), {m}, 1)"
-        if n < 0:
-            last = f"last_day({first})"
-            expr = f"{last} - CAST((dayofweek({last}) - {_WD[wd]} + 7) % 7 AS INTEGER)"
-        else:
-            expr = f"{first} + CAST(({_WD[wd]} - dayofweek({first}) + 7) % 7 + {7 * (n - 1)} AS INTEGER)"
-        parts.append(f"SELECT y, {expr}, {_q(name)} FROM hb")
-    body = " UNION ALL ".join(parts)
-    return (f"SELECT holiday_date, holiday_name FROM ("
-            f"WITH hb AS (SELECT year AS y, unnest(generate_series(year, year + 1)) AS hy FROM {years_relation}) "
-            f"{body}) WHERE year(holiday_date) = y")
-
-
-def lag_join_sql(base: str, keys: list[str], ts: str, cols: list[str], offsets: list[int],
-                 name=lambda c, o: f"{c}_lag{o}") -> tuple[str, str]:
-    """(select list, join clauses) for LEFT self-joins of ``base`` at each offset."""
-    sel, joins = [], []
-    for o in offsets:
-        a = f"l{o}"
-        on = " AND ".join([f"{a}.{k} = b.{k}" for k in keys] + [f"{a}.{ts} = b.{ts} - INTERVAL {o} DAY"])
-        joins.append(f"LEFT JOIN {base} {a} ON {on}")
-    for c in cols:
-        for o in offsets:
-            sel.append(f"l{o}.{c} AS {name(c, o)}")
-    return ", ".join(sel), " ".join(joins)
-
-
-def rolling_sql(base: str, keys: list[str], ts: str, col: str, first: int = 2, last: int = 8) -> str:
-    """UNION ALL of one inner self-join per offset, then avg / stddev per key."""
-    branches = []
-    for k in range(first, last + 1):
-        on = " AND ".join([f"d.{kk} = b.{kk}" for kk in keys] + [f"d.{ts} = b.{ts} - INTERVAL {k} DAY"])
-        sel = ", ".join([f"b.{kk}" for kk in keys] + [f"b.{ts}", f"d.{col} AS hist_value"])
-        branches.append(f"SELECT {sel} FROM {base} b JOIN {base} d ON {on}")
-    grp = ", ".join(keys + [ts])
-    return (f"SELECT {grp}, avg(hist_value) AS rolling_mean, stddev_samp(hist_value) AS rolling_stddev "
-            f"FROM ({' UNION ALL '.join(branches)}) GROUP BY {grp}")
+    ``year``): every calendar day of those years is held against the rules."""
+    days = (f"(SELECT CAST(unnest(generate_series(make_date(CAST(year AS INTEGER), 1, 1), make_date(CAST(year AS INTEGER), 12, 31), "
+            f"INTERVAL 1 DAY)) AS DATE) AS day FROM {years_relation})")
+    return f"""SELECT day AS holiday_date, holiday AS holiday_name FROM {days}, {_PLACES}
+WHERE month(day) = mon AND dayofweek(day) = dow AND dayofmonth(day) BETWEEN lo AND hi
+UNION ALL SELECT day, CASE WHEN moved = 0 THEN holiday ELSE holiday || ' (observed)' END FROM {days}, {_DATES}, (VALUES (0), (1), (-1)) m(moved)
+WHERE month(day + moved) = mon AND dayofmonth(day + moved) = dom AND year(day + moved) >= since
+  AND (moved = 0 OR (moved = 1 AND dayofweek(day) = 5) OR (moved = -1 AND dayofweek(day) = 1))"""
+
+
+def back(base: str, ts: str, days: int | str, value: str, *keys: str, of: str = "b") -> str:
+    """Scalar look-up: ``value`` (over the alias ``past``) at the same time so many days before ``of``."""
+    same = "".join(f" AND past.{k} = {of}.{k}" for k in keys)
+    return f"(SELECT {value} FROM {base} past WHERE past.{ts} = {of}.{ts} - to_days({days}){same})"
+
+
+def lag_list(base: str, ts: str, cols: list[str], offsets: list[int], *keys: str) -> str:
+    return ", ".join(f"{back(base, ts, o, 'past.' + c, *keys)} AS {c}_lag{o}" for c in cols for o in offsets)
+
+
+def rolling_lateral(base: str, ts: str, col: str, *keys: str, first: int = 2, last: int = 8, names=("rolling_mean", "rolling_stddev")) -> str:
+    """LATERAL join that gives mean and deviation over the days ``first`` to ``last`` before ``b``, at the same time of day."""
+    same = "".join(f" AND past.{k} = b.{k}" for k in keys)
+    return (f"LEFT JOIN LATERAL (SELECT avg(past.{col}) AS {names[0]}, stddev_samp(past.{col}) AS {names[1]} FROM {base} past "
+            f"WHERE past.{ts}::TIME = b.{ts}::TIME AND date_diff('day', past.{ts}::DATE, b.{ts}::DATE) BETWEEN {first} AND {last}{same}) roll ON true")
+
+
+# Fixed values, restated: the training table's columns.
+_RT = ["total_lmp_rt", "system_energy_price_rt", "congestion_price_rt", "marginal_loss_price_rt"]
+_DA = ["total_lmp_da", "system_energy_price_da", "congestion_price_da", "marginal_loss_price_da"]
+_WEATHER = ["temperature_2m", "wind_speed_10m", "cloud_cover"]
+_FUELS = {"Coal": "coal", "Gas": "gas", "Hydro": "hydro", "Multiple Fuels": "multiple_fuels", "Nuclear": "nuclear", "Oil": "oil",
+          "Other Renewables": "other_renewables", "Solar": "solar", "Wind": "wind", "Storage": "storage"}
+_LAGGED = {"lmp_rt": "total_lmp_rt", "system_energy_price_rt": "system_energy_price_rt", "congestion_price_rt": "congestion_price_rt",
+           "da_rt_lmp_difference": "total_lmp_da - total_lmp_rt", "da_rt_congestion_difference": "congestion_price_da - congestion_price_rt",
+           "marginal_loss_price_rt": "marginal_loss_price_rt", "lmp_da": "total_lmp_da", "system_energy_price_da": "system_energy_price_da",
+           "congestion_price_da": "congestion_price_da", "marginal_loss_price_da": "marginal_loss_price_da", "gas_price": "gas_price",
+           **{f"{f}_percentage": f"{f}_percentage" for f in _FUELS.values()}}
+_LAG_DAYS = {"1": 2, "3": 4, "7": 8}
+
+
+def share_sql(category: str, share: str, value: str) -> str:
+    """The largest share of a category in its group, 0 where it has none, and never below 0
+    while the group holds other categories."""
+    mine = f"max({share}) FILTER ({category} = '{value}')"
+    others = f"count(*) FILTER ({category} IS DISTINCT FROM '{value}')"
+    return f"CASE WHEN {mine} IS NULL THEN 0 WHEN {others} > 0 AND {mine} < 0 THEN 0 ELSE {mine} END"
 
 
 def training_sql(prices: str, load: str, weather: str, gas: str, fuel: str) -> str:
-    """The training table written as a SQL user would: a CTE per feed, left joins, a
-    window forward fill of gas, null filter, QUALIFY de-duplication, one self-join per
-    lag offset and a UNION ALL of seven self-joins for the rolling statistics."""
-    from daycast import schemas as S
-    from daycast.plans.features import REFERENCE_LAG_STEMS, reference_lag_name
-
-    lag_sel = []
-    for stem, src in REFERENCE_LAG_STEMS.items():
-        for off in (2, 4, 8):
-            a = f"l{off}"
-            expr = f"{a}.{src[0]} - {a}.{src[1]}" if isinstance(src, tuple) else f"{a}.{src}"
-            lag_sel.append(f"{expr} AS {reference_lag_name(stem, off)}")
-    fuel_sel = ", ".join(f"max(CASE WHEN fuel_type = '{f}' THEN fuel_percentage_of_total ELSE 0 END) AS "
-                         f"{S.fuel_column(f)}" for f in S.FUEL_TYPES)
-    weather_sel = ", ".join(
-        f"CASE WHEN hour(t) < 10 THEN {v}_previous_day1 ELSE {v}_previous_day2 END AS {v}_selected"
-        for v in S.WEATHER_VARS)
-    d1 = " AND ".join(f"{v}_previous_day1 IS NOT NULL" for v in S.WEATHER_VARS)
-    d2 = " AND ".join(f"{v}_previous_day2 IS NOT NULL" for v in S.WEATHER_VARS)
-    rolling = " UNION ALL ".join(
-        f"SELECT b.datetime_ept, h.total_lmp_rt AS x FROM jf2 b JOIN jf2 h "
-        f"ON h.datetime_ept = b.datetime_ept - INTERVAL {k} DAY" for k in range(2, 9))
-    price_cols = ", ".join([*S.PRICE_RT, *S.PRICE_DA])
+    """The training table from the five feeds, as rules over whole rows."""
+    prices_cols = ", ".join(_RT + _DA)
+    weather_cols = [f"{v}_selected" for v in _WEATHER]
+    choose = ", ".join(f"(CASE WHEN early THEN {v}_previous_day1 ELSE {v}_previous_day2 END) AS {v}_selected" for v in _WEATHER)
+    shares = ", ".join(f"{share_sql('fuel_type', 'fuel_percentage_of_total', k)} AS {v}_percentage" for k, v in _FUELS.items())
+    fuels = [f"{v}_percentage" for v in _FUELS.values()]
+    lagged = ", ".join(f"back{s}.x{i} AS lagged_{stem}_{s}" for i, stem in enumerate(_LAGGED) for s in _LAG_DAYS)
+    values = ", ".join(f"x{i} := {e}" for i, e in enumerate(_LAGGED.values()))
+    looked_up = ", ".join(f"{back('kept', 'hr', d, 'past.pack')} AS back{s}" for s, d in _LAG_DAYS.items())
+    wanted = ["temperature_2m_selected", "wind_speed_10m_selected", "cloud_cover_selected", "forecast_load_mw"]
+    every = ", ".join(f"lagged_{stem}_{s}" for stem in _LAGGED for s in _LAG_DAYS)
     return f"""
-WITH p AS (SELECT CAST(datetime_beginning_ept AS TIMESTAMP) AS datetime_ept, {price_cols} FROM {prices}),
-l AS (SELECT datetime_ept, forecast_load_mw FROM (
-        SELECT CAST(forecast_hour_beginning_ept AS TIMESTAMP) AS datetime_ept, forecast_load_mw,
-               row_number() OVER (PARTITION BY forecast_hour_beginning_ept
-                                  ORDER BY CAST(evaluated_at_ept AS TIMESTAMP) DESC, forecast_load_mw DESC) AS rn
-        FROM {load}
-        WHERE CAST(evaluated_at_ept AS TIMESTAMP) <=
-              CAST(CAST(forecast_hour_beginning_ept AS TIMESTAMP) AS DATE) - INTERVAL 1 DAY + INTERVAL 10 HOUR)
-      WHERE rn = 1),
-w AS (SELECT t AS datetime_ept, {weather_sel} FROM (SELECT CAST(time AS TIMESTAMP) AS t, * FROM {weather})
-      WHERE (hour(t) < 10 AND {d1}) OR (hour(t) >= 10 AND {d2})),
-g AS (SELECT CAST(period AS DATE) AS gas_date, CAST(value AS DOUBLE) AS gas_price FROM {gas}),
-f AS (SELECT CAST(datetime_beginning_ept AS TIMESTAMP) AS datetime_ept, {fuel_sel} FROM {fuel} GROUP BY 1),
-j AS (SELECT p.*, l.forecast_load_mw, w.* EXCLUDE (datetime_ept), g.gas_price, f.* EXCLUDE (datetime_ept)
-      FROM p LEFT JOIN l USING (datetime_ept) LEFT JOIN w USING (datetime_ept)
-      LEFT JOIN g ON CAST(p.datetime_ept AS DATE) = g.gas_date LEFT JOIN f USING (datetime_ept)),
-jf AS (SELECT * REPLACE (last_value(gas_price IGNORE NULLS) OVER (ORDER BY datetime_ept) AS gas_price) FROM j),
-jf2 AS (SELECT * FROM jf WHERE forecast_load_mw IS NOT NULL AND temperature_2m_selected IS NOT NULL
-          AND coal_percentage IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY datetime_ept ORDER BY {price_cols}) = 1),
-yrs AS (SELECT DISTINCT year(datetime_ept) AS year FROM jf2),
+WITH hours AS (SELECT datetime_beginning_ept::TIMESTAMP AS hr, * EXCLUDE (datetime_beginning_ept) FROM {prices}),
+loads AS (
+  SELECT forecast_hour_beginning_ept::TIMESTAMP AS hr,
+    arg_max(forecast_load_mw, (evaluated_at_ept::TIMESTAMP, forecast_load_mw))
+      FILTER (evaluated_at_ept::TIMESTAMP <= forecast_hour_beginning_ept::TIMESTAMP::DATE - INTERVAL 14 HOUR) AS forecast_load_mw
+  FROM {load} GROUP BY ALL),
+skies AS (
+  SELECT hr, {', '.join(weather_cols)} FROM (SELECT hr, {choose} FROM (SELECT time::TIMESTAMP AS hr, hour(time::TIMESTAMP) <= 9 AS early, * FROM {weather}))
+  WHERE {' + '.join(weather_cols)} IS NOT NULL),
+mixes AS (SELECT datetime_beginning_ept::TIMESTAMP AS hr, {shares} FROM {fuel} GROUP BY ALL),
+burnt AS (SELECT period::DATE AS day, value::DOUBLE AS gas_price FROM {gas} WHERE period::DATE IN (SELECT hr::DATE FROM hours) AND value IS NOT NULL),
+rows AS (
+  SELECT h.*, forecast_load_mw, {', '.join(weather_cols)}, gas_price, {', '.join(fuels)},
+    row_number() OVER (PARTITION BY h.hr ORDER BY {prices_cols}) AS copy
+  FROM hours h ASOF LEFT JOIN burnt ON h.hr::DATE >= burnt.day
+  JOIN loads ON loads.hr = h.hr AND forecast_load_mw IS NOT NULL JOIN skies ON skies.hr = h.hr JOIN mixes ON mixes.hr = h.hr),
+kept AS (SELECT *, struct_pack({values}) AS pack FROM rows WHERE copy = 1),
+yrs AS (SELECT DISTINCT year(hr) AS year FROM kept),
 hol AS ({holiday_sql("yrs")}),
-r AS (SELECT datetime_ept, avg(x) AS rolling_rt_mean, stddev_samp(x) AS rolling_rt_stddev FROM ({rolling}) GROUP BY 1)
-SELECT * FROM (
-  SELECT b.datetime_ept, CAST(month(b.datetime_ept) AS INTEGER) AS month,
-    CAST(dayofweek(b.datetime_ept) AS INTEGER) AS day_of_week, CAST(hour(b.datetime_ept) AS INTEGER) AS hour_of_day,
-    CASE WHEN dayofweek(b.datetime_ept) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
-    CASE WHEN CAST(b.datetime_ept AS DATE) IN (SELECT holiday_date FROM hol) THEN 1 ELSE 0 END AS is_holiday,
-    b.temperature_2m_selected, b.wind_speed_10m_selected, b.cloud_cover_selected, b.forecast_load_mw,
-    {", ".join(lag_sel)}, r.rolling_rt_mean, r.rolling_rt_stddev, b.total_lmp_rt
-  FROM jf2 b
-  LEFT JOIN jf2 l2 ON l2.datetime_ept = b.datetime_ept - INTERVAL 2 DAY
-  LEFT JOIN jf2 l4 ON l4.datetime_ept = b.datetime_ept - INTERVAL 4 DAY
-  LEFT JOIN jf2 l8 ON l8.datetime_ept = b.datetime_ept - INTERVAL 8 DAY
-  LEFT JOIN r ON r.datetime_ept = b.datetime_ept)
-WHERE COLUMNS(* EXCLUDE (datetime_ept)) IS NOT NULL"""
+looked AS (SELECT b.*, {looked_up}, roll.* FROM kept b {rolling_lateral('kept', 'hr', 'total_lmp_rt', names=('rolling_rt_mean', 'rolling_rt_stddev'))}),
+flat AS (
+  SELECT hr AS datetime_ept, month(hr)::INTEGER AS month, dayofweek(hr)::INTEGER AS day_of_week, hour(hr)::INTEGER AS hour_of_day,
+    (dayofweek(hr) % 6 = 0)::INTEGER AS is_weekend, (hr::DATE IN (SELECT holiday_date FROM hol))::INTEGER AS is_holiday,
+    {', '.join(wanted)}, {lagged}, rolling_rt_mean, rolling_rt_stddev, total_lmp_rt FROM looked)
+SELECT * FROM flat WHERE len([x FOR x IN [{', '.join(wanted)}, {every}, rolling_rt_mean, rolling_rt_stddev, total_lmp_rt]::DOUBLE[] IF x IS NULL]) = 0"""

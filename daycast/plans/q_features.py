@@ -13,26 +13,23 @@ from daycast.operators.lags import exact_lags, offset_rows, seasonal_rolling
 from daycast.operators.normalize import pivot_share, select_vintage
 from daycast.plans import views as V
 from daycast.plans.features import feature_table
-from daycast.plans.oracle import holiday_sql, lag_join_sql, rolling_sql, with_views
+from daycast.plans.oracle import back, holiday_sql, lag_list, rolling_lateral, share_sql, with_views
 from daycast.plans.registry import register
 
 LAGS = [2, 4, 8]
 
 # ---------------------------------------------------------------- feature table
-_lag_sel, _lag_join = lag_join_sql("v_hourly", ["event_type"], "ts", ["v", "n"], LAGS)
 _CAL = ("CAST(month(b.ts) AS INTEGER) AS month, CAST(dayofweek(b.ts) AS INTEGER) AS day_of_week, "
-        "CAST(hour(b.ts) AS INTEGER) AS hour_of_day, "
-        "CASE WHEN dayofweek(b.ts) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend")
-_HOL = "CASE WHEN CAST(b.ts AS DATE) IN (SELECT holiday_date FROM hol) THEN 1 ELSE 0 END AS is_holiday"
+        "CAST(hour(b.ts) AS INTEGER) AS hour_of_day, CAST(dayofweek(b.ts) % 6 = 0 AS INTEGER) AS is_weekend")
+_HOL = "CAST(CAST(b.ts AS DATE) IN (SELECT holiday_date FROM hol) AS INTEGER) AS is_holiday"
+_LAG_V, _LAG_VN = lag_list("v_hourly", "ts", ["v"], LAGS, "event_type"), lag_list("v_hourly", "ts", ["v", "n"], LAGS, "event_type")
 FEATURE_SQL = with_views(
     f"""SELECT * FROM (
-  SELECT b.event_type, b.ts, {_CAL}, {_HOL}, {_lag_sel}, r.rolling_mean, r.rolling_stddev, b.v
-  FROM v_hourly b {_lag_join}
-  LEFT JOIN r ON r.event_type = b.event_type AND r.ts = b.ts
+  SELECT b.event_type, b.ts, {_CAL}, {_HOL}, {_LAG_VN}, roll.rolling_mean, roll.rolling_stddev, b.v
+  FROM v_hourly b {rolling_lateral("v_hourly", "ts", "v", "event_type")}
 ) WHERE COLUMNS(* EXCLUDE (event_type, ts)) IS NOT NULL""",
     "v_hourly",
-    extra={"yrs": "SELECT DISTINCT year(ts) AS year FROM v_hourly", "hol": holiday_sql("yrs"),
-           "r": rolling_sql("v_hourly", ["event_type"], "ts", "v")},
+    extra={"yrs": "SELECT DISTINCT year(ts) AS year FROM v_hourly", "hol": holiday_sql("yrs")},
 )
 _FEAT_RND = ["v_lag2", "v_lag4", "v_lag8", "rolling_mean", "rolling_stddev", "v"]
 
@@ -44,16 +41,13 @@ def q_feature_table(spark, sf):
     return feature_table(h, "ts", "v", {"v": "v", "n": "n"}, series_keys=["event_type"])
 
 
-_lag_sel_a, _lag_join_a = lag_join_sql("v_all", [], "ts", ["v"], LAGS)
 FEATURE_ALL_SQL = with_views(
     f"""SELECT * FROM (
-  SELECT b.ts, {_CAL}, {_HOL}, {_lag_sel_a}, r.rolling_mean, r.rolling_stddev, b.v
-  FROM v_all b {_lag_join_a}
-  LEFT JOIN r ON r.ts = b.ts
+  SELECT b.ts, {_CAL}, {_HOL}, {lag_list("v_all", "ts", ["v"], LAGS)}, roll.rolling_mean, roll.rolling_stddev, b.v
+  FROM v_all b {rolling_lateral("v_all", "ts", "v")}
 ) WHERE COLUMNS(* EXCLUDE (ts)) IS NOT NULL""",
     "v_all",
-    extra={"yrs": "SELECT DISTINCT year(ts) AS year FROM v_all", "hol": holiday_sql("yrs"),
-           "r": rolling_sql("v_all", [], "ts", "v")},
+    extra={"yrs": "SELECT DISTINCT year(ts) AS year FROM v_all", "hol": holiday_sql("yrs")},
 )
 
 
@@ -70,17 +64,16 @@ def q_feature_columns(spark, sf):
 
 
 # ---------------------------------------------------------------- lags and rolling
-@register("exact_lags", with_views(f"SELECT b.*, {_lag_sel} FROM v_hourly b {_lag_join}", "v_hourly"),
+@register("exact_lags", with_views(f"SELECT b.*, {_LAG_VN} FROM v_hourly b", "v_hourly"),
           ["v", "v_lag2", "v_lag4", "v_lag8"], dbl=["n_lag2", "n_lag4", "n_lag8"])
 def q_exact_lags(spark, sf):
     return exact_lags(V.v_hourly(spark, sf), "ts", ["v", "n"], LAGS, ["event_type"])
 
 
-_dsel = ", ".join(f"l{o}.v - l{o}.n AS diff_lag{o}" for o in LAGS)
+_dsel = ", ".join(f"{back('v_hourly', 'ts', o, 'past.v - past.n', 'event_type')} AS diff_lag{o}" for o in LAGS)
 
 
-@register("lag_differences", with_views(f"SELECT b.event_type, b.ts, {_dsel} FROM v_hourly b {_lag_join}",
-                                        "v_hourly"), [f"diff_lag{o}" for o in LAGS])
+@register("lag_differences", with_views(f"SELECT b.event_type, b.ts, {_dsel} FROM v_hourly b", "v_hourly"), [f"diff_lag{o}" for o in LAGS])
 def q_lag_differences(spark, sf):
     lagged = exact_lags(V.v_hourly(spark, sf), "ts", ["v", "n"], LAGS, ["event_type"])
     return lagged.select("event_type", "ts", *[(F.col(f"v_lag{o}") - F.col(f"n_lag{o}")).alias(f"diff_lag{o}")
@@ -88,19 +81,16 @@ def q_lag_differences(spark, sf):
 
 
 @register("seasonal_rolling", with_views(
-    "SELECT b.*, r.rolling_mean, r.rolling_stddev FROM v_hourly b "
-    "LEFT JOIN r ON r.event_type = b.event_type AND r.ts = b.ts", "v_hourly",
-    extra={"r": rolling_sql("v_hourly", ["event_type"], "ts", "v")}), ["v", "rolling_mean", "rolling_stddev"])
+    f"SELECT b.*, roll.* FROM v_hourly b {rolling_lateral('v_hourly', 'ts', 'v', 'event_type')}", "v_hourly"),
+    ["v", "rolling_mean", "rolling_stddev"])
 def q_seasonal_rolling(spark, sf):
     return seasonal_rolling(V.v_hourly(spark, sf), "ts", "v", 2, 8, ["event_type"])
 
 
-_branches = " UNION ALL ".join(
-    f"SELECT b.event_type, b.ts, {k} AS offset_days, d.v AS hist_value FROM v_hourly b JOIN v_hourly d "
-    f"ON d.event_type = b.event_type AND d.ts = b.ts - INTERVAL {k} DAY" for k in range(2, 9))
-
-
-@register("offset_union", with_views(_branches, "v_hourly"), ["hist_value"])
+@register("offset_union", with_views(
+    """SELECT b.event_type, b.ts, CAST(date_diff('day', past.ts, b.ts) AS INTEGER) AS offset_days, past.v AS past_value
+FROM v_hourly b JOIN v_hourly past USING (event_type)
+WHERE b.ts::TIME = past.ts::TIME AND past.ts::DATE + 2 <= b.ts::DATE AND past.ts::DATE + 8 >= b.ts::DATE""", "v_hourly"), ["past_value"])
 def q_offset_union(spark, sf):
     """Long form of the same-hour history (days 2..8 back), one row per existing offset."""
     return offset_rows(V.v_hourly(spark, sf), "ts", "v", 2, 8, ["event_type"])
@@ -111,19 +101,15 @@ def q_calendar(spark, sf):
     return calendar_features(V.v_hourly(spark, sf).select("event_type", "ts"), "ts")
 
 
-_l28_sel, _l28_join = lag_join_sql("v_hourly", ["event_type"], "ts", ["v"], [2, 8])
-
-
 @register("require_not_null", with_views(
-    f"SELECT b.*, {_l28_sel} FROM v_hourly b {_l28_join} WHERE l2.v IS NOT NULL AND l8.v IS NOT NULL",
+    f"SELECT * FROM (SELECT b.*, {lag_list('v_hourly', 'ts', ['v'], [2, 8], 'event_type')} FROM v_hourly b) WHERE v_lag2 IS NOT NULL AND v_lag8 IS NOT NULL",
     "v_hourly"), ["v", "v_lag2", "v_lag8"])
 def q_require_not_null(spark, sf):
     lagged = exact_lags(V.v_hourly(spark, sf), "ts", ["v"], [2, 8], ["event_type"])
     return require_not_null(lagged, ["v_lag2", "v_lag8"])
 
 
-_lv_sel, _lv_join = lag_join_sql("v_hourly", ["event_type"], "ts", ["v"], LAGS)
-_LAGGED_V = f"SELECT b.*, {_lv_sel} FROM v_hourly b {_lv_join}"
+_LAGGED_V = f"SELECT b.*, {_LAG_V} FROM v_hourly b"
 
 
 def _lagged_v(spark, sf):
@@ -159,25 +145,22 @@ def q_point_lookup(spark, sf):
 
 # ---------------------------------------------------------------- normalise / versions
 @register("latest_before_cutoff", with_views(
-    """SELECT series, target, issued, fc, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY series, target ORDER BY issued DESC, event_id DESC) AS rn
-  FROM v_versioned
-  WHERE issued <= CAST(CAST(target AS DATE) AS TIMESTAMP) - INTERVAL 1 DAY + INTERVAL 10 HOUR
-) WHERE rn = 1""", "v_versioned"), ["fc"])
+    """SELECT series, target, last.* FROM (
+  SELECT series, target, arg_max({'issued': issued, 'fc': fc, 'event_id': event_id}, (issued, event_id))
+    FILTER (issued <= target::DATE - INTERVAL 14 HOUR) AS last
+  FROM v_versioned GROUP BY series, target) WHERE last IS NOT NULL""", "v_versioned"), ["fc"])
 def q_latest_before_cutoff(spark, sf):
     return latest_before_cutoff(V.v_versioned(spark, sf), "target", "issued", ["series"], tiebreak=["event_id"])
 
 
 @register("dedupe_hours", with_views(
-    """SELECT event_type, ts, event_id, value FROM v_dup
-QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id) = 1""", "v_dup"), ["value"])
+    "SELECT event_type, ts, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM v_dup GROUP BY ALL", "v_dup"), ["value"])
 def q_dedupe_hours(spark, sf):
     return dedupe_hours(V.v_dup(spark, sf), "ts", ["event_type"], order_by=["event_id"])
 
 
 @register("latest_version", with_views(
-    """SELECT event_type, ts, event_id, value FROM v_dup
-QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1""", "v_dup"), ["value"])
+    "SELECT event_type, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM v_dup GROUP BY ALL", "v_dup"), ["value"])
 def q_latest_version(spark, sf):
     """Current version of a re-published hour: the highest version number wins."""
     return latest_version(V.v_dup(spark, sf), ["event_type", "ts"], "event_id").select(
@@ -185,18 +168,15 @@ def q_latest_version(spark, sf):
 
 
 @register("vintage_select", with_views(
-    """SELECT ts,
-  CASE WHEN hour(ts) < 10 THEN v_day1 ELSE v_day2 END AS v_selected,
-  CASE WHEN hour(ts) < 10 THEN n_day1 ELSE n_day2 END AS n_selected
-FROM v_twovintage
-WHERE (hour(ts) < 10 AND v_day1 IS NOT NULL AND n_day1 IS NOT NULL)
-   OR (hour(ts) >= 10 AND v_day2 IS NOT NULL AND n_day2 IS NOT NULL)""", "v_twovintage"), ["v_selected"])
+    """SELECT ts, chosen[1] AS v_selected, CAST(chosen[2] AS BIGINT) AS n_selected FROM (
+  SELECT ts, [[v_day1, n_day1], [v_day2, n_day2]][1 + (hour(ts) // 10 > 0)::INTEGER] AS chosen FROM v_twovintage)
+WHERE chosen[1] + chosen[2] IS NOT NULL""", "v_twovintage"), ["v_selected"])
 def q_vintage_select(spark, sf):
     return select_vintage(V.v_twovintage(spark, sf), "ts",
                           {"v_selected": ("v_day1", "v_day2"), "n_selected": ("n_day1", "n_day2")}, 10)
 
 
-_piv = ", ".join(f"max(CASE WHEN event_type = '{t}' THEN share ELSE 0 END) AS {t}_share" for t in V.EVENT_TYPES)
+_piv = ", ".join(f"{share_sql('event_type', 'share', t)} AS {t}_share" for t in ["click", "error", "purchase", "signup", "view"])
 
 
 @register("category_pivot", with_views(f"SELECT ts, {_piv} FROM v_share GROUP BY ts", "v_share"),
@@ -207,40 +187,45 @@ def q_category_pivot(spark, sf):
 
 
 # ---------------------------------------------------------------- joins and fills
-@register("source_join", with_views(
-    """SELECT a.ts, a.v, c.v AS click_v, d.daily_value FROM v_all a
-LEFT JOIN (SELECT ts, v FROM v_hourly WHERE event_type = 'click') c ON c.ts = a.ts
-LEFT JOIN v_daily d ON d.date = CAST(a.ts AS DATE)""", "v_all", "v_hourly", "v_daily"),
-    ["v", "click_v", "daily_value"])
+_TYPES = ["click", "error", "purchase", "signup", "view"]
+SOURCE_JOIN_SQL = (
+    "SELECT a.ts, a.v, " + ", ".join(f"(SELECT v FROM v_hourly s WHERE s.ts = a.ts AND s.event_type = '{t}') AS {t}_v" for t in _TYPES)
+    + ", (SELECT daily_value FROM v_daily d WHERE d.date = CAST(a.ts AS DATE)) AS daily_value FROM v_all a")
+SOURCE_JOIN_VIEWS = ("v_all", "v_hourly", "v_daily")
+
+
+def source_join(spark, sf):
+    """The all-events hours with each event type's series (missing hours are NULL) and the daily series."""
+    h = V.v_hourly(spark, sf)
+    sides = [(h.filter(F.col("event_type") == t).select("ts", F.col("v").alias(f"{t}_v")), "ts") for t in V.EVENT_TYPES]
+    return join_sources(V.v_all(spark, sf), [*sides, (V.v_daily(spark, sf), (F.to_date("ts"), "date"))])
+
+
+@register("source_join", with_views(SOURCE_JOIN_SQL, *SOURCE_JOIN_VIEWS), ["v", *[f"{t}_v" for t in _TYPES], "daily_value"])
 def q_source_join(spark, sf):
-    a = V.v_all(spark, sf)
-    click = V.v_hourly(spark, sf).filter(F.col("event_type") == "click").select("ts", F.col("v").alias("click_v"))
-    daily = V.v_daily(spark, sf)
-    return join_sources(a, [(click, "ts"), (daily, (F.to_date("ts"), "date"))])
+    return source_join(spark, sf)
 
 
 @register("fill_from_daily", with_views(
-    """SELECT ts, v, last_value(daily_value IGNORE NULLS) OVER (ORDER BY ts) AS daily_value FROM (
-  SELECT a.ts, a.v, d.daily_value FROM v_all a LEFT JOIN v_daily d ON CAST(a.ts AS DATE) = d.date)""",
+    """SELECT a.ts, a.v, d.daily_value FROM v_all a
+ASOF LEFT JOIN (SELECT * FROM v_daily WHERE daily_value IS NOT NULL AND date IN (SELECT CAST(ts AS DATE) FROM v_all)) d ON CAST(a.ts AS DATE) >= d.date""",
     "v_all", "v_daily"), ["v", "daily_value"])
 def q_fill_from_daily(spark, sf):
     return fill_from_daily(V.v_all(spark, sf), "ts", V.v_daily(spark, sf), "date", ["daily_value"])
 
 
 @register("forward_fill", with_views(
-    """SELECT event_type, ts, v, n,
-  last_value(CASE WHEN n > 2 THEN v END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts) AS v_sparse
-FROM v_hourly""", "v_hourly"), ["v", "v_sparse"])
+    """SELECT h.event_type, h.ts, h.v, h.n, full_.v AS v_sparse FROM v_hourly h
+ASOF LEFT JOIN (SELECT * FROM v_hourly WHERE n > 2 AND v IS NOT NULL) full_ ON h.event_type = full_.event_type AND h.ts >= full_.ts""", "v_hourly"), ["v", "v_sparse"])
 def q_forward_fill(spark, sf):
     h = V.v_hourly(spark, sf).withColumn("v_sparse", F.when(F.col("n") > 2, F.col("v")))
     return forward_fill(h, "ts", ["v_sparse"], ["event_type"])
 
 
 @register("forward_fill_wide", with_views(
-    """SELECT ts,
-  last_value(v_day1 IGNORE NULLS) OVER (ORDER BY ts) AS v_day1, n_day1,
-  last_value(v_day2 IGNORE NULLS) OVER (ORDER BY ts) AS v_day2, n_day2
-FROM v_twovintage""", "v_twovintage"), ["v_day1", "v_day2"], dbl=["n_day1", "n_day2"])
+    """SELECT t.ts, one.v_day1, t.n_day1, two.v_day2, t.n_day2 FROM v_twovintage t
+ASOF LEFT JOIN (SELECT * FROM v_twovintage WHERE v_day1 IS NOT NULL) one ON t.ts >= one.ts
+ASOF LEFT JOIN (SELECT * FROM v_twovintage WHERE v_day2 IS NOT NULL) two ON t.ts >= two.ts""", "v_twovintage"), ["v_day1", "v_day2"], dbl=["n_day1", "n_day2"])
 def q_forward_fill_wide(spark, sf):
     """Unkeyed fill across day boundaries (the two-level scan's carry path)."""
     return forward_fill(V.v_twovintage(spark, sf), "ts", ["v_day1", "v_day2"])
@@ -268,20 +253,19 @@ def q_holiday_flag(spark, sf):
 
 
 # ---------------------------------------------------------------- unify feeds
-@register("unify_feeds", """SELECT date_trunc('hour', ts) AS datetime_ept, 'DOM' AS area, value AS price,
-  event_id AS record_id, 'rt_feed' AS source FROM events WHERE event_type = 'click'
-UNION ALL
-SELECT date_trunc('hour', ts), 'DOM', value * 2, event_id, 'da_feed' FROM events WHERE event_type = 'view'""",
-          ["price"])
+@register("unify_feeds", """SELECT date_trunc('hour', ts) AS datetime_ept, 'DOM' AS area,
+  value * (1 + (event_type IN ('signup', 'view'))::INTEGER) AS price, event_id AS record_id,
+  CASE WHEN event_type IN ('signup', 'view') THEN 'da_feed' ELSE 'rt_feed' END AS source FROM events""", ["price"])
 def q_unify_feeds(spark, sf):
     """Two feeds with different field names and area codes mapped onto one schema."""
     from daycast.functions.time import hour_floor
     from daycast.operators.unify import unify_feeds
     e = V.events(spark, sf)
-    a = e.filter(F.col("event_type") == "click").select(
+    second = F.col("event_type").isin("signup", "view")
+    a = e.filter(~second).select(
         F.col("ts").alias("datetime_beginning_ept"), F.lit("DOM").alias("zone"), F.col("value").alias("lmp"),
         F.col("event_id").alias("id"))
-    b = e.filter(F.col("event_type") == "view").select(
+    b = e.filter(second).select(
         F.col("ts").alias("interval_start"), F.lit("DOMINION").alias("area_code"),
         (F.col("value") * 2).alias("price_usd"), F.col("event_id").alias("row_id"))
     return unify_feeds([

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from daycast.functions.time import to_ntz
 from daycast.functions.transforms import clip
-from daycast.operators.joins import join_sources
 from daycast.operators.normalize import normalize
 from daycast.operators.profile import (
     coverage, describe_columns, has_nulls, histogram, latest_rows, null_audit, preview, schema_profile,
@@ -14,34 +13,31 @@ from daycast.operators.profile import (
 )
 from daycast.plans import views as V
 from daycast.plans.oracle import with_views
+from daycast.plans.q_features import SOURCE_JOIN_SQL, SOURCE_JOIN_VIEWS, source_join
 from daycast.plans.registry import register
 from daycast.sources.landing import extract
 
 
-def _source_join(spark, sf):
-    a = V.v_all(spark, sf)
-    click = V.v_hourly(spark, sf).filter(F.col("event_type") == "click").select("ts", F.col("v").alias("click_v"))
-    return join_sources(a, [(click, "ts"), (V.v_daily(spark, sf), (F.to_date("ts"), "date"))])
-
-
-_SJ = """SELECT a.ts, a.v, c.v AS click_v, d.daily_value FROM v_all a
-LEFT JOIN (SELECT ts, v FROM v_hourly WHERE event_type = 'click') c ON c.ts = a.ts
-LEFT JOIN v_daily d ON d.date = CAST(a.ts AS DATE)"""
+_SIDES = {"has_click": "click_v", "has_view": "view_v", "has_daily": "daily_value"}
+_SJ = SOURCE_JOIN_SQL
 
 
 @register("null_audit", with_views(
-    f"SELECT count(*) AS total_rows, count(click_v) AS has_click, count(daily_value) AS has_daily FROM ({_SJ})",
-    "v_all", "v_hourly", "v_daily"))
+    "SELECT count(*) AS total_rows, " + ", ".join(
+        f"count({c}) AS {n}, count(*) - count({c}) AS {n}_nulls, count(*) FILTER (isnan({c})) AS {n}_nans" for n, c in _SIDES.items())
+    + f" FROM (SELECT * REPLACE (CASE WHEN hour(ts) = 3 THEN 'NaN'::DOUBLE ELSE view_v END AS view_v) FROM ({_SJ}))", *SOURCE_JOIN_VIEWS))
 def q_null_audit(spark, sf):
-    """Row count and non-null count per joined source (which sources leave gaps)."""
-    return null_audit(_source_join(spark, sf), {"has_click": "click_v", "has_daily": "daily_value"})
+    """Row count, and values, NULLs and NaNs per joined source (which sources leave gaps);
+    one source's value is NaN at 3 o'clock."""
+    joined = source_join(spark, sf).withColumn("view_v", F.when(F.hour("ts") == 3, F.lit(float("nan"))).otherwise(F.col("view_v")))
+    return null_audit(joined, _SIDES)
 
 
 @register("has_nulls", with_views(
-    f"SELECT coalesce(bool_or(ts IS NULL OR v IS NULL OR click_v IS NULL OR daily_value IS NULL), false) "
-    f"AS has_nulls FROM ({_SJ})", "v_all", "v_hourly", "v_daily"))
+    f"SELECT count(*) FILTER (len([x FOR x IN [v, click_v, error_v, purchase_v, signup_v, view_v, daily_value] IF x IS NULL]) > 0) > 0 AS has_nulls FROM ({_SJ})",
+    *SOURCE_JOIN_VIEWS))
 def q_has_nulls(spark, sf):
-    return has_nulls(_source_join(spark, sf))
+    return has_nulls(source_join(spark, sf))
 
 
 @register("coverage", "SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows "
@@ -50,32 +46,48 @@ def q_coverage(spark, sf):
     return coverage(V.events(spark, sf), "ts", ["event_type"])
 
 
-_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "odd_tax"]
+# a column with every kind of value that is none
+_ODD_SQL = "CASE l_linenumber WHEN 7 THEN 'NaN'::DOUBLE WHEN 6 THEN 'Infinity'::DOUBLE WHEN 5 THEN NULL ELSE l_tax END"
+
+
+def _odd(li):
+    n = F.col("l_linenumber")
+    return li.withColumn("odd_tax", F.when(n == 7, float("nan")).when(n == 6, float("inf")).when(n != 5, F.col("l_tax")))
+
+
 _desc_sql = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
-    f"CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, "
-    f"quantile_cont({c}, 0.75) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in _DESC_COLS)
+    f"SELECT '{c}' AS \"column\", count(x) AS count, avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min, quantile_cont(x, 0.25) AS q25, "
+    f"quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75, max(x) AS max, count(*) - count(y) AS n_null, count(y) - count(x) AS n_nonfinite "
+    f"FROM (SELECT CAST({c} AS DOUBLE) AS y, CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS x FROM odd)" for c in _DESC_COLS)
 
 
-@register("describe_columns", _desc_sql, ["mean", "std", "min", "q25", "q50", "q75", "max"])
+@register("describe_columns", f"WITH odd AS (SELECT *, {_ODD_SQL} AS odd_tax FROM lineitem) {_desc_sql}", ["mean", "std", "min", "q25", "q50", "q75", "max"])
 def q_describe_columns(spark, sf):
-    """count, mean, std, min, quartiles, max per numeric column, one row per column."""
-    return describe_columns(V.lineitem(spark, sf), _DESC_COLS)
-
-
-@register("histogram", """WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
-b AS (SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 100)), 99) AS INTEGER) AS bin
-      FROM lineitem, s WHERE l_extendedprice IS NOT NULL),
-c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
-SELECT g.bin, lo + g.bin * ((hi - lo) / 100) AS bin_lo, lo + (g.bin + 1) * ((hi - lo) / 100) AS bin_hi,
-  coalesce(c.n, 0) AS n
-FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(100)) g CROSS JOIN s LEFT JOIN c ON c.bin = g.bin""",
-          ["bin_lo", "bin_hi"])
+    """count, mean, std, min, quartiles, max of the finite values per numeric column, and
+    the counts of what is none."""
+    return describe_columns(_odd(V.lineitem(spark, sf)), _DESC_COLS)
+
+
+def _histogram_sql(value: str, bins: int) -> str:
+    return f"""WITH x AS (SELECT v FROM (SELECT CAST({value} AS DOUBLE) AS v FROM lineitem) WHERE isfinite(v)),
+s AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / {bins} AS width FROM x)
+SELECT CAST(g.bin AS INTEGER) AS bin, lo + g.bin * width AS bin_lo, lo + (g.bin + 1) * width AS bin_hi,
+  (SELECT count(*) FROM x WHERE least(floor((v - lo) / width), {bins - 1}) = g.bin) AS n FROM range({bins}) g(bin), s"""
+
+
+@register("histogram", _histogram_sql("l_extendedprice", 100), ["bin_lo", "bin_hi"])
 def q_histogram(spark, sf):
     """100 equal-width bins of the extended price, empty bins included."""
     return histogram(V.lineitem(spark, sf), "l_extendedprice", 100)
 
 
+@register("histogram_finite", _histogram_sql(_ODD_SQL, 7), ["bin_lo", "bin_hi"])
+def q_histogram_finite(spark, sf):
+    """A histogram of a column that also holds NaN, infinite and NULL values."""
+    return histogram(_odd(V.lineitem(spark, sf)), "odd_tax", 7)
+
+
 _CORR_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey"]
 _corr_sql = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), l_extendedprice) AS corr FROM lineitem" for c in _CORR_COLS)
@@ -105,15 +117,22 @@ def q_latest_rows(spark, sf):
     return latest_rows(o, "o_orderdate", 10, tiebreak=["o_orderkey"])
 
 
-@register("preview")
+@register("preview", "SELECT least(count(*), 5) AS n_rows, least(count(*), 5) AS n_found FROM orders")
 def q_preview(spark, sf):
-    """Unordered peek at a table (rows-only check: which rows is not defined)."""
-    return preview(V.orders(spark, sf), 5)
-
-
-@register("schema_profile")
+    """Unordered peek at a table: which rows is not defined, so they are looked up in it."""
+    o = V.orders(spark, sf)
+    keys = preview(o, 5).select("o_orderkey", F.lit(1).alias("seen"))
+    n = keys.agg(F.count("seen").alias("n_rows"))
+    found = o.select("o_orderkey").distinct().join(keys, "o_orderkey").agg(F.sum("seen").alias("n_found"))
+    return n.select("n_rows", found.select(F.coalesce("n_found", F.lit(0)).cast("long")).scalar().alias("n_found"))
+
+
+@register("schema_profile", """SELECT CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' ELSE 'timestamp_ntz' END AS dtype,
+  CAST(count(*) AS INTEGER) AS n_columns, (SELECT count(*) FROM lineitem) AS n_rows, CAST(sum(count(*)) OVER () AS INTEGER) AS total_columns
+FROM (DESCRIBE lineitem) GROUP BY 1""")
 def q_schema_profile(spark, sf):
-    """Type counts, column count and row count of the feature table input."""
+    """Type counts, column count and row count of a table."""
     return schema_profile(V.lineitem(spark, sf))
 
 

@@ -14,9 +14,9 @@ from daycast.operators.sets import union_all
 from daycast.plans import views as V
 from daycast.plans.oracle import with_views
 from daycast.plans.registry import register
-from daycast.session import ensure_checkpoint_dir
+from daycast.session import ensure_checkpoint_dir, write_stage
 from daycast.sources.io import read_predictions, read_table, write_csv, write_table
-from daycast.sources.landing import missing_months, month_calendar
+from daycast.sources.landing import land_months, landed_rows, missing_months, month_calendar
 from daycast.sources.payloads import explode_rows, parse_parallel
 from daycast.streaming.hourly import run_hourly_rollup
 
@@ -53,11 +53,15 @@ _ROW = T.StructType([
 ])
 
 
+PAGE_ROWS = 500
+
+
 def _pages(spark, sf, wrap):
-    """API-style pages: one JSON document per (event type, hour) holding its rows."""
+    """API-style pages: JSON documents of at most ``PAGE_ROWS`` rows of one event type,
+    however many events an hour has."""
     e = V.events(spark, sf)
     rows = F.collect_list(F.struct("event_id", "ts", "user_id", "value"))
-    page = e.groupBy("event_type", hour_floor("ts").alias("page")).agg(rows.alias("rows"))
+    page = e.groupBy("event_type", F.floor(F.col("event_id") / PAGE_ROWS).alias("page")).agg(rows.alias("rows"))
     return page.select("event_type", F.to_json(wrap(F.col("rows")), _TSFMT).alias("payload"))
 
 
@@ -118,18 +122,42 @@ def q_missing_months(spark, sf):
     return missing_months(cal, landed)
 
 
+@register("land_months", """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_orders
+FROM orders GROUP BY 1""", dates=["month"])
+def q_land_months(spark, sf):
+    """A backfill in two runs, the first of which stops half-way through the months: every
+    month is landed once."""
+    o = V.orders(spark, sf).select("o_orderkey", "o_orderdate", "o_totalprice")
+    path = scratch(spark, "landing")
+    half = o.agg(F.expr("timestampadd(SECOND, cast(timestampdiff(SECOND, min(o_orderdate), max(o_orderdate)) / 2 as int), min(o_orderdate))").alias("h"))
+    months = month_calendar(half.select(F.lit("1900-01-01").cast("date").alias("first"), F.to_date("h").alias("last")))
+    land_months(o, "o_orderdate", path, months)
+    land_months(o, "o_orderdate", path)
+    return landed_rows(spark, path).groupBy("month").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"))
+
+
+@register("stage_table", with_views("SELECT event_type, ts, v, n FROM v_hourly WHERE n > 1", "v_hourly"), ["v"])
+def q_stage_table(spark, sf):
+    """A stage written to the shared checkpoint folder; what follows reads its files."""
+    return write_stage(V.v_hourly(spark, sf)).filter("n > 1").select("event_type", "ts", "v", "n")
+
+
 @register("hourly_stream", """SELECT event_type, date_trunc('hour', ts) AS hour_start, avg(value) AS mean_value,
   count(*) AS n FROM events GROUP BY 1, 2""", ["mean_value"])
 def q_hourly_stream(spark, sf):
-    """Structured Streaming: hourly mean per event type with a watermark, upserted per
-    micro-batch (runs once over the files available now)."""
-    schema = read_table(spark, f"{sf}/events.parquet").schema
-    return run_hourly_rollup(spark, sf, "events.parquet", schema, "ts", "value", ["event_type"])
+    """Structured Streaming: hourly mean per event type, merged per micro-batch. The events
+    come as four files out of order, one to a micro-batch, so every hour is corrected by
+    later batches."""
+    folder = scratch(spark, "readings")
+    e = V.events(spark, sf)
+    for k in range(4):
+        e.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k).coalesce(1).write.parquet(f"{folder}/file={k}")
+    return run_hourly_rollup(spark, f"{folder}/*", "*.parquet", e.schema, "ts", "value", ["event_type"], files_per_batch=1)
 
 
 @register("latest_version_stream", """SELECT event_type, ts, event_id, value FROM (
   SELECT event_type, date_trunc('hour', ts) AS ts, event_id, value FROM events)
-QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1""", ["value"])
+QUALIFY event_id = max(event_id) OVER (PARTITION BY event_type, ts)""", ["value"])
 def q_latest_version_stream(spark, sf):
     """Streaming keyed upsert: the current (highest) version per (event type, hour)."""
     from daycast.streaming.versions import run_latest_versions

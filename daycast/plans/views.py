@@ -17,16 +17,8 @@ from daycast.sources.io import read_table
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table as a lazy DataFrame, memoised per session and path (only the
-    plan is kept, like a catalog entry: footers are not re-read for every view)."""
-    key = (spark._jsparkSession.hashCode(), f"{sf_dir}/{name}.parquet")
-    if key not in _TABLES:
-        _TABLES[key] = read_table(spark, key[1])
-    return _TABLES[key]
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,23 +57,25 @@ def v_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_twovintage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hour rows with two vintages side by side: day1 = click, day2 = view."""
+    """Hour rows with two vintages side by side, each of some of the event types (NULL in an
+    hour without them)."""
     e = events(spark, sf_dir)
 
-    def part(kind, what):
-        hit = F.col("event_type") == kind
+    def part(kinds, what):
+        hit = F.col("event_type").isin(kinds)
         return F.sum(F.when(hit, F.col("value") if what == "v" else F.lit(1)))
 
+    one, two = ["click", "error", "purchase"], ["signup", "view"]
     return e.groupBy(hour_floor("ts").alias("ts")).agg(
-        part("click", "v").alias("v_day1"), part("click", "n").cast("long").alias("n_day1"),
-        part("view", "v").alias("v_day2"), part("view", "n").cast("long").alias("n_day2"))
+        part(one, "v").alias("v_day1"), part(one, "n").cast("long").alias("n_day1"),
+        part(two, "v").alias("v_day2"), part(two, "n").cast("long").alias("n_day2"))
 
 
 def v_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse daily series: signup events on weekdays, (date, daily_value)."""
+    """Sparse daily series, as markets have it: weekdays only, (date, daily_value)."""
     e = events(spark, sf_dir)
     d = F.to_date("ts")
-    return (e.filter((F.col("event_type") == "signup") & ~F.dayofweek(d).isin(1, 7))
+    return (e.filter(~F.dayofweek(d).isin(1, 7))
             .groupBy(d.alias("date")).agg(F.avg("value").alias("daily_value")))
 
 
