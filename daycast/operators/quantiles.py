@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             hi_of = F.element_at(F.create_map(*[F.lit(v) for i in meta for v in (i, meta[i][2])]), F.col("iid"))
             # halves first: the width of an interval of doubles may exceed a double; the ends
             # fall in different buckets, so every round narrows
-            share = (F.col("x") / 2 - lo_of / 2) / (hi_of / 2 - lo_of / 2)
+            share = F.coalesce(F.try_divide(F.col("x") / 2 - lo_of / 2, hi_of / 2 - lo_of / 2), F.lit(0.0))
             b = F.when(F.col("x") == hi_of, buckets - 1).otherwise(F.least(F.floor(share * buckets), F.lit(buckets - 2))).cast("int")
             per: dict[int, list] = {}
             for r in tagged.groupBy("iid", b.alias("b")).agg(

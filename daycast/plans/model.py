@@ -112,7 +112,7 @@ def grid_settings(base: Mapping[str, Sequence], variants: Sequence[Mapping]) ->
 def settings_frame(spark: SparkSession, settings: Sequence[Mapping]) -> DataFrame:
     """One row per setting: ``combo_id`` (its place) and its parameters as columns."""
     rows = [(i, int(s["n_estimators"]), float(s["learning_rate"]), int(s["max_depth"]), int(s["min_child_weight"]), s["objective"])
-            for i, s in enumerate(settings)]
+            for i, s in enumerate({**DEFAULTS, **p} for p in settings)]
     return spark.createDataFrame(rows, "combo_id int, n_estimators int, learning_rate double, max_depth int, min_child_weight int, objective string")
 
 

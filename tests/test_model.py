@@ -66,7 +66,7 @@ def test_what_cannot_be_honoured_is_refused(bad):
         M.setting(bad)
 
 
-def test_objectives_reach_the_learner():
+def test_objectives_reach_the_learner(spark):
     assert M.gbt_for({"objective": "reg:absoluteerror"}).getLossType() == "absolute"
     assert M.gbt_for({"objective": "reg:squarederror", "reg_alpha": 0, "min_child_weight": 20}).getMinInstancesPerNode() == 20
 
