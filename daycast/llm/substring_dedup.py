@@ -150,14 +150,6 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
 
 
-def _by_bucket(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    order = np.argsort(bucket, kind="stable")
-    columns = [c[order] for c in columns]
-    b, cut = np.unique(bucket[order], return_index=True)
-    for k, (s, e) in enumerate(zip(cut, [*cut[1:], len(bucket)], strict=True)):
-        yield int(b[k]), [c[s:e] for c in columns]
-
-
 class _Texts:
     """The word hashes of some texts, with where each text starts among them."""
 
@@ -223,7 +215,7 @@ def _pieces(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, its records) of each bucket that has any."""
     order = np.argsort(bucket, kind="stable")
     found, cut = np.unique(bucket[order], return_index=True)
-    for b, s, e in zip(found.tolist(), cut, [*cut[1:], len(order)], strict=True):
+    for b, s, e in zip(found.tolist(), cut, np.append(cut, len(order))[1:], strict=True):
         yield b, order[s:e]
 
 
@@ -232,8 +224,7 @@ def _rows(bucket: np.ndarray, hashes: np.ndarray, places: _Places, sent: np.ndar
     known to repeat, dealt over the buckets by document."""
     for b, i in _pieces(bucket[sent]):
         yield b, False, hashes[sent][i].tobytes(), places[sent[i]].pack()
-    to = (_mix(places.versions[known].view(np.uint64)) % _U(n_buckets)).astype(np.int64)
-    for b, i in _pieces(to):
+    for b, i in _pieces(_group_of(places.versions[known], n_buckets)):
         yield b, True, b"", places[known[i]].pack()
 
 
@@ -267,17 +258,14 @@ def _anchor_rows(length: int, n_buckets: int):
     return run
 
 
-def _spot_rows(places: _Places) -> pa.RecordBatch:
-    """One row for each document of the records: its spots, packed."""
-    places = places[np.lexsort((places.spots, places.versions, places.ids))]
-    cut = places.starts()
-    packed = [np.unique(places.spots[s:e]).astype("<i4").tobytes() for s, e in zip(cut, [*cut[1:], len(places.ids)], strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(places.ids[cut], pa.int64()), pa.array(places.versions[cut], pa.int64()), pa.array(packed, pa.binary())],
-                                      ["id", "version", "spots"])
+def _group_of(versions: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The group of documents that a document's places are gathered in."""
+    return (_mix(versions.view(np.uint64)) % _U(n_buckets)).astype(np.int64)
 
 
-def _repeats(record: np.dtype, judge):
-    """The tasks that get whole buckets: repeats of each bucket, and the known ones."""
+def _repeats(record: np.dtype, judge, n_buckets: int):
+    """The tasks that get whole buckets: repeats of each bucket, and the known ones, packed
+    by group of documents (a row per document here would be many more at scale)."""
 
     def run(table: pa.Table) -> pa.Table:
         known = table.column("known").to_numpy()
@@ -285,12 +273,22 @@ def _repeats(record: np.dtype, judge):
         sent = _Places.unpack([x for x, k in zip(places, known, strict=True) if not k])
         told = _Places.unpack([x for x, k in zip(places, known, strict=True) if k])
         again = sent[judge(np.frombuffer(b"".join(hashes), record), sent)]
-        both = [np.concatenate([getattr(x, k) for x in (again, told)]) for k in ("ids", "versions", "spots")]
-        return pa.Table.from_batches([_spot_rows(_Places(*both))])
+        both = _Places(*(np.concatenate([getattr(x, k) for x in (again, told)]) for k in ("ids", "versions", "spots")))
+        rows = [(b, both[i].pack()) for b, i in _pieces(_group_of(both.versions, n_buckets))]
+        return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "places": pa.array([r[1] for r in rows], pa.binary())})
 
     return run
 
 
+def _by_document(table: pa.Table) -> pa.Table:
+    """One row for each document of a group: all its spots, packed."""
+    places = _Places.unpack(table.column("places").to_pylist())
+    places = places[np.lexsort((places.spots, places.versions, places.ids))]
+    cut = places.starts()
+    packed = [np.unique(places.spots[s:e]).astype("<i4").tobytes() for s, e in zip(cut, np.append(cut, len(places.ids))[1:], strict=True)]
+    return pa.table({"id": pa.array(places.ids[cut], pa.int64()), "version": pa.array(places.versions[cut], pa.int64()), "spots": pa.array(packed, pa.binary())})
+
+
 def _twice(hashes: np.ndarray, places: _Places) -> np.ndarray:
     """The records whose hash is there more than once."""
     order, cut = _runs(hashes)
@@ -322,9 +320,9 @@ def _window_rows(length: int, window: int, n_buckets: int):
         for batch in _slices(b.filter(b.column("spots").is_valid()) for b in batches):
             texts = _Texts(batch)
             mark = np.zeros(len(texts.words) + 1, np.int64)
-            for k, lists in enumerate(batch.column("spots").to_pylist()):
+            for k, packed in enumerate(batch.column("spots").to_pylist()):
                 if texts.counts[k] >= window:
-                    spots = np.frombuffer(b"".join(lists), "<i4").astype(np.int64)
+                    spots = np.frombuffer(packed, "<i4").astype(np.int64)
                     low = np.maximum(spots - (window - length), 0)
                     high = np.minimum(spots, texts.counts[k] - window)
                     ok = low <= high
@@ -348,7 +346,7 @@ def _window_rows(length: int, window: int, n_buckets: int):
 
 
 def repeated_spots(texts: DataFrame, window: int = 20, bucket_words: int = BUCKET_WORDS) -> DataFrame:
-    """(id, version, lists): for each text with a repeat, packed little-endian 32-bit starts
+    """(id, version, spots): for each text with a repeat, packed little-endian 32-bit starts
     of the windows that also start earlier. ``texts`` has id, version and text."""
     length = window - PERIOD + 1
     if length < 1:
@@ -357,13 +355,16 @@ def repeated_spots(texts: DataFrame, window: int = 20, bucket_words: int = BUCKE
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / 6 / bucket_words))
     anchors = texts.where("id IS NOT NULL").select("id", "version", "text").mapInArrow(_anchor_rows(length, n_buckets), PACKED)
-    spots = "id long, version long, spots binary"
-    again = anchors.groupBy("bucket").applyInArrow(_repeats(np.dtype("<u4"), _twice), spots)
     # a left join, as the removal's: both then read one shuffle of the texts
-    near = _with(texts, again.groupBy("id", "version").agg(F.collect_set("spots").alias("spots")))
+    near = _with(texts, _gathered(anchors, np.dtype("<u4"), _twice, n_buckets))
     windows = near.select("id", "version", "text", "spots").mapInArrow(_window_rows(length, window, n_buckets), PACKED)
-    later = windows.groupBy("bucket").applyInArrow(_repeats(WINDOW, _later), spots)
-    return later.groupBy("id", "version").agg(F.collect_set("spots").alias("lists"))
+    return _gathered(windows, WINDOW, _later, n_buckets)
+
+
+def _gathered(records: DataFrame, record: np.dtype, judge, n_buckets: int) -> DataFrame:
+    """(id, version, spots) of the records that ``judge`` picks within their bucket."""
+    picked = records.groupBy("bucket").applyInArrow(_repeats(record, judge, n_buckets), "bucket int, places binary")
+    return picked.groupBy("bucket").applyInArrow(_by_document, "id long, version long, spots binary")
 
 
 def _with(texts: DataFrame, told: DataFrame) -> DataFrame:
@@ -371,14 +372,14 @@ def _with(texts: DataFrame, told: DataFrame) -> DataFrame:
     return texts.join(told, (F.col("id") == F.col("__id")) & (F.col("version") == F.col("__version")), "left").drop("__id", "__version")
 
 
-def kept_words(raw: bytes, lists: list[bytes] | None, window: int) -> tuple[int, int, bytes]:
+def kept_words(raw: bytes, spots: bytes | None, window: int) -> tuple[int, int, bytes]:
     """(words, removed words, kept words joined by a space)."""
     words = raw.split()
     n = len(words)
-    if not lists:
+    if not spots:
         return n, 0, b" ".join(words)
     mark = np.zeros(n + 1, np.int64)
-    starts = np.unique(np.frombuffer(b"".join(lists), "<i4").astype(np.int64))
+    starts = np.frombuffer(spots, "<i4").astype(np.int64)
     mark[starts] += 1
     mark[starts + window] -= 1
     gone = np.cumsum(mark[:-1]) > 0
@@ -397,13 +398,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     carried = [f"__in{i}" for i in range(len(names))]
     base = docs.select(*[c.alias(n) for n, c in zip(carried, others(docs, outputs), strict=True)], col(id_col).cast("long").alias("id"),
                        col(text_col).cast("string").alias("text")).withColumn("version", F.xxhash64("text"))
-    joined = _with(base, repeated_spots(base, window)).select(*carried, "id", "text", "lists")
+    joined = _with(base, repeated_spots(base, window)).select(*carried, "id", "text", "spots")
     carried.append("id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            told = [kept_words(t or b"", x, window) for t, x in zip(texts, batch.column("lists").to_pylist(), strict=True)]
+            told = [kept_words(t or b"", x, window) for t, x in zip(texts, batch.column("spots").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array([t[2] for t in told], pa.binary()).cast(pa.string()),
                  pa.array([t[0] for t in told], pa.int64()), pa.array([t[1] for t in told], pa.int64())], [*carried, "__text", "n_words", "n_removed"])
