@@ -25,10 +25,15 @@ def _byte_signs() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class ByteBpe:
-    """Token ids by bytes, the rank of each merge, special strings, and fast and plain encoders."""
+    """Token ids by bytes, the merges, special strings, and fast and plain encoders.
+
+    ``ranks`` has a merge's place by its two ids (``left << 32 | right``); ``halves`` the two
+    ids that a token is merged from, and its merge's place.
+    """
 
     ids: dict[bytes, int]
-    merges: dict[tuple[bytes, bytes], int]
+    ranks: dict[int, int]
+    halves: dict[int, tuple[int, int, int]]
     special: tuple[str, ...]
     encoding: tiktoken.Encoding
     library: Tokenizer
@@ -48,9 +53,11 @@ def load(path: str) -> ByteBpe:
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ids = {raw(t): i for t, i in model["vocab"].items() if t not in special}
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    merges = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+    merges = [(raw(a), raw(b)) for a, b in pairs]
     made = [ids[a + b] for a, b in merges]
-    if made != sorted(made):
-        raise ValueError(f"the merges of {path} are not in the order of their ids")
+    if made != sorted(set(made)) or len(made) + 256 != len(ids):
+        raise ValueError(f"the merges of {path} do not make its tokens one by one, in the order of their ids")
+    ranks = {ids[a] << 32 | ids[b]: i for i, (a, b) in enumerate(merges)}
+    halves = {ids[a + b]: (ids[a], ids[b], i) for i, (a, b) in enumerate(merges)}
     encoding = tiktoken.Encoding("file", pat_str=QUICK, mergeable_ranks=ids, special_tokens={})
-    return ByteBpe(ids, merges, tuple(special), encoding, Tokenizer.from_file(path), regex.compile(QUICK))
+    return ByteBpe(ids, ranks, halves, tuple(special), encoding, Tokenizer.from_file(path), regex.compile(QUICK))

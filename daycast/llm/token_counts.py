@@ -28,7 +28,10 @@ Defined cases
 
 from __future__ import annotations
 
+import functools
+from array import array
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,7 @@ from daycast.llm.byte_bpe import ByteBpe, load
 from daycast.llm.common import col, others
 
 PIECE = 1 << 20
-MEMO = 300_000
+MEMO = 150_000
 LONG = 64
 #: Signs outside these ranges may be classed otherwise by another Unicode version; their
 #: texts are cut into pre-tokens by the vocabulary's library itself.
@@ -49,81 +52,112 @@ _GAP = regex.compile(r"(?<=\S) (?=\S)")
 _SPACES = regex.compile(r"\s\s")
 
 
+NEVER = 1 << 60
+
+
 class PrefixCounter:
     """Prefix token counts of texts under one vocabulary."""
 
     def __init__(self, bpe: ByteBpe) -> None:
         self.bpe = bpe
-        self.stands_memo: dict[tuple[bytes, bytes], bool] = {}
-        self.longest = [0] * 256
-        for t in bpe.ids:
-            self.longest[t[-1]] = max(self.longest[t[-1]], len(t))
+        # the tokens from their last byte backwards: (node, byte) -> node, and the token that ends there
+        self.next: dict[int, int] = {}
+        self.token = [-1]
+        for raw, token in bpe.ids.items():
+            node = 0
+            for byte in reversed(raw):
+                step = node << 8 | byte
+                node = self.next.get(step, 0)
+                if not node:
+                    node = self.next[step] = len(self.token)
+                    self.token.append(-1)
+            self.token[node] = token
+        self.edges: tuple[dict[int, list], dict[int, list]] = {}, {}
+        self.stands_memo: dict[int, bool] = {}
         self.memo: dict[str, tuple[int, bytes]] = {}
+        self.older: dict[str, tuple[int, bytes]] = {}
+
+    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens at the left (0) or right (1) edge of a token while it is merged, from a
+        byte to itself, each with the place of the merge that takes it in."""
+        found = self.edges[side].get(token)
+        if found is None:
+            found, at, taken = [], token, NEVER
+            while True:
+                found.append((at, taken))
+                if at not in self.bpe.halves:
+                    break
+                halves = self.bpe.halves[at]
+                at, taken = halves[side], halves[2]
+            found.reverse()
+            self.edges[side][token] = found
+        return found
 
-    def merged(self, raw: bytes) -> list[bytes]:
-        """The encoding of a short byte string, merge by merge."""
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        merges = self.bpe.merges
-        while len(parts) > 1:
-            ranks = [merges.get(p, 1 << 60) for p in zip(parts, parts[1:], strict=False)]
-            least = min(ranks)
-            if least == 1 << 60:
-                break
-            pair, out, i = None, [], 0
-            at = ranks.index(least)
-            pair = (parts[at], parts[at + 1])
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
-
-    def stands(self, left: bytes, right: bytes) -> bool:
-        """Whether two tokens side by side are the encoding of their bytes."""
-        key = (left, right)
+    def stands(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side are the encoding of their bytes: whether no merge
+        across their border is due before the merges within them take its two sides in."""
+        key = left << 32 | right
         known = self.stands_memo.get(key)
         if known is None:
+            ranks, lefts, rights = self.bpe.ranks, self.edge(left, 1), self.edge(right, 0)
+            i = j = 0
+            known = True
+            while True:
+                (x, x_taken), (y, y_taken) = lefts[i], rights[j]
+                across = ranks.get(x << 32 | y, NEVER)
+                if across < x_taken and across <= y_taken and across < NEVER:  # of equal merges the left one comes first
+                    known = False
+                    break
+                if x_taken <= y_taken:
+                    i += 1
+                else:
+                    j += 1
+                if i == len(lefts) or j == len(rights):
+                    break
             if len(self.stands_memo) >= 4 * MEMO:
                 self.stands_memo.clear()
-            known = self.stands_memo[key] = self.merged(left + right) == [left, right]
+            self.stands_memo[key] = known
         return known
 
     def byte_counts(self, raw: bytes) -> list[int]:
         """count[i]: tokens of the first i bytes of one pre-token."""
-        ids, stands, longest = self.bpe.ids, self.stands, self.longest
-        count, last = [0], [b""]
-        for i in range(1, len(raw) + 1):
-            for k in range(max(0, i - longest[raw[i - 1]]), i):
-                token = raw[k:i]
-                if token in ids and (k == 0 or stands(last[k], token)):
-                    count.append(count[k] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
+        follow, tokens, known, stands = self.next.get, self.token, self.stands_memo.get, self.stands
+        count, last = [0], [-1]
+        for i in range(len(raw)):
+            node, k = 0, i
+            while k >= 0:
+                node = follow(node << 8 | raw[k])
+                if node is None:
+                    raise ValueError(f"no encoding of {raw[:i + 1]!r}")
+                token = tokens[node]
+                if token >= 0:
+                    if not k:
+                        break
+                    before = last[k]
+                    ok = known(before << 32 | token)
+                    if ok or ok is None and stands(before, token):
+                        break
+                k -= 1
+            count.append(count[k] + 1)
+            last.append(token)
         return count
 
     def deltas(self, word: str) -> tuple[int, bytes]:
         """(tokens, 16-bit differences of the counts after each character) of a pre-token."""
-        known = self.memo.get(word)
-        if known is not None:
-            return known
-        raw = word.encode()
-        count = self.byte_counts(raw)
-        if len(raw) == len(word):
-            ends = count[1:]
-        else:
-            ends = [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
-        if len(word) == 3 and word[0] == "'":  # cut after two signs, it is no contraction
-            ends[1] = sum(self.byte_counts(p.encode())[-1] for p in self.bpe.pattern.findall(word[:2]))
-        found = count[-1], np.diff(np.array(ends, np.int64), prepend=0).astype("<i2").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            raw = word.encode()
+            count = self.byte_counts(raw)
+            if len(raw) == len(word):
+                ends = count
+            else:
+                ends = [0, *(count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80)]
+            if len(word) == 3 and word[0] == "'":  # cut after two signs, it is no contraction
+                ends[2] = sum(self.byte_counts(p.encode())[-1] for p in self.bpe.pattern.findall(word[:2]))
+            found = count[-1], array("h", map(sub, ends[1:], ends)).tobytes()
         if len(word) <= LONG:
             if len(self.memo) >= MEMO:
-                self.memo.clear()
+                self.memo, self.older = {}, self.memo
             self.memo[word] = found
         return found
 
@@ -138,8 +172,8 @@ class PrefixCounter:
         total, out = 0, []
         for piece in _pieces(text):
             words = self.words(piece)
-            deltas, memo = self.deltas, self.memo
-            told = [memo.get(w) or deltas(w) for w in words]
+            known, deltas = self.memo.get, self.deltas
+            told = [known(w) or deltas(w) for w in words]
             total += sum([t[0] for t in told])
             strung = b"".join([t[1] for t in told])
             if _SPACES.search(piece):
@@ -176,6 +210,12 @@ class PrefixCounter:
         return before + 1 + total, inside.tobytes() + step.tobytes() + rest
 
 
+@functools.lru_cache(maxsize=2)
+def counter_for(path: str) -> PrefixCounter:
+    """The counter of a vocabulary file, kept with what it knows by a worker's later tasks."""
+    return PrefixCounter(load(path))
+
+
 def _pieces(text: str) -> Iterator[str]:
     """A text in pieces cut at single spaces between words, where a pre-token starts anyway."""
     at = 0
@@ -208,11 +248,12 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", budget: int
     ``budget`` also ``fitting_chars`` (long: the longest prefix of at most so many tokens),
     and with ``store`` the stored form ``prefix_counts`` (binary)."""
     outputs = ["n_bytes", "n_tokens", *(["fitting_chars"] if budget is not None else []), *(["prefix_counts"] if store else [])]
-    rest = others(docs, [text_col, *outputs])
     names = [c for c in docs.columns if c.lower() not in [o.lower() for o in [text_col, *outputs]]]
+    carried = [f"__in{i}" for i in range(len(names))]  # Python steps can't name columns with dots
+    rest = [c.alias(n) for n, c in zip(carried, others(docs, [text_col, *outputs]), strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(load(path))
+        counter = counter_for(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -229,9 +270,9 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", budget: int
                 made = [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
                 made += [pa.array(fitting, pa.int64())] if budget is not None else []
                 made += [pa.array(stored, pa.binary())] if store else []
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], [*names, *outputs])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *made], [*carried, *outputs])
 
     schema = docs.select(*rest).schema
     for name in outputs:
         schema = schema.add(name, "binary" if name == "prefix_counts" else "long")
-    return docs.select(*rest, col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*rest, col(text_col).cast("string").alias("__text")).mapInArrow(run, schema).toDF(*names, *outputs)
