@@ -43,8 +43,11 @@ def learn_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: st
 
     rows = labelled.select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text")).where(
         "lang IS NOT NULL AND trim(text) <> ''").withColumn("hash", F.xxhash64("text"))
-    ranks = rows.select("lang", "hash").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(
-        F.col("rank") <= sample_texts)
+    # in two steps, the first of them salted: one language may have nearly all rows
+    part = rows.select("lang", "hash", F.pmod("hash", F.lit(64)).alias("salt")).distinct()
+    for by in (["lang", "salt"], ["lang"]):
+        part = part.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("hash"))).where(F.col("rank") <= sample_texts)
+    ranks = part
     chosen = ranks.groupBy("lang").agg(F.max("hash").alias("most"))
     limits = chosen.limit(max_languages + 1).collect()
     if len(limits) > max_languages:
