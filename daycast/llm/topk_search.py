@@ -13,7 +13,7 @@ query's best block of every group only; its k-th score is the second round's thr
 all groups. Per group at most k rows of a query leave, and the last step ranks those.
 
 Scores are exact: sums of integer products below 2^53 in doubles, larger ones in Python
-integers, limited to the range of a long.
+integers, limited to the range of a long (scores beyond it tie at its end).
 
 Defined cases
 - Vectors null, or holding null or non-finite components: neither query nor candidate.
@@ -38,6 +38,7 @@ from daycast.llm.common import col, stage_table
 
 BLOCK = 64
 EXACT = float(1 << 53)
+TOP, LOW = (1 << 63) - 1, -(1 << 63)
 
 
 def _integers(column: pa.ChunkedArray, scale: float) -> np.ndarray:
@@ -53,7 +54,13 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * max(a.shape[1], 1) < EXACT:
         return a @ b.T
     whole = np.array([[int(x) for x in r] for r in a], object) @ np.array([[int(x) for x in r] for r in b], object).T
-    return whole
+    return np.array([[min(max(x, LOW), TOP) for x in r] for r in whole], object)
+
+
+def _not_above(scores: np.ndarray) -> np.ndarray:
+    """Scores as doubles that are never above them."""
+    found = scores.astype(np.float64)
+    return np.where(np.abs(found) >= EXACT, np.nextafter(found, -math.inf), found)
 
 
 def best_rows(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int,
@@ -92,7 +99,7 @@ def best_rows(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
         keep = place < k
         top = who[keep], what[keep], score[keep]
         last = place == k - 1
-        least[who[last]] = np.maximum(least[who[last]], score[last].astype(np.float64))
+        least[who[last]] = np.maximum(least[who[last]], _not_above(score[last]))
         done, width = done + width, min(2 * width, 64)
         if first_only:
             break
@@ -108,12 +115,11 @@ def _search(scale: float, k: int, first_only: bool):
             return empty
         left = left.sort_by("id")
         ids, query_ids = left.column("id").to_numpy(), right.column("ask").to_numpy()
-        least = right.column("least").to_numpy(zero_copy_only=False).astype(np.float64)
+        least = _not_above(right.column("least").to_numpy(zero_copy_only=False))
         least = np.where(np.isnan(least), -math.inf, least)
         who, what, score = best_rows(ids, _integers(left.column("vec"), scale), query_ids, _integers(right.column("ask_vec"), scale), least, k, first_only)
-        top, low = (1 << 63) - 1, -(1 << 63)
         return pa.table({"query_id": pa.array(query_ids[who], pa.int64()), "vec_id": pa.array(what, pa.int64()),
-                         "score": pa.array([min(max(int(s), low), top) for s in score], pa.int64())})
+                         "score": pa.array([min(max(int(s), LOW), TOP) for s in score], pa.int64())})
 
     return run
 
