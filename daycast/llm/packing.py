@@ -10,8 +10,9 @@ the least cost of the stream up to place b[j]:
 
 The minimum over the sliding range comes from a queue kept monotone, so the whole is linear
 in the number of places. The stream is decided in runs of about ``run_tokens`` tokens; a
-run's last window is reopened in the next run, so memory is bounded and no padding is
-forced but at the partition's end.
+run's last window is reopened in the next run, so memory is bounded. The partition's last
+window is cut into powers of two, which need no padding. Neither counts as padded, else
+the slack of the last window would only be spread over the others.
 
 Rows are packed where they are, without a shuffle: the order kept is that of each input
 partition. For an order over the table, sort it by range first.
@@ -76,8 +77,10 @@ def places(parts: list[Part], plain_gap: int, sentence_cost: float, plain_cost:
     return at, np.array([0.0, sentence_cost, plain_cost, 0.0])[kind[at]]
 
 
-def best_cuts(at: list[int], cost: list[float], max_len: int) -> list[int]:
-    """Indexes of the places at which windows start and end, of least padding plus costs."""
+def best_cuts(at: list[int], cost: list[float], max_len: int, piece_cost: float | None = None) -> list[int]:
+    """Indexes of the places at which windows start and end, of least padding plus costs.
+    With ``piece_cost`` the last window is not padded but costs so much for each power of
+    two in its length (it is cut into those, or decided again)."""
     n = len(at)
     before = [0] * n
     keys = [0.0] * n  # c[i] + b[i]
@@ -95,6 +98,13 @@ def best_cuts(at: list[int], cost: list[float], max_len: int) -> list[int]:
             tail -= 1
         queue[tail] = j
         tail += 1
+    if piece_cost is not None:
+        i, end, least = n - 2, at[-1], float("inf")
+        while i >= 0 and end - at[i] <= max_len:
+            spent = keys[i] - at[i] + piece_cost * (end - at[i]).bit_count()
+            if spent < least:
+                before[n - 1], least = i, spent
+            i -= 1
     cuts = [n - 1]
     while cuts[-1]:
         cuts.append(before[cuts[-1]])
@@ -159,7 +169,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         def decide(final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal parts, held, sequence
             at, cost = places(parts, plain_gap, sentence_cost, plain_cost)
-            cuts = best_cuts(at.tolist(), cost.tolist(), max_len)
+            cuts = best_cuts(at.tolist(), cost.tolist(), max_len, plain_cost if final else 0.0)
             bounds = at[cuts]
             if final:
                 bounds = in_powers(bounds, max_len, plain_cost)
