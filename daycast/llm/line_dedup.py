@@ -2,7 +2,7 @@
 each hash, drop the lines of hashes over the threshold, reassemble by position.
 
 The hashes travel, not the lines: one 16-byte digest with the document's id and the
-line's position. Counting is a two-level aggregate (first (hash, document), then hash),
+line's position, written once as a stage table. Counting is a two-level aggregate (first (hash, document), then hash),
 both combined before their shuffle, so a line that every document holds is no hot task;
 the way back to the lines is a join salted by document. The texts are shuffled once, to
 meet the positions they lose.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import ASCII_SPACE, ascii_lower, col, others, text_of
+from daycast.llm.common import ASCII_SPACE, ascii_lower, col, others, stage_table, text_of
 
 SALTS = 8
 
@@ -48,6 +48,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("id", "version", "pos", line_key(F.col("line")).alias("key"))
              .where(F.char_length("key") >= min_chars)
              .select("id", "version", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("hash")))
+    lines = stage_table(lines)  # read twice below; far smaller than the texts they come from
     shared = (lines.groupBy("hash").agg(F.count_distinct("id").alias("n_docs"), F.min("id").alias("first_id"))
               .where(F.col("n_docs") >= min_docs)
               .select("hash", "first_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
