@@ -4,7 +4,7 @@ A document's domain is not known but for the rows of a labelled table; a classif
 on those gives every document its posterior over the domains. A document with n tokens
 and posterior p then brings rate * n * p[k] expected tokens to domain k, and the rates are
 the nonnegative numbers whose expected domain totals fit the targets best (least squares),
-found by projected gradient from rate 1 for all.
+found by proximal steps from rate 1 for all.
 
 Classifier: multinomial naive Bayes over hashed lower-case words, as SQL aggregates. Its
 sample is the labelled documents of smallest hash, at most ``sample_docs`` of them and at
@@ -15,10 +15,14 @@ one text are not independent and undivided posteriors are all 0 or 1.
 
 Least squares: with w the documents' token shares, m = sum(w * r * p) the expected domain
 shares, T the targets and G = sum(w * p * p'), the fitted function is
-(m - T)' G^-1 (m - T) / 2. In the metric of w its gradient is p' G^-1 (m - T), so a step of
-1 is safe, and it ends the search where no rate meets the bound 0. A step is one
-aggregate over (tokens, posterior) rows of a written table; rates are not stored, for each
-follows from the steps' K numbers in one expression.
+(m - T)' G^-1 (m - T) / 2 (G's pseudo-inverse, where domains coincide). A step is a proximal
+one: to the function is added damping / 2 times the rates' squared distance from those
+before, weighted by w. Its best rates are max(0, rate - p' u) for K numbers u, which a
+damped Newton iteration on the dual finds exactly; one of its measurements is one aggregate over
+(tokens, posterior) rows of a written table. With less damping at each step, the steps end
+after a few where the optimality condition (of the bound 0, too) holds within the
+tolerance; else an error is raised. Rates are not stored, for each follows from the steps'
+K numbers in one expression.
 
 Defined cases
 - Null or blank text: 0 tokens, posterior equal to the domains' sample shares; any rate
@@ -35,12 +39,16 @@ Defined cases
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycast.llm.common import col, others, stage_table, text_of
 
+#: Moves of Newton's iteration in one step, of which a few are needed.
+MOVES = 200
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -110,19 +118,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col:
     return raw.select(*rest, "n_tokens", F.transform("__e", lambda x: x / F.col("__sum")).alias("posterior"))
 
 
-def _solve(g: list[list[float]], y: list[float]) -> list[float]:
-    """x of (g + a little of the identity) x = y, for the few domains."""
-    n = len(y)
-    ridge = 1e-9 * max(1e-12, max(g[i][i] for i in range(n)))
-    a = [[*row[:i], row[i] + ridge, *row[i + 1:], y[i]] for i, row in enumerate(g)]
-    for i in range(n):
-        p = max(range(i, n), key=lambda r: abs(a[r][i]))
-        a[i], a[p] = a[p], a[i]
-        for r in range(n):
-            if r != i:
-                f = a[r][i] / a[i][i]
-                a[r] = [x - f * z for x, z in zip(a[r], a[i], strict=True)]
-    return [a[i][n] / a[i][i] for i in range(n)]
+def _whitener(gram: np.ndarray) -> np.ndarray:
+    """W with W' gram W = 1, on the directions that ``gram`` has."""
+    values, vectors = np.linalg.eigh(gram)
+    kept = values > 1e-12 * values[-1]
+    return vectors[:, kept] / np.sqrt(values[kept])
 
 
 def _rate(steps: list[list[float]], posterior: Column) -> Column:
@@ -133,26 +133,74 @@ def _rate(steps: list[list[float]], posterior: Column) -> Column:
     return rate
 
 
+@dataclass
+class _Measured:
+    """Rates max(0, rate - p' u) of a table: their expected domain shares, the dual function's
+    part that depends on the rows, its curvature, and how far the rates moved."""
+
+    shares: np.ndarray
+    value: float
+    curve: np.ndarray
+    moved: float
+
+
+def _measure(members: DataFrame, total: float, k: int, steps: list[list[float]], u: list[float]) -> _Measured:
+    p = [F.get("posterior", F.lit(i)) for i in range(k)]
+    n, r = F.col("n_tokens").cast("double"), F.col("__r")
+    free = F.when(r > 0, n).otherwise(F.lit(0.0))
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    rates = members.withColumn("__b", _rate(steps, F.col("posterior"))).withColumn("__r", _rate([*steps, u], F.col("posterior")))
+    now = rates.agg(F.sum(n * r * r).alias("v"), F.sum(n * F.abs(r - F.col("__b"))).alias("d"), *[F.sum(n * r * p[i]).alias(f"m{i}") for i in range(k)],
+                    *[F.sum(free * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]).first()
+    curve = np.array([[now[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    return _Measured(np.array([now[f"m{i}"] for i in range(k)]) / total, now.v / total / 2, curve / total, now.d / total)
+
+
+def _step(measure, white: np.ndarray, targets: np.ndarray, back: np.ndarray, damping: float, tolerance: float) -> tuple[list[float], _Measured]:
+    """The K numbers of a proximal step, and what was measured at its end. Newton's
+    iteration on the convex dual; a move is halved until the dual falls enough."""
+    v = np.zeros(white.shape[1])
+    now = measure((white @ v).tolist())
+    value = lambda m, v: m.value + targets @ (white @ v) + damping / 2 * v @ v
+    for _ in range(MOVES):
+        slope = white.T @ (targets - now.shares) + damping * v
+        if np.abs(back @ slope).max() <= tolerance:
+            return (white @ v).tolist(), now
+        move = -np.linalg.solve(white.T @ now.curve @ white + damping * np.eye(len(v)), slope)
+        part = 1.0
+        while part > 1e-9:
+            to = v + part * move
+            then = measure((white @ to).tolist())
+            if value(then, to) <= value(now, v) + 1e-4 * part * (slope @ move) + 1e-14:
+                break
+            part /= 2
+        v, now = to, then
+    raise RuntimeError(f"the mix's rates are not found after {MOVES} moves of a step")
+
+
 def fit_rates(members: DataFrame, targets: list[float], max_steps: int = 30, tolerance: float = 1e-9) -> tuple[list[list[float]], list[float]]:
     """(steps, expected domain shares at their end) for rows of ``n_tokens`` and ``posterior``;
-    ``targets`` are shares of the table's tokens. Rates are ``_rate(steps, posterior)``."""
+    ``targets`` are shares of the table's tokens. Rates are ``_rate(steps, posterior)``. Raises
+    RuntimeError where ``max_steps`` steps do not reach the fit."""
     k = len(targets)
     p = [F.get("posterior", F.lit(i)) for i in range(k)]
     n = F.col("n_tokens").cast("double")
     first = members.agg(F.sum(n).alias("n"), *[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     if not first.n:
         return [], list(targets)
-    gram = [[first[f"g{min(i, j)}_{max(i, j)}"] / first.n for j in range(k)] for i in range(k)]
+    gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] / first.n for j in range(k)] for i in range(k)])
+    white = _whitener(gram)
     steps: list[list[float]] = []
+    damping = 1e-3
     while True:
-        rate = _rate(steps, F.col("posterior"))
-        now = members.withColumn("__r", rate).agg(*[F.sum(n * F.col("__r") * p[i]).alias(f"m{i}") for i in range(k)]).first()
-        shares = [now[f"m{i}"] / first.n for i in range(k)]
-        off = [m - t for m, t in zip(shares, targets, strict=True)]
-        step = _solve(gram, off)
-        if len(steps) == max_steps or max(map(abs, off)) <= tolerance or max(map(abs, step)) <= tolerance:
-            return steps, shares
-        steps.append(step)
+        step, end = _step(lambda u: _measure(members, first.n, k, steps, u), white, np.array(targets), gram @ white, damping, tolerance / 10)
+        if any(step):
+            steps.append(step)
+        if damping * end.moved <= tolerance:  # the gradient of a rate above 0 is damping times its move
+            return steps, end.shares.tolist()
+        if len(steps) >= max_steps:
+            raise RuntimeError(f"the mix's rates are not found after {max_steps} steps: expected shares {end.shares.tolist()} for targets {list(targets)}")
+        damping = max(damping / 100, 1e-7)
 
 
 def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",

@@ -149,6 +149,29 @@ def test_fit_is_a_least_squares_minimum(spark):
     assert mine @ inverse @ mine <= best @ inverse @ best * 1.02 + 1e-9
 
 
+def test_common_unwanted_class_is_fitted_to_the_end(spark):
+    """Nearly all toxic, where plain projected gradient needs thousands of steps."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    p = np.concatenate([rng.dirichlet([1, 1, 30], 150), rng.dirichlet([20, 1, 1], 10), rng.dirichlet([1, 8, 2], 5)])
+    n = rng.integers(1, 50, len(p))
+    w, target = n / n.sum(), np.array([0.92, 0.06, 0.02])
+    inverse = np.linalg.inv((p * w[:, None]).T @ p)
+    r, after = np.ones(len(p)), {}
+    for k in range(200001):
+        off = p.T @ (w * r) - target
+        after[k] = off @ inverse @ off
+        r = np.maximum(0, r - p @ (inverse @ off))
+    rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "n_tokens long, posterior array<double>")
+    steps, shares = M.fit_rates(rows, target.tolist())
+    off = np.array(shares) - target
+    assert off @ inverse @ off <= after[200000] + 1e-9 < after[30] / 2
+    rates = np.array([x.r for x in rows.select(M._rate(steps, F.col("posterior")).alias("r")).collect()])
+    assert rates.min() >= 0 and p.T @ (w * rates) == pytest.approx(shares, abs=1e-9)
+    with pytest.raises(RuntimeError):
+        M.fit_rates(rows, target.tolist(), max_steps=1)
+
+
 def test_mix_edges(spark, docs):
     none = spark.createDataFrame([], "doc_id long, domain string")
     out = M.mix_to_targets(docs([(1, "a b"), (2, None)]), none, {"x": 1, "y": 1}).collect()
