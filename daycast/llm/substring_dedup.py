@@ -224,7 +224,7 @@ def _rows(bucket: np.ndarray, hashes: np.ndarray, places: _Places, sent: np.ndar
     known to repeat, dealt over the buckets by document."""
     for b, i in _pieces(bucket[sent]):
         yield b, False, hashes[sent][i].tobytes(), places[sent[i]].pack()
-    for b, i in _pieces(_group_of(places.versions[known], n_buckets)):
+    for b, i in _pieces(_group_of(places.ids[known], places.versions[known], n_buckets)):
         yield b, True, b"", places[known[i]].pack()
 
 
@@ -258,9 +258,10 @@ def _anchor_rows(length: int, n_buckets: int):
     return run
 
 
-def _group_of(versions: np.ndarray, n_buckets: int) -> np.ndarray:
-    """The group of documents that a document's places are gathered in."""
-    return (_mix(versions.view(np.uint64)) % _U(n_buckets)).astype(np.int64)
+def _group_of(ids: np.ndarray, versions: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The group of documents that a document's places are gathered in. Exact copies have
+    one version, so the id takes part: no group holds them all."""
+    return (_mix(_mix(ids.astype(np.int64).view(np.uint64)) ^ versions.astype(np.int64).view(np.uint64)) % _U(n_buckets)).astype(np.int64)
 
 
 def _repeats(record: np.dtype, judge, n_buckets: int):
@@ -274,7 +275,7 @@ def _repeats(record: np.dtype, judge, n_buckets: int):
         told = _Places.unpack([x for x, k in zip(places, known, strict=True) if k])
         again = sent[judge(np.frombuffer(b"".join(hashes), record), sent)]
         both = _Places(*(np.concatenate([getattr(x, k) for x in (again, told)]) for k in ("ids", "versions", "spots")))
-        rows = [(b, both[i].pack()) for b, i in _pieces(_group_of(both.versions, n_buckets))]
+        rows = [(b, both[i].pack()) for b, i in _pieces(_group_of(both.ids, both.versions, n_buckets))]
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "places": pa.array([r[1] for r in rows], pa.binary())})
 
     return run

@@ -51,6 +51,18 @@ def test_null_ids_versions_and_repeated_rows(docs):
     assert got == [(0, 0, 0), (0, 30, 0), (1, 30, 0), (1, 30, 0), (2, 30, 0), (2, 60, 30), (3, 30, 30)]
 
 
+def test_exact_copies_are_dealt_over_all_groups():
+    """Places of 1,000 copies of one text (one version), in both shuffles that gather them."""
+    places = D._Places(np.arange(1000), np.full(1000, -7), np.zeros(1000, np.int64))
+    none = np.zeros(0, np.int64)
+    first = list(D._rows(none, none, places, none, np.arange(1000), 16))
+    told = pa.table({"known": [r[1] for r in first], "hashes": [r[2] for r in first], "places": [r[3] for r in first]})
+    second = D._repeats(np.dtype("<u4"), D._twice, 16)(told).to_pylist()
+    for found in ([(b, x) for b, _, _, x in first], [(r["bucket"], r["places"]) for r in second]):
+        sizes = {b: len(D._Places.unpack([x]).ids) for b, x in found}
+        assert len(sizes) == 16 and sum(sizes.values()) == 1000 and max(sizes.values()) < 125
+
+
 def test_columns_and_empty_table(docs):
     row = D.dedup_substrings(docs([(1, "x y")])).first().asDict()
     assert row["a.b"] == "x" and row["version"] == 6 and row["n_words"] == 2
