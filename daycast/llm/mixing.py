@@ -7,8 +7,9 @@ the nonnegative numbers whose expected domain totals fit the targets best (least
 found by proximal steps from rate 1 for all.
 
 Classifier: multinomial naive Bayes over hashed lower-case words, as SQL aggregates. Its
-sample is the labelled documents of smallest hash, at most ``sample_docs`` of them and at
-most ``sample_words`` words of each. Every document's whole text is scored: per word one
+sample is the labelled documents of smallest hash, at most ``sample_docs`` of them, with
+their whole texts; labels whose document is not in the table are left out before the
+sample is taken. Every document's whole text is scored: per word one
 look-up in the fitted table (``buckets`` rows, a literal of the plan). The log-likelihood
 is divided by ``temperature`` times the square root of the word count, because words of
 one text are not independent and undivided posteriors are all 0 or 1.
@@ -62,13 +63,14 @@ def _bucket(word: Column, buckets: int) -> Column:
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str, text_col: str, sample_docs: int,
-                sample_words: int, buckets: int) -> tuple[list[float], dict[str, list[float]]] | None:
+                buckets: int) -> tuple[list[float], dict[str, list[float]]] | None:
     """(log shares by domain, log word likelihoods by domain and bucket), or None without labels."""
     label = labelled.select(col(id_col).alias("id"), F.col("domain")).dropna().where(F.col("domain").isin(domains)).groupBy("id").agg(F.min("domain").alias("domain"))
     order = F.xxhash64(F.col("id").cast("string"), F.lit("mix"))
-    chosen = label.withColumn("order", order).orderBy("order", "id").limit(sample_docs).drop("order")
+    there = label.join(docs.select(col(id_col).alias("id")), "id", "left_semi")
+    chosen = stage_table(there.withColumn("order", order).orderBy("order", "id").limit(sample_docs).drop("order"))
     texts = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select("domain", F.slice(words_of(F.lower(F.col("text"))), 1, sample_words).alias("words"))
+    sample = texts.join(F.broadcast(chosen), "id").select("domain", words_of(F.lower(F.col("text"))).alias("words"))
     shares = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not shares:
         return None
@@ -95,10 +97,10 @@ def _adder(values: Column):
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text",
-               sample_docs: int = 4000, sample_words: int = 2000, buckets: int = 8192, temperature: float = 0.5) -> DataFrame:
+               sample_docs: int = 4000, buckets: int = 8192, temperature: float = 0.5) -> DataFrame:
     """``docs`` without its text, with ``n_tokens`` (words) and ``posterior`` (doubles in the
     order of ``domains`` that sum to 1)."""
-    fitted = fit_domains(docs, labelled, domains, id_col, text_col, sample_docs, sample_words, buckets)
+    fitted = fit_domains(docs, labelled, domains, id_col, text_col, sample_docs, buckets)
     rest = others(docs, [text_col, "n_tokens", "posterior"])
     words = docs.select(*rest, words_of(F.lower(text_of(text_col))).alias("__words"))
     k = len(domains)

@@ -88,6 +88,18 @@ def plain_posterior(rows, labels, domains, buckets, temperature, hashes):
     return out
 
 
+def test_sample_is_of_whole_documents_in_the_table(spark, docs):
+    """Labels without a document don't use up the sample, and what ends a long text teaches."""
+    told = spark.createDataFrame([(0, "clean"), (1, "toxic"), (2, "clean"), *((i, "toxic") for i in range(100, 400))], "doc_id long, domain string")
+    rows = [(0, "fine " * 3000), (1, "fine " * 2990 + "bad " * 300), (2, "fine words"), (3, "bad bad bad")]
+    prior, likelihood = M.fit_domains(docs(rows), told, ["clean", "toxic"], "doc_id", "text", 3, buckets=64)
+    assert [math.exp(x) for x in prior] == pytest.approx([2 / 3, 1 / 3])
+    bad = spark.sql("SELECT 'bad' AS w").select(M._bucket(F.col("w"), 64)).first()[0]
+    assert math.exp(likelihood["toxic"][bad]) == pytest.approx(301 / (64 + 3290))
+    got = {r.doc_id: r.posterior for r in M.posteriors(docs(rows), told, ["clean", "toxic"], sample_docs=3).collect()}
+    assert got[3][1] > 0.9 > 0.5 > got[2][1]
+
+
 def mix_rows(seed=1, n=60):
     rng = random.Random(seed)
     kinds = {"clean": ["alpha", "beta", "gamma"], "low": ["junk", "spam", "beta"], "toxic": ["bad", "worse", "alpha"]}
