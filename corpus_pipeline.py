@@ -52,7 +52,7 @@ def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate for the target mix says."""
-    rates = mix_to_targets(docs.select("doc_id", "text"), labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS)
+    rates = mix_to_targets(docs.select("doc_id", "text"), labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS, keep="clean")
     times = rates.groupBy("doc_id").agg(F.min("rate").alias("rate")).select("doc_id", copies_of(F.col("rate"), F.col("doc_id")).alias("copies")).where("copies > 0")
     return docs.select(*COLUMNS).join(times, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 

@@ -25,6 +25,11 @@ after a few where the optimality condition (of the bound 0, too) holds within th
 tolerance; else an error is raised. Rates are not stored, for each follows from the steps'
 K numbers in one expression.
 
+With ``keep``, a domain is named whose documents are not to be thinned out for the others'
+sake: the targets of the others are limits, lowered to the table's own expected shares where
+those are smaller, and ``keep`` gets the rest, at least its own share. So a table that has less of
+the others than the limits keeps rate 1 throughout.
+
 Defined cases
 - Null or blank text: 0 tokens, posterior equal to the domains' sample shares; any rate
   fits, and it has the same rate formula as the others.
@@ -205,12 +210,26 @@ def fit_rates(members: DataFrame, targets: list[float], max_steps: int = 30, tol
         damping = max(damping / 100, 1e-7)
 
 
+def within_limits(members: DataFrame, limits: list[float], keep: int, tokens_factor: float) -> list[float]:
+    """Target shares of the table's tokens: of each domain its limit, or its own expected
+    share where that is smaller; the rest, and at least its own share, of the domain ``keep``."""
+    n = F.col("n_tokens").cast("double")
+    own = members.agg(F.sum(n).alias("n"), *[F.sum(n * F.get("posterior", F.lit(i))).alias(f"m{i}") for i in range(len(limits))]).first()
+    if not own.n:
+        return limits
+    shares = [own[f"m{i}"] / own.n for i in range(len(limits))]
+    targets = [min(x, m) for x, m in zip(limits, shares, strict=True)]
+    targets[keep] = max(shares[keep], tokens_factor - (sum(targets) - targets[keep]))
+    return targets
+
+
 def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-                   tokens_factor: float = 1.0, max_steps: int = 30, **classifier) -> DataFrame:
+                   tokens_factor: float = 1.0, max_steps: int = 30, keep: str | None = None, **classifier) -> DataFrame:
     """Rates at which the documents' expected domain totals are ``targets``.
 
     ``labelled`` has ``id_col`` and ``domain``; ``targets`` maps domains to weights, which are
-    scaled to sum to ``tokens_factor`` times the table's tokens. Returns the columns of
+    scaled to sum to ``tokens_factor`` times the table's tokens; with ``keep`` those of the other
+    domains are limits. Returns the columns of
     ``docs`` but the text, with ``n_tokens``, ``posterior`` (by domain, alphabetically) and ``rate``.
     """
     if not targets or min(targets.values()) < 0 or not sum(targets.values()):
@@ -218,6 +237,8 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     domains = sorted(targets)
     weights = [targets[d] * tokens_factor / sum(targets.values()) for d in domains]
     members = stage_table(posteriors(docs, labelled, domains, id_col, text_col, **classifier))
+    if keep is not None:
+        weights = within_limits(members, weights, domains.index(keep), tokens_factor)
     steps, _ = fit_rates(members, weights, max_steps)
     kept = [col(c) for c in members.columns if c.lower() != "rate"]
     return members.select(*kept, _rate(steps, F.col("posterior")).alias("rate"))

@@ -127,7 +127,8 @@ def op9_simhash_dedup(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=3)
 
 
-#: Shares of the tokens that the mix should have, by the domain of the labels.
+#: Shares of the tokens that the mix should have, by the domain of the labels; those of low and toxic
+#: are limits, and a table that has less of them keeps its own shares.
 MIX_TARGETS = {"clean": 0.92, "low": 0.06, "toxic": 0.02}
 
 
@@ -138,9 +139,10 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
 
 @register("op3_mixing")
 def op3_mixing(spark, sf_dir):
-    """Rates at which the documents' expected tokens by domain have the target shares."""
+    """Rates at which the documents' expected tokens by domain have the target shares, or the
+    table's own of low and toxic where those are smaller."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    mixed = mix_to_targets(docs, labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS)
+    mixed = mix_to_targets(docs, labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS, keep="clean")
     shares = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(MIX_TARGETS))]
     return mixed.select("doc_id", "n_tokens", *shares, "rate", copies_of(F.col("rate"), F.col("doc_id")).alias("copies"))
 

@@ -184,6 +184,20 @@ def test_common_unwanted_class_is_fitted_to_the_end(spark):
         M.fit_rates(rows, target.tolist(), max_steps=1)
 
 
+def test_kept_domain_is_not_thinned(spark, docs):
+    """Whatever the table is made of: with less of the others than their limits every rate is 1."""
+    rows, labels = mix_rows(3, 200)
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, domain string")
+    for domains in (["clean"], ["clean", "low", "toxic"]):
+        some = {i: t for i, t in rows.items() if i not in labels or labels[i] in domains}
+        out = M.mix_to_targets(docs(list(some.items())), told, {"clean": 0.0, "low": 0.5, "toxic": 0.5}, keep="clean").collect()
+        assert min(r.rate for r in out) >= 1 - 1e-6 and max(r.rate for r in out) <= 1 + 1e-6
+    out = M.mix_to_targets(docs(list(rows.items())), told, {"clean": 0.8, "low": 0.15, "toxic": 0.05}, keep="clean").collect()
+    total = sum(r.n_tokens for r in out)
+    assert [sum(r.rate * r.n_tokens * r.posterior[k] for r in out) / total for k in range(3)] == pytest.approx([0.8, 0.15, 0.05], abs=1e-6)
+    assert all(r.rate >= 1 for r in out if r.posterior[0] > 0.99)
+
+
 def test_mix_edges(spark, docs):
     none = spark.createDataFrame([], "doc_id long, domain string")
     out = M.mix_to_targets(docs([(1, "a b"), (2, None)]), none, {"x": 1, "y": 1}).collect()
