@@ -52,11 +52,16 @@ class Part:
 
 
 def encode(bpe: ByteBpe, text: str, end_id: int) -> np.ndarray:
-    """The library's ids of a text, and the end id. Special strings go through the library itself."""
-    if any(s in text for s in bpe.special):
+    """The library's ids of a text, and the end id. Special strings go through the library
+    itself, and so do texts that the fast encoder's pattern refuses (very long runs of space)."""
+    ids = None
+    if not any(s in text for s in bpe.special):
+        try:
+            ids = bpe.encoding.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            pass
+    if ids is None:
         ids = np.array(bpe.library.encode(text, add_special_tokens=False).ids, np.uint32)
-    else:
-        ids = bpe.encoding.encode_to_numpy(text, disallowed_special=())
     return np.append(ids.astype("<u4"), np.uint32(end_id)).astype("<u4")
 
 

@@ -127,6 +127,14 @@ def test_pieces_rebuild_the_documents(docs):
         repack(small, K.pack(docs(small), PATH, max_len=max_len, run_tokens=run).collect(), max_len)
 
 
+def test_very_long_space_runs():
+    bpe = load(PATH)
+    for text in ("a" + " " * 1_000_000 + "word. b", "a.\n" + "\n" * 1_000_000 + "word"):
+        with pytest.raises(ValueError):  # what the fast encoder does with them
+            bpe.encoding.encode_to_numpy(text, disallowed_special=())
+        assert K.encode(bpe, text, 1).tolist() == [*library(text), 1]
+
+
 def test_repeated_rows_and_empty_table(docs):
     rows = [(1, "twice"), (1, "twice"), (None, "no id")]
     out = K.pack(docs(rows), PATH).collect()
