@@ -60,6 +60,7 @@ class PrefixCounter:
 
     def __init__(self, bpe: ByteBpe) -> None:
         self.bpe = bpe
+        self.special = regex.compile("|".join(map(regex.escape, sorted(bpe.special)))) if bpe.special else None
         # the tokens from their last byte backwards: (node, byte) -> node, and the token that ends there
         self.next: dict[int, int] = {}
         self.token = [-1]
@@ -198,16 +199,19 @@ class PrefixCounter:
 
     def text(self, text: str) -> tuple[int, bytes]:
         """(tokens, differences) of a whole text, special strings counting one each."""
-        found = [(at, s) for s in self.bpe.special if (at := text.find(s)) >= 0]
-        if not found:
-            return self.ordinary(text)
-        at, special = min(found)
-        before = self.ordinary(text[:at])[0]
-        # inside the special string a prefix is ordinary text
-        inside = np.frombuffer(self.ordinary(text[:at] + special[:-1])[1], "<i2")
-        step = np.array([before + 1 - int(inside.sum(dtype=np.int64))], "<i2")
-        total, rest = self.text(text[at + len(special):]) if at + len(special) < len(text) else (0, b"")
-        return before + 1 + total, inside.tobytes() + step.tobytes() + rest
+        total, at, out = 0, 0, []
+        for found in self.special.finditer(text) if self.special else ():
+            # inside the special string a prefix is ordinary text
+            chars = found.start() - at
+            inside = np.frombuffer(self.ordinary(text[at:found.end() - 1])[1], "<i2")
+            before = int(inside[:chars].sum(dtype=np.int64))
+            out += [inside.tobytes(), np.array([1 - int(inside[chars:].sum(dtype=np.int64))], "<i2").tobytes()]
+            total, at = total + before + 1, found.end()
+        if at < len(text) or not out:
+            rest, deltas = self.ordinary(text[at:] if at else text)
+            total += rest
+            out.append(deltas)
+        return total, b"".join(out)
 
 
 @functools.lru_cache(maxsize=2)

@@ -71,6 +71,16 @@ def test_long_texts_and_small_memory(counter, monkeypatch):
     assert C.PrefixCounter(load(PATH)).text(text) == whole
 
 
+def test_many_special_strings(counter):
+    for part in ("<|endoftext|>", "a <|endoftext|>", "it's  <|endoftext|> \n\n", "<|endof<|endoftext|>"):
+        text = part * 3000 + "end  "
+        n, deltas = counter.text(text)
+        found = C.counts(deltas)
+        assert n == found[-1] == len(library(text)) and len(found) == len(text) + 1
+        for i in (1, 5, len(part), 2 * len(part) + 3, 2500 * len(part), 2500 * len(part) + 4, len(text) - 1):
+            assert found[i] == len(library(text[:i])), (part, i)
+
+
 def test_operator_columns_and_stored_form(spark, docs):
     rows = list(enumerate([*EDGES, None, EDGES[3]])) + [(None, "no id")]
     out = C.count_tokens(docs(rows), PATH, budget=3).collect()
