@@ -19,8 +19,9 @@ Defined cases
 - Vectors null, or holding null or non-finite components: neither query nor candidate.
 - Vectors of different lengths don't meet; empty vectors score 0 with each other.
 - Fewer candidates than k: all of them. Ties: the smaller id first.
-- Rows that repeat an id are candidates of their own; a query never meets its own id, and
-  a repeated query with different vectors takes each candidate's best score once.
+- Rows that repeat an id are candidates of their own, so an id can take several ranks; a
+  query never meets its own id. Rows that repeat a query's id are one query, whose rows
+  each meet every candidate.
 - A null id takes no part. Other columns play none, under any name.
 """
 
@@ -125,9 +126,8 @@ def _search(scale: float, k: int, first_only: bool):
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def search_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,

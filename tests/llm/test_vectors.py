@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from daycast.llm.topk_search import best_rows, search_top_k
 from daycast.llm.vector_dedup import collision, dedup_vectors, plan_tables
@@ -105,6 +106,20 @@ def test_search_ties_few_rows_and_large_numbers(spark):
     assert len(huge) == 10 and {s for *_, s in huge} <= {(1 << 63) - 1, -(1 << 63)}
 
 
+def test_search_keeps_repeated_rows_apart(spark):
+    """Rows of one id are candidates of their own, and those of a query's id are one query."""
+    rows = clusters(8, 90) + [(7, [2.0] * 24)] * 6 + [(8, [1.5] * 24), (8, [1.25] * 24), (0, [1.0] * 24)]
+    pairs = {}
+    for q, a in rows:
+        if q % 3 == 0:
+            pairs.setdefault(q, []).extend((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b, strict=True)), i) for i, b in rows if i != q)
+    want = sorted((q, r + 1, i, -s) for q, found in pairs.items() for r, (s, i) in enumerate(sorted(found)[:5]))
+    for kw in ({}, {"group_rows": 20, "query_rows": 7}):
+        found = search_top_k(frame(spark, rows), F.col("vec_id") % 3 == 0, **kw)
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == want
+    assert [w[2] for w in want if w[0] == 0] == [7] * 5
+
+
 def test_blocks_are_left_out_without_loss():
     """Clustered rows in id order: the bounds spare blocks, and the answer is the plain one."""
     rng = np.random.default_rng(0)
