@@ -9,14 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(cols))
 
 
 def complete_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Rows with no NULL in any column outside ``exclude``."""
-    cols = [c for c in df.columns if c not in exclude]
-    return df.dropna(how="any", subset=cols)
+    """Rows with no NULL (nor NaN) in any column outside ``exclude``.
+
+    One condition per column, not ``dropna``'s single one over all of them: the optimizer
+    derives, for every renamed column, each constraint with the old and with the new name, so
+    a constraint that names n renamed columns becomes 2^n of them."""
+    wanted = [(c, t) for c, t in df.dtypes if c not in exclude]
+    if not wanted:
+        return df
+    tests = [f"nanvl({_quoted(c)}, NULL) IS NOT NULL" if t in ("double", "float") else f"{_quoted(c)} IS NOT NULL" for c, t in wanted]
+    return df.filter(F.expr(" AND ".join(tests)))
 
 
 def incomplete_count(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daycast.session import write_stage
+
 
 def finite(c) -> Column:
     """The value as a double where it is a number, else NULL (NaN and infinities too)."""
@@ -17,6 +19,10 @@ def finite(c) -> Column:
     return F.when(F.abs(x) < F.lit(math.inf), x)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _is_nan(df: DataFrame, c: str) -> Column:
     floating = dict(df.dtypes)[c] in ("double", "float")
     return F.coalesce(F.isnan(F.col(c)), F.lit(False)) if floating else F.lit(False)
@@ -112,16 +118,26 @@ def pearson(x, y):
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(xm) * F.stddev_samp(ym))
 
 
+def correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of each column with the target over the rows that have both:
+    (feature, corr, n), NULL for a constant column or one without such rows. In long form: each row is turned into
+    one (feature, x) per column inside the scan's stage, and one aggregate by feature
+    combines on the map side, so a task sends one row per feature whatever the number of
+    rows, and the plan does not grow with the number of columns."""
+    names = F.array(*[F.lit(c) for c in cols])
+    values = F.array(*[F.col(_q(c)).cast("double") for c in cols])
+    long = df.select(F.col(_q(target)).cast("double").alias("y"), F.posexplode_outer(values).alias("i", "x"))
+    stats = long.groupBy("i").agg(pearson(F.col("x"), F.col("y")).alias("corr"), F.count(F.when(F.col("y").isNotNull(), F.col("x"))).alias("n"))
+    return stats.select(F.element_at(names, F.col("i") + 1).alias("feature"), "corr", "n")
+
+
 def top_correlations(df: DataFrame, target: str, cols: Sequence[str], k: int = 20) -> DataFrame:
-    """Pearson correlation of each column with the target (pairwise non-null rows),
-    ranked by absolute value; top ``k``; constant columns are skipped. One
-    aggregation computes all of them."""
-    wide = df.agg(*[pearson(F.col(c), F.col(target)).alias(f"c{i}") for i, c in enumerate(cols)])
-    long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)
-    ])).alias("s")).select("s.feature", "s.corr")
-    long = long.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).withColumn("abs_corr", F.abs("corr"))
-    return top_k(long, "abs_corr", k, tiebreak=["feature"])
+    """The ``k`` columns of largest absolute correlation with the target (ties by name);
+    constant columns are skipped. The correlations (one row per column) are written
+    before they are ranked: a filter above a wide plan makes the optimizer carry every
+    column's constraints through it again and again."""
+    found = write_stage(correlations(df, target, cols), "correlations").filter(F.col("corr").isNotNull() & ~F.isnan("corr"))
+    return top_k(found.select("feature", "corr", F.abs("corr").alias("abs_corr")), "abs_corr", k, tiebreak=["feature"])
 
 
 def top_k(df: DataFrame, col: str, k: int, tiebreak: Sequence[str] = (), ascending: bool = False) -> DataFrame:

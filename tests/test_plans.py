@@ -2,6 +2,8 @@
 of calendar tables only, one exchange for the feature window, no cartesian or
 nested-loop joins and no Python evaluation in any registered query."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,9 +72,53 @@ def _names():
     return sorted(n for n in queries() if n not in skip and not n.startswith("op") and n != "pipeline")
 
 
+def planned_within(df, seconds):
+    """The executed plan's text, or a failure if the optimizer takes longer than ``seconds``."""
+    out = []
+    worker = threading.Thread(target=lambda: out.append(plan(df)), daemon=True)
+    worker.start()
+    worker.join(seconds)
+    assert out, f"no plan after {seconds} s"
+    return out[0]
+
+
 @pytest.mark.parametrize("name", _names())
 def test_no_cartesian_and_no_python_in_registered_queries(spark, name):
     from __spark_entry__ import queries
-    p = plan(queries()[name](spark, SF))
+    p = planned_within(queries()[name](spark, SF), 60)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_renamed_columns_of_complete_rows_plan_in_seconds(spark):
+    """500 renamed struct fields, filtered for completeness, correlated with a target and joined."""
+    from daycast.operators.filters import complete_rows
+    from daycast.operators.profile import correlations, top_correlations
+    n = 500
+    packed = spark.range(100).select("id", F.struct(*[(F.col("id") * i % 7).cast("double").alias(f"f{i}") for i in range(n)]).alias("p"))
+    wide = complete_rows(packed.select("id", *[F.col(f"p.f{i}").alias(f"x{i}") for i in range(n)]), ["id"])
+    with_target = wide.withColumn("y", F.asinh(F.col("id").cast("double")))
+    planned_within(correlations(with_target, "y", [f"x{i}" for i in range(n)]), 60)
+    few = wide.select("id", *[f"x{i}" for i in range(100)])
+    planned_within(few.join(spark.range(10), "id"), 60)
+    best = top_correlations(with_target, "y", [f"x{i}" for i in range(100)], 5)
+    assert best.count() == 5 and best.filter("feature = 'x0'").count() == 0  # x0 is constant
+
+
+def test_correlations_equal_sql_where_the_tables_are_not_empty(spark):
+    """At 0.001 the training table has no complete row; these two are compared at 0.01 too."""
+    from __spark_entry__ import oracle_sql, queries
+    from tools.oracle_check import duck, rows
+    con = duck("/root/testdata/sf0.01")
+    for name in ("training_table", "training_correlations"):
+        got, want = queries()[name](spark, "/root/testdata/sf0.01").toArrow(), con.sql(oracle_sql()[name]).fetch_arrow_table()
+        assert got.num_rows > 0 and rows(got) == rows(want)
+
+
+def test_correlation_aggregate_sends_one_row_per_feature(spark):
+    from daycast.operators.profile import correlations
+    df = spark.range(0, 100_000, 1, 4).select(F.col("id").cast("double").alias("y"), (F.col("id") % 10).cast("double").alias("a.b"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("b"))
+    p = plan(correlations(df, "y", ["a.b", "b"]))
+    assert p.index("Generate") > p.index("partial_") > p.index("Exchange")  # rows are generated below the partial aggregate
+    got = {r.feature: r for r in correlations(df, "y", ["a.b", "b"]).collect()}
+    assert got["b"].n == 50_000 and abs(got["b"].corr - 1) < 1e-12 and got["a.b"].n == 100_000
