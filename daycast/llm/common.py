@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +85,15 @@ def word_pieces(raw: bytes, overlap: int, limit: int = 4 << 20):
         yield words
         tail = words[len(words) - min(overlap, len(words)):]
         at = end
+
+
+def text_slices(batch: pa.RecordBatch, name: str, limit: int = 4 << 20, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and ``limit`` bytes in the text column
+    ``name`` (a longer text is a slice of its own), so that what Python holds of a batch
+    at once doesn't grow with its texts."""
+    ends = np.cumsum(pc.binary_length(batch.column(name)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, before = 0, 0
+    while at < len(ends):
+        stop = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + limit, "right"))))
+        yield batch.slice(at, stop - at)
+        at, before = stop, int(ends[stop - 1])

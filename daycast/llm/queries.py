@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.llm.common import on_workers
+from daycast.llm.hard_negatives import mine_hard_negatives
 from daycast.llm.language_id import identify_language, learn_dictionaries
+from daycast.llm.license_scan import scan_licenses
 from daycast.llm.line_dedup import dedup_lines
 from daycast.llm.mixing import copies_of, mix_to_targets
 from daycast.llm.packing import pack
 from daycast.llm.simhash_dedup import simhash_groups
+from daycast.llm.spelling_variants import group_variants
 from daycast.llm.substring_dedup import dedup_substrings
 from daycast.llm.token_counts import count_tokens
 from daycast.llm.topk_search import search_top_k
@@ -208,6 +211,46 @@ def op8_topk_search(spark, sf_dir):
     return search_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark, sf_dir):
+    """Frequent words with their near words, forms and roots; one run in 97 loses a letter."""
+    return group_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+HARD_NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+best AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+fitting AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM best JOIN scored USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM fitting QUALIFY rank <= 3
+"""
+
+
+@register("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    """Three hard negatives for each of the five best positives of every fiftieth vector; every
+    seventh vector's label is moved on by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label, positives=5, negatives=3, low=50, high=95, scale=256.0)
+
+
+@register("op13_license_scan")
+def op13_license_scan(spark, sf_dir):
+    """Places of three license phrases in every whole text, and the labels of all signature rules."""
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     """The five stages of corpus_pipeline over ``documents``."""
