@@ -190,7 +190,7 @@ wtfpl | want to | you just do what the (?:fuck|f) you want to
 boost-1 | hereby granted | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
 ofl-1.1 | font software | the font software may be sold as part of a larger software package
 cc0-1 | dedicated the work | the person who associated a work with this deed has dedicated the work to the public domain
-artistic-2 | artistic | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed .{0,80}artistic
+artistic-2 | artistic | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed (?:.{0,80} )?artistic
 beerware | beer | as long as you retain this notice you can do whatever you want with this stuff .{0,120}buy me a beer
 postgresql | written agreement | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
 sspl-1 | server side | making the functionality of the program or modified version available to third parties as a service
