@@ -40,14 +40,38 @@ class ByteBpe:
     pattern: regex.Pattern
 
 
-@functools.lru_cache(maxsize=4)
-def load(path: str) -> ByteBpe:
-    """Read the file at ``path``; refuses files whose rules this module does not cover."""
+def _spec(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     pre, model = spec["pre_tokenizer"], spec["model"]
     if spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or model["type"] != "BPE" or model["ignore_merges"]:
         raise ValueError(f"{path} is not a plain byte-level BPE")
+    return spec
+
+
+class Encoder:
+    """Only what encoding takes: ids by bytes, special strings, the fast encoder, and the library
+    from when a text first needs it. A task makes one and drops it at its end."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        spec = _spec(path)
+        sign = _byte_signs()
+        self.special = tuple(t["content"] for t in spec["added_tokens"])
+        self.ids = {bytes(sign[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
+        del spec
+        self.encoding = tiktoken.Encoding("file", pat_str=QUICK, mergeable_ranks=self.ids, special_tokens={})
+
+    @functools.cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+
+@functools.lru_cache(maxsize=4)
+def load(path: str) -> ByteBpe:
+    """Read the file at ``path``; refuses files whose rules this module does not cover."""
+    spec = _spec(path)
+    model = spec["model"]
     sign = _byte_signs()
     raw = lambda token: bytes(sign[c] for c in token)
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}

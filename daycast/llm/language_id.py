@@ -1,15 +1,16 @@
 """Language identification by compression: a text is in the language whose dictionary
 lets zstandard encode it in the fewest bytes.
 
-Texts are lower-cased first. Each language's dictionary is raw content: slices of a bounded sample of texts labelled
-with it (the texts of smallest hash, so the sample does not depend on row order or
-partitions). A whole text is encoded in chunks of ``chunk_bytes``, each against every
+Texts are lower-cased first. Each language's dictionary is raw content: a bounded sample of
+whole texts labelled with it (those of at most ``sample_bytes`` bytes first, then by their hash, so the
+sample does not depend on row order or partitions). A whole text is encoded in chunks of ``chunk_bytes``, each against every
 dictionary, since only the start of a long frame would profit from a dictionary. The
 result is the language of the smallest total (short matches count, so the encoder looks
 for matches of 4 bytes on; at the fast levels' longer ones a short text's sizes tie); the margin is the saving against the
 second smallest, as a share of it, and a text with a margin under ``min_margin`` is
 rejected. The dictionaries are the only thing sent to the tasks: at most
-``max_languages`` times ``sample_texts`` times ``slice_chars`` characters.
+``max_languages`` times ``sample_texts`` texts, of at most ``sample_bytes`` bytes each
+wherever a language has so many texts of that size.
 
 Defined cases
 - Null text, or no letter in it: language ``und``, score 0, rejected.
@@ -29,26 +30,25 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import col
+from daycast.llm.common import col, text_slices
 
 UNKNOWN = "und"
 OUTPUTS = ["lang_pred", "score", "rejected"]
 
 
-def learn_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_texts: int = 128,
-                       slice_chars: int = 1024, max_languages: int = 64) -> dict[str, bytes]:
-    """Raw-content dictionaries by language, from at most ``sample_texts`` slices of
-    ``slice_chars`` characters each; a slice starts at a place set by the text's hash."""
+def learn_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_texts: int = 64,
+                       sample_bytes: int = 4096, max_languages: int = 64) -> dict[str, bytes]:
+    """Raw-content dictionaries by language, from at most ``sample_texts`` whole texts each;
+    longer ones than ``sample_bytes`` only where a language has too few others."""
     from pyspark.sql import Window
 
     rows = labelled.select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text")).where(
-        "lang IS NOT NULL AND trim(text) <> ''").withColumn("hash", F.xxhash64("text"))
+        "lang IS NOT NULL AND trim(text) <> ''").withColumn("hash", F.xxhash64("text")).withColumn("long", F.octet_length("text") > sample_bytes)
     # in two steps, the first of them salted: one language may have nearly all rows
-    part = rows.select("lang", "hash", F.pmod("hash", F.lit(64)).alias("salt")).distinct()
+    part = rows.select("lang", "long", "hash", F.pmod("hash", F.lit(64)).alias("salt")).distinct()
     for by in (["lang", "salt"], ["lang"]):
-        part = part.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("hash"))).where(F.col("rank") <= sample_texts)
-    ranks = part
-    chosen = ranks.groupBy("lang").agg(F.max("hash").alias("most"))
+        part = part.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("long", "hash"))).where(F.col("rank") <= sample_texts)
+    chosen = part.groupBy("lang").agg(F.max(F.struct("long", "hash")).alias("last"))
     limits = chosen.limit(max_languages + 1).collect()
     if len(limits) > max_languages:
         raise ValueError(f"the labelled texts name more than {max_languages} languages")
@@ -56,13 +56,12 @@ def learn_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: st
         return {}
     taken = F.lit(False)
     for r in limits:
-        taken = taken | ((F.col("lang") == r.lang) & (F.col("hash") <= r.most))
-    start = F.pmod("hash", F.greatest(F.char_length("text") - slice_chars, F.lit(1))) + 1
-    found = (rows.where(taken).select("lang", "hash", F.substr("text", start.cast("int"), F.lit(slice_chars)).alias("slice"))
-             .groupBy("lang", "hash").agg(F.min("slice").alias("slice")).orderBy("lang", "hash").collect())
+        within = F.col("hash") <= r["last"]["hash"]
+        taken = taken | ((F.col("lang") == r.lang) & ((F.col("long") & within | ~F.col("long")) if r["last"]["long"] else (~F.col("long") & within)))
+    found = rows.where(taken).groupBy("lang", "long", "hash").agg(F.min("text").alias("text")).orderBy("lang", "long", "hash").collect()
     out: dict[str, list[str]] = {}
     for r in found:
-        out.setdefault(r.lang, []).append(r.slice)
+        out.setdefault(r.lang, []).append(r.text)
     return {k: "\n".join(v).lower().encode() for k, v in sorted(out.items())}
 
 
@@ -105,12 +104,12 @@ def identify_language(docs: DataFrame, dictionaries: dict[str, bytes], text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dictionaries, chunk_bytes)
-        for batch in batches:
-            judged = [encoder.judge(t) for t in batch.column("__text").to_pylist()]
+        for part in (part for batch in batches for part in text_slices(batch, "__text")):
+            judged = [encoder.judge(t) for t in part.column("__text").to_pylist()]
             names, scores = [x[0] for x in judged], [x[1] for x in judged]
             rejected = [n == UNKNOWN or s < min_margin for n, s in judged]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+                [*(part.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 [*kept, *OUTPUTS])
 
     rows = docs.select(*[col(c).alias(k) for c, k in zip(names, kept, strict=True)], col(text_col).cast("string").alias("__text"))

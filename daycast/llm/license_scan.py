@@ -193,7 +193,7 @@ cc0-1 | dedicated the work | the person who associated a work with this deed has
 artistic-2 | artistic | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed (?:.{0,80} )?artistic
 beerware | beer | as long as you retain this notice you can do whatever you want with this stuff .{0,120}buy me a beer
 postgresql | written agreement | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
-sspl-1 | server side | making the functionality of the program or modified version available to third parties as a service
+sspl-1 | making the functionality | making the functionality of the program or modified version available to third parties as a service
 gfdl | invariant | with no invariant sections no front cover texts and no back cover texts
 all-rights-reserved | rights reserved | (?:copyright .{0,80})?all rights reserved
 """

@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from daycast.llm.byte_bpe import ByteBpe, load
-from daycast.llm.common import col
+from daycast.llm.byte_bpe import Encoder
+from daycast.llm.common import col, text_slices
 
 SENTENCE_SIGNS = b".!?\n"
 
@@ -51,7 +51,7 @@ class Part:
     ends: np.ndarray
 
 
-def encode(bpe: ByteBpe, text: str, end_id: int) -> np.ndarray:
+def encode(bpe: Encoder, text: str, end_id: int) -> np.ndarray:
     """The library's ids of a text, and the end id. Special strings go through the library
     itself, and so do texts that the fast encoder's pattern refuses (very long runs of space)."""
     ids = None
@@ -155,7 +155,7 @@ def pieces(parts: list[Part], bounds: np.ndarray, first_sequence: int, max_len:
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_len: int = 2048, end_id: int = 1,
-         sentence_cost: float = 4.0, plain_cost: float = 16.0, plain_gap: int = 16, run_tokens: int = 1 << 20) -> DataFrame:
+         sentence_cost: float = 4.0, plain_cost: float = 16.0, plain_gap: int = 16, run_tokens: int = 1 << 18) -> DataFrame:
     """Pieces of the documents' tokens (by the vocabulary file at ``path``, then ``end_id``):
     ``doc_id``, ``start`` (in its document), ``length``, ``token_bytes`` (little-endian 32-bit
     ids), ``doc_tokens``, ``sequence_id``, ``offset`` (in its sequence), and the sequence's
@@ -163,7 +163,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     plain_gap = min(plain_gap, max_len)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = Encoder(path)
         ends_sentence = np.zeros(max(max(bpe.ids.values()), end_id) + len(bpe.special) + 1, bool)
         for token, i in bpe.ids.items():
             ends_sentence[i] = any(s in token for s in SENTENCE_SIGNS)
@@ -192,8 +192,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     rest.append(Part(p.doc, p.total, p.start + skip, p.ids[skip:], p.ends[p.ends > skip] - skip))
             parts, held = rest, sum(len(p.ids) for p in rest)
 
-        for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for part in (part for batch in batches for part in text_slices(batch, "text")):
+            for doc, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
                 ids = encode(bpe, text or "", end_id)
                 ends = np.flatnonzero(ends_sentence[ids[:-2]]) + 1
                 parts.append(Part(doc, len(ids), 0, ids, ends))

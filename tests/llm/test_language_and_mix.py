@@ -49,16 +49,54 @@ def test_none_or_one_language(spark, docs):
     assert (one.lang_pred, one.score, one.rejected) == ("aa", 1.0, False)
 
 
-def test_sample_is_bounded(spark):
-    rows = [(f"text number {i} " * 400, "aa") for i in range(50)] + [("the same copy", "bb")] * 40
-    df = spark.createDataFrame(rows, "text string, lang string")
-    found = L.learn_dictionaries(df, sample_texts=8, slice_chars=100)
-    assert len(found["aa"].decode()) == 8 * 100 + 7 and found["bb"] == b"the same copy"
-    assert found == L.learn_dictionaries(df.repartition(7), sample_texts=8, slice_chars=100)
+def test_sample_is_bounded_in_rows_of_whole_texts(spark):
+    """Short texts first, long ones whole where there are too few others."""
+    long, short = [f"text number {i} " * 400 for i in range(50)], [f"a short text {i}" for i in range(5)]
+    df = spark.createDataFrame([(t, "aa") for t in long + short] + [("the same copy", "bb")] * 40, "text string, lang string")
+    found = L.learn_dictionaries(df, sample_texts=8, sample_bytes=100)
+    parts = found["aa"].decode().split("\n")
+    assert sorted(parts[:5]) == short and len(parts) == 8 and set(parts[5:]) < set(long) and found["bb"] == b"the same copy"
+    assert found == L.learn_dictionaries(df.repartition(7), sample_texts=8, sample_bytes=100)
+    assert len(L.learn_dictionaries(df, sample_texts=3, sample_bytes=100)["aa"].decode().split("\n")) == 3
     with pytest.raises(ValueError):
         L.learn_dictionaries(df, max_languages=1)
 
 
+def test_matches_plain_compressors(spark, docs, learned):
+    """One compressor a language, its dictionary loaded anew for every chunk, smallest sum of sizes."""
+    import zstandard
+    rules = zstandard.ZstdCompressionParameters(window_log=19, chain_log=16, hash_log=17, search_log=3, min_match=4, strategy=zstandard.STRATEGY_LAZY,
+                                                write_content_size=0, write_checksum=0, write_dict_id=0)
+
+    def size(text, lang):
+        raw, total = text.lower().encode(), 0
+        for at in range(0, len(raw), 4096):
+            one = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            one.precompute_compress(compression_params=rules)
+            total += len(zstandard.ZstdCompressor(dict_data=one, compression_params=rules).compress(raw[at:at + 4096]))
+        return total
+
+    texts = [t for i, k in enumerate(WORDS) for t in sentences(k, 12, 20 + i)] + [" ".join(sentences("cc", 900, 5)), "ÉTÉ", "the haus est", "a" * 9000]
+    rows = list(enumerate(texts))
+    for r in L.identify_language(docs(rows), learned).collect():
+        sizes = sorted((size(texts[r.doc_id], k), k) for k in learned)
+        assert r.lang_pred == sizes[0][1] and r.score == pytest.approx((sizes[1][0] - sizes[0][0]) / sizes[1][0], abs=1e-12)
+
+
+def test_batches_are_sliced_by_bytes(spark, docs):
+    """200 texts of 1 MB: no more than 4 of them are held at once; one longer text is a slice of its own."""
+    import pyarrow as pa
+
+    from daycast.llm.common import text_slices
+    texts = ["x" * (1 << 20)] * 200 + [None, "", "y" * (9 << 20), "z"]
+    sizes = [(p.num_rows, sum(len(t or "") for t in p.column("t").to_pylist())) for p in text_slices(pa.RecordBatch.from_pydict({"t": texts}), "t")]
+    assert sum(n for n, _ in sizes) == 204 and all(b <= 4 << 20 or n == 1 for n, b in sizes) and len(sizes) <= 54
+    assert [p.num_rows for p in text_slices(pa.RecordBatch.from_pydict({"t": ["a"] * 2500}).slice(200, 2100), "t")] == [1000, 1000, 100]
+    assert list(text_slices(pa.RecordBatch.from_pydict({"t": pa.array([], pa.string())}), "t")) == []
+    rows = [(i, "the house stands on green hills " * 1000) for i in range(60)]
+    assert {r.lang_pred for r in L.identify_language(docs(rows), {"aa": b"the house stands", "bb": b"das haus steht"}).collect()} == {"aa"}
+
+
 def test_held_out_accuracy(spark):
     """The registered query on documents it did not learn from."""
     from daycast.llm.queries import QUERIES

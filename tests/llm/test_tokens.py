@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from daycast.llm import packing as K
 from daycast.llm import token_counts as C
-from daycast.llm.byte_bpe import load
+from daycast.llm.byte_bpe import Encoder, load
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 EDGES = ["", " ", "a", "it's don't we'll I've they're 'tis 'l 're x!'ll", "  two  spaces\n\n\nlines \t\t tabs nbsp", "ends with space   ", "   starts",
@@ -45,7 +45,7 @@ def test_counts_of_random_prefixes(text):
 
 
 def test_ids_equal_the_library_for_any_sign():
-    bpe = load(PATH)
+    bpe = Encoder(PATH)
     signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for k in range(0, len(signs), 5000):
         text = "".join(f"a{c}1 {c}{c}b" for c in signs[k:k + 5000])
@@ -138,7 +138,7 @@ def test_pieces_rebuild_the_documents(docs):
 
 
 def test_very_long_space_runs():
-    bpe = load(PATH)
+    bpe = Encoder(PATH)
     for text in ("a" + " " * 1_000_000 + "word. b", "a.\n" + "\n" * 1_000_000 + "word"):
         with pytest.raises(ValueError):  # what the fast encoder does with them
             bpe.encoding.encode_to_numpy(text, disallowed_special=())
