@@ -32,9 +32,18 @@ from daycast.llm.simhash_dedup import dedup_simhash
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def python_stage(spark: SparkSession) -> None:
+    """Ready the session for a stage with Python steps: workers find the package, and Arrow
+    batches hold at most 1000 rows, since a batch of whole texts is held outside the heap."""
+    on_workers(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= 1000:
+        spark.conf.set(rows, "1000")
+
+
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with some margin."""
-    on_workers(spark)
+    python_stage(spark)
     return identify_language(docs.select(*COLUMNS), learned_languages(docs)).where(~F.col("rejected")).select(*COLUMNS)
 
 
@@ -46,7 +55,7 @@ def dedup_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    on_workers(spark)
+    python_stage(spark)
     return dedup_simhash(docs.select(*COLUMNS), words_per_shingle=3, max_bits=3)
 
 
@@ -59,7 +68,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most 2048."""
-    on_workers(spark)
+    python_stage(spark)
     packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=1)
     return packed.withColumn("ids_crc32", F.crc32("token_bytes"))
 
