@@ -96,4 +96,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from daycast.plans import q_features, q_evaluate, q_profile, q_sources, q_model, q_ridge, q_training  # noqa: F401
+    from daycast.plans import q_boost, q_features, q_evaluate, q_profile, q_sources, q_model, q_ridge, q_training  # noqa: F401
