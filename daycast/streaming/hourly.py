@@ -1,10 +1,5 @@
 """Structured Streaming: hourly rollup of sub-hourly readings, kept as a table that late
-readings correct; and a watermarked live view.
-
-Naive local stamps (TIMESTAMP_NTZ) cannot carry a watermark, so the wall clock is
-mapped to an event-time instant with the same UTC wall clock (pure micro arithmetic,
-independent of the session time zone) and mapped back for output.
-"""
+readings correct. There is no watermark: no reading is too late to count."""
 
 from __future__ import annotations
 
@@ -12,98 +7,28 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycast.functions.time import hour_floor
 from daycast.session import ensure_checkpoint_dir
-
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
-def to_event_time(ntz) -> Column:
-    c = F.col(ntz) if isinstance(ntz, str) else ntz
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
-
-
-def from_event_time(ltz) -> Column:
-    c = F.col(ltz) if isinstance(ltz, str) else ltz
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
-
-
-def hourly_rollup(stream: DataFrame, ts: str, value: str, series_keys: Sequence[str] = (),
-                  watermark: str = "2 hours") -> DataFrame:
-    """Streaming (series, hour_start, mean_value, n) over one-hour tumbling windows, for a
-    live view: hours closed by the watermark no longer change. The kept table
-    (``run_hourly_rollup``) has no such bound."""
-    et = stream.withColumn("__et", to_event_time(ts)).withWatermark("__et", watermark)
-    agg = et.groupBy(*series_keys, F.window("__et", "1 hour").alias("w")).agg(
-        F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n"))
-    return agg.select(*series_keys, from_event_time(F.col("w.start")).alias("hour_start"), "mean_value", "n")
+from daycast.streaming.batches import BatchTable
 
 
 def _merged(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return parts.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n_values").cast("long").alias("n_values"), F.sum("n").cast("long").alias("n"))
 
 
-def merge_sink(out_dir: str, ts: str, value: str, series_keys: Sequence[str]):
-    """foreachBatch writer: each micro-batch is reduced to sums and counts per (series,
-    hour) and written under its batch id (a replayed batch rewrites the same folder). Sums
-    add up over batches, so a reading that comes days late corrects its hour."""
-    keys = [*series_keys, "hour_start"]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        parts = (batch.select(*series_keys, hour_floor(ts).alias("hour_start"), F.col(value).cast("double").alias("__v"))
-                 .groupBy(*keys).agg(F.sum("__v").alias("total"), F.count("__v").alias("n_values"), F.count(F.lit(1)).alias("n")))
-        parts.write.mode("overwrite").parquet(os.path.join(out_dir, "data", f"batch_id={batch_id}"))
-
-    return write
-
-
-def _folders(spark: SparkSession, path: str) -> list[int]:
-    """The batch ids that have a folder with rows under ``path``."""
-    try:
-        found = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return []
-    return sorted(int(r.batch_id) for r in found.select("batch_id").distinct().collect())
-
-
-def _parts(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> DataFrame:
-    """The newest compacted table and the batches after it."""
-    data, compact = os.path.join(out_dir, "data"), os.path.join(out_dir, "compact")
-    done = _folders(spark, compact)
-    rows = spark.read.parquet(data)
-    cols = [*keys, "total", "n_values", "n"]
-    if not done:
-        return rows.select(*cols)
-    base = spark.read.parquet(compact).filter(F.col("batch_id") == done[-1])
-    return base.select(*cols).unionByName(rows.filter(F.col("batch_id") > done[-1]).select(*cols))
-
-
-def compact(spark: SparkSession, out_dir: str, keys: Sequence[str], min_batches: int = 32) -> bool:
-    """Merge the batches into one table when ``min_batches`` have come since the last time,
-    so that reading costs no more files as the stream goes on. The table is named by the
-    last batch in it and counts only once wholly written; the folders it covers are no
-    longer read and may be removed."""
-    last = _folders(spark, os.path.join(out_dir, "data"))
-    done = _folders(spark, os.path.join(out_dir, "compact"))
-    if not last or len([b for b in last if not done or b > done[-1]]) < min_batches:
-        return False
-    path = os.path.join(out_dir, "compact", f"batch_id={last[-1]}")
-    _merged(_parts(spark, out_dir, keys), keys).write.mode("overwrite").parquet(path)
-    return True
+def rollup_table(spark: SparkSession, out_dir: str, series_keys: Sequence[str], compact_after: int = 32) -> BatchTable:
+    """Sums and counts per (series, hour). Sums add up over batches, so a reading that comes
+    days late corrects its hour."""
+    return BatchTable(spark, out_dir, lambda parts: _merged(parts, [*series_keys, "hour_start"]), compact_after)
 
 
 def read_current(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> DataFrame:
     """(keys, mean_value, n) over every reading that has come so far."""
-    merged = _merged(_parts(spark, out_dir, keys), keys)
+    merged = rollup_table(spark, out_dir, [k for k in keys if k != "hour_start"]).current()
     return merged.select(*keys, F.try_divide("total", F.col("n_values")).alias("mean_value"), "n")
 
 
@@ -118,9 +43,12 @@ def run_hourly_rollup(spark: SparkSession, source_dir: str, glob: str, schema: T
     if dict((f.name, f.dataType) for f in schema.fields).get(ts) != T.TimestampNTZType():
         stream = stream.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
     keys = [*series_keys, "hour_start"]
-    q = (stream.writeStream.foreachBatch(merge_sink(out_dir, ts, value, series_keys))
+    table = rollup_table(spark, out_dir, series_keys, compact_after)
+    reading = F.col(value).cast("double")
+    parts = stream.select(*series_keys, hour_floor(ts).alias("hour_start"), F.coalesce(reading, F.lit(0.0)).alias("total"),
+                          reading.isNotNull().cast("long").alias("n_values"), F.lit(1).cast("long").alias("n"))
+    q = (parts.writeStream.foreachBatch(table.write)
          .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    compact(spark, out_dir, keys, compact_after)
     return read_current(spark, out_dir, keys)

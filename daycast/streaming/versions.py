@@ -1,10 +1,11 @@
 """Structured Streaming twin of ``latest_version``: keep the current version of every
 re-published record as files arrive.
 
-Each micro-batch is reduced to its highest version per key (``max_by``, map-side
-combine) and written under its batch id (idempotent on replay). The current table is
-the highest version per key over all batch outputs, so late or re-published versions
-in later files replace earlier ones, and a restart resumes from the checkpoint.
+Each micro-batch is reduced to its highest version per key (limited per key before the
+shuffle) and merged with the others as a ``BatchTable``: compacted every so many batches, so
+a read ranks one table and at most ``compact_after`` batches, however many have come. A
+lower version that comes late loses wherever it meets the higher one. A restart resumes
+from the checkpoint.
 """
 
 from __future__ import annotations
@@ -14,28 +15,28 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycast.operators.dedupe import latest_version
 from daycast.session import ensure_checkpoint_dir
+from daycast.streaming.batches import BatchTable
+
+
+def version_table(spark: SparkSession, out_dir: str, keys: Sequence[str], version: str, compact_after: int = 32) -> BatchTable:
+    """The highest version per key of all batches so far."""
+    return BatchTable(spark, out_dir, lambda rows: latest_version(rows, keys, version), compact_after)
 
 
 def run_latest_versions(spark: SparkSession, source_dir: str, glob: str, schema: T.StructType, keys: Sequence[str],
                         version: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                        out_dir: str | None = None) -> DataFrame:
+                        out_dir: str | None = None, files_per_batch: int = 1000, compact_after: int = 32) -> DataFrame:
     """Process the files available now under ``source_dir`` and return the current
     version per key. ``prepare`` shapes raw rows (e.g. derives the hour key)."""
     out_dir = out_dir or os.path.join(ensure_checkpoint_dir(spark), "latest-versions-" + uuid.uuid4().hex)
-    data_dir = os.path.join(out_dir, "data")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare is not None else batch
-        (latest_version(rows, keys, version).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(os.path.join(data_dir, f"batch_id={batch_id}")))
-
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
-    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
+    table = version_table(spark, out_dir, keys, version, compact_after)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
+    rows = prepare(stream) if prepare is not None else stream
+    q = (rows.writeStream.foreachBatch(table.write).option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_version(spark.read.parquet(data_dir).drop("batch_id"), keys, version)
+    return table.current()
