@@ -91,3 +91,32 @@ def fill_from_daily(base: DataFrame, ts: str, daily: DataFrame, date_col: str, v
     out = base.select(*other).withColumn("__date", F.to_date(F.col(ts)))
     out = out.join(F.broadcast(per_date.withColumnRenamed(date_col, "__date")), on="__date", how="left")
     return out.drop("__date")
+
+
+def asof_fill(base: DataFrame, ts: str, source: DataFrame, source_ts: str, value_cols: Sequence[str], series_keys: Sequence[str] = (),
+              bucket: str = "day", max_age_hours: float | None = None) -> DataFrame:
+    """Attach to each base row the values of the latest ``source`` row at or before it in the
+    same series, whatever the source's stamps; all values of one row come from one source row.
+    ``max_age_hours``: older values are not attached.
+
+    No join on time: both sides are stacked, the source's row travels as one struct, and
+    ``forward_fill`` carries it in two levels, within (series, bucket) and from bucket to
+    bucket, so a series that holds a third of all rows is as many window groups as it has
+    buckets. Source rows that repeat a series and stamp count with their largest values;
+    those without a stamp not at all. Base rows are kept as they are, repeated ones too; NULL
+    keys are a series of their own."""
+    keys = list(series_keys)
+    taken = [c for c in base.columns if c in value_cols]
+    if taken:
+        raise ValueError(f"{taken[0]!r} is a column of the base already")
+    one = (source.filter(F.col(source_ts).isNotNull()).groupBy(*keys, F.col(source_ts).alias("__at"))
+           .agg(F.max(F.struct(*value_cols)).alias("__values")).select(*keys, F.col("__at").alias("__t"), F.struct("__at", "__values").alias("__from")))
+    kind = one.schema["__from"].dataType
+    rows = base.select(*keys, F.col(ts).alias("__t"), F.lit(None).cast(kind).alias("__from"), F.struct(*[F.col(c) for c in base.columns]).alias("__base"))
+    stacked = rows.unionByName(one, allowMissingColumns=True)
+    filled = forward_fill(stacked, "__t", ["__from"], keys, bucket).filter(F.col("__base").isNotNull())
+    fresh = F.lit(True)
+    if max_age_hours is not None:
+        fresh = F.timestamp_diff("MICROSECOND", F.col("__from.__at"), F.col("__t")) <= F.lit(int(max_age_hours * 3_600_000_000))
+    return filled.select(*[F.col("__base").getField(c).alias(c) for c in base.columns],
+                         *[F.when(fresh, F.col("__from.__values").getField(c)).alias(c) for c in value_cols])

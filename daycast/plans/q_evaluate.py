@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daycast.functions.transforms import asinh_target, sinh_inverse
-from daycast.operators.evaluate import forecast_errors, monthly_scorecard, naive_mae, paired_test, spread, win_rate
+from daycast.operators.evaluate import forecast_errors, monthly_scorecard, naive_mae, paired_test, paired_test_hac, spread, win_rate
 from daycast.operators.joins import attach_benchmark, attach_columns
 from daycast.operators.lags import exact_lags
 from daycast.plans import views as V
@@ -108,3 +108,19 @@ def q_asinh_transform(spark, sf):
 def q_paired_test(spark, sf):
     """Champion / challenger: paired error differences and their t statistic."""
     return paired_test(_errors(spark, sf), "model_abs_diff", "bench_abs_diff")
+
+
+HAC_LAG = 24
+
+
+@register("paired_test_hac", with_views(
+    f"""SELECT n, mean_diff, g0 + 2 * coalesce(weighted, 0) AS variance, mean_diff / sqrt((g0 + 2 * coalesce(weighted, 0)) / n) AS dm_stat
+FROM (SELECT count(*) AS n, avg(d) AS mean_diff, var_pop(d) AS g0 FROM diffs), (
+  SELECT sum((1 - hours / {HAC_LAG + 1}.0) * (a.d - m) * (b.d - m)) / max(n) AS weighted
+  FROM (SELECT *, avg(d) OVER () AS m, count(*) OVER () AS n FROM diffs) a JOIN (SELECT unnest(range(1, {HAC_LAG + 1})) AS hours) ON true
+  JOIN diffs b ON b.datetime_ept = a.datetime_ept - to_hours(hours))""", "v_pred",
+    extra={"diffs": f"SELECT datetime_ept, model_abs_diff - bench_abs_diff AS d FROM ({_ERR}) WHERE model_abs_diff - bench_abs_diff IS NOT NULL"}),
+    {"mean_diff": 6, "variance": 4, "dm_stat": 6})
+def q_paired_test_hac(spark, sf):
+    """Champion / challenger with the variance of serially correlated hours."""
+    return paired_test_hac(_errors(spark, sf), "datetime_ept", "model_abs_diff", "bench_abs_diff", HAC_LAG)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from daycast.operators.calendar import calendar_features, holiday_dim, holiday_flag, holidays_for
 from daycast.operators.dedupe import dedupe_hours, latest_before_cutoff, latest_version
-from daycast.operators.fill import fill_from_daily, forward_fill
+from daycast.operators.fill import asof_fill, fill_from_daily, forward_fill
 from daycast.operators.filters import complete_rows, incomplete_count, require_not_null
 from daycast.operators.joins import join_sources
 from daycast.operators.lags import exact_lags, offset_rows, seasonal_rolling
@@ -274,3 +274,13 @@ def q_unify_feeds(spark, sf):
         (b, {"datetime_ept": hour_floor("interval_start"), "area": "area_code", "price": "price_usd",
              "record_id": "row_id"}, "da_feed"),
     ], code_col="area", code_map={"DOMINION": "DOM"})
+
+
+@register("asof_fill", with_views("""SELECT h.event_type, h.ts, h.n, r.value AS reading, CAST(r.user_id AS DOUBLE) AS reader
+FROM v_hourly h ASOF LEFT JOIN (
+  SELECT event_type, ts, max((value, user_id)) AS last, max(value) AS value, arg_max(user_id, (value, user_id)) AS user_id
+  FROM events WHERE event_id % 11 = 0 GROUP BY event_type, ts) r ON h.event_type = r.event_type AND h.ts >= r.ts""", "v_hourly"), ["reading"], dbl=["reader"])
+def q_asof_fill(spark, sf):
+    """Each series' hours with the latest of its irregular readings (every eleventh event)."""
+    readings = V.events(spark, sf).filter("event_id % 11 = 0").select("event_type", F.col("ts").alias("read_at"), F.col("value").alias("reading"), F.col("user_id").alias("reader"))
+    return asof_fill(V.v_hourly(spark, sf).select("event_type", "ts", "n"), "ts", readings, "read_at", ["reading", "reader"], ["event_type"])

@@ -120,7 +120,7 @@ FROM (SELECT unnest([100, 200]) AS n), (SELECT unnest([0.01, 0.05, 0.1, 0.3]) AS
   (SELECT m.period_idx AS fold, (SELECT count(*) FROM tagged t WHERE t.period_idx < m.period_idx) AS n_train_rows,
      (SELECT count(*) FROM tagged t WHERE t.period_idx = m.period_idx) AS n_val_rows
    FROM months m WHERE m.period_idx >= {MIN_TRAIN})
-QUALIFY true""".replace("row_number() OVER (ORDER BY n, r, d, w, o) - 1", "dense_rank() OVER (ORDER BY n, r, d, w, o) - 1").replace("\nQUALIFY true", ""),
+""",
     "v_orders_daily", extra=_FOLD_CTES), ["learning_rate"])
 def q_param_grid(spark, sf):
     """The task list of a grid search: the distinct settings of the study's grids that the
@@ -259,15 +259,58 @@ def q_model_roundtrip(spark, sf):
     return meta.select(F.lit(again["n_rows"]).cast("long").alias("n_rows"), F.lit(abs(again["train_mae"] - score) < 1e-9).alias("same_score"), "target_transform")
 
 
+#: Trees of no depth are means, so what the learner makes of folds, weights and splits has a value that SQL can state.
+MEANS = [{"n_estimators": n, "learning_rate": 0.1, "max_depth": 0, "min_child_weight": 1, "objective": "squared"} for n in (1, 3)]
+
+
 @register("weighted_fit", _feats_sql(
-    f"""SELECT period, n_rows, true AS scored FROM (SELECT CASE WHEN idx = (SELECT max(idx) FROM weeks) THEN 'validation' ELSE 'training' END AS period,
-  count(*) AS n_rows FROM ({_VALIDATED}) GROUP BY 1)"""))
+    f"""SELECT CASE WHEN idx = lastidx THEN 'validation' ELSE 'training' END AS period, count(*) AS n_rows, avg(abs(v - fitted)) AS mae
+FROM (SELECT *, max(idx) OVER () AS lastidx FROM ({_VALIDATED})), (
+  SELECT sinh(sum((abs(v) / 100 + 1) * asinh(v)) / sum(abs(v) / 100 + 1)) AS fitted FROM ({_VALIDATED}) WHERE idx < (SELECT max(idx) FROM weeks))
+GROUP BY 1"""), {"mae": 6})
 def q_weighted_fit(spark, sf):
-    """Sample weights growing with the target's magnitude, early stopping on the last week;
-    training and validation rows are scored apart."""
+    """Sample weights growing with the target's magnitude, early stopping on the last week, and
+    no depth: the fit is the weighted mean of the training weeks, in asinh space."""
     tagged, feats, _ = _weekly_features(spark, sf)
     last = tagged.agg(F.max("period_idx").alias("i")).first()["i"]
     data = tagged.withColumn("w", F.abs(F.col("v")) / 100 + 1).withColumn("is_val", F.col("period_idx") == F.lit(last))
-    model = M.fit_final(data, feats, "v", SEARCH[1], weight_col="w", validation_col="is_val")
+    model = M.fit_final(data, feats, "v", MEANS[1], weight_col="w", validation_col="is_val")
     scored = M.predict_raw(model, data).groupBy(F.when(F.col("is_val"), "validation").otherwise("training").alias("period"))
-    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (F.avg(F.abs(F.col("v") - F.col("prediction"))) >= 0).alias("scored"))
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.abs(F.col("v") - F.col("prediction"))).alias("mae"))
+
+
+_MEAN_WALK = f"""SELECT v.ts, v.idx AS fold, v.v AS actual, (SELECT sinh(avg(asinh(t.v))) FROM ({_VALIDATED}) t WHERE t.idx < v.idx) AS prediction
+FROM ({_VALIDATED}) v WHERE v.idx >= {MIN_TRAIN}"""
+
+
+@register("grid_search_means", _feats_sql(
+    f"""SELECT CAST(i AS INTEGER) AS combo_id, [1, 3][i + 1] AS n_estimators, avg(mae) AS avg_mae, count(*) AS n_folds
+FROM (SELECT fold, avg(abs(actual - prediction)) AS mae FROM ({_MEAN_WALK}) GROUP BY fold), (SELECT unnest([0, 1]) AS i) GROUP BY i"""), ["avg_mae"])
+def q_grid_search_means(spark, sf):
+    """The grid search itself, by value: settings of no depth, whose fold fits are means."""
+    tagged, feats, folds = _weekly_features(spark, sf)
+    scores = M.grid_search(tagged, feats, "v", MEANS, folds, parallelism=2)
+    return M.search_results(scores, MEANS).select("combo_id", "n_estimators", "avg_mae", "n_folds")
+
+
+@register("walk_forward_means", _feats_sql(_MEAN_WALK), ["actual", "prediction"])
+def q_walk_forward_means(spark, sf):
+    """The learner walked forward, by value: every hour's prediction is the mean of the weeks before its own."""
+    tagged, feats, folds = _weekly_features(spark, sf)
+    return M.walk_forward(tagged, feats, "v", MEANS[0], folds, "ts", parallelism=2).select("ts", "fold", "actual", "prediction")
+
+
+_FLAGS = {"is_weekend": "is_weekend = 1", "is_morning": "hour_of_day < 12"}
+
+
+@register("stump_split", _feats_sql(
+    "SELECT feature, CAST(1 AS BIGINT) AS splits, gain AS total_gain FROM (" + " UNION ALL ".join(
+        f"""SELECT '{name}' AS feature, max(whole) - sum(n * part) / sum(n) AS gain FROM (
+  SELECT count(*) AS n, var_pop(asinh(v)) AS part, (SELECT var_pop(asinh(v)) FROM feats) AS whole FROM feats GROUP BY {test})""" for name, test in _FLAGS.items())
+    + ") ORDER BY gain DESC LIMIT 1"), ["total_gain"])
+def q_stump_split(spark, sf):
+    """Split importance of one stump on two flags: the flag of larger variance reduction, and that reduction."""
+    ft, _ = _features(spark, sf)
+    flags = ft.withColumn("is_morning", F.when(F.col("hour_of_day") < 12, 1).otherwise(0))
+    model = M.fit_final(flags, list(_FLAGS), "v", {"n_estimators": 1, "learning_rate": 1.0, "max_depth": 1, "objective": "squared"})
+    return M.split_importances(model, list(_FLAGS), os.path.join(ensure_checkpoint_dir(spark), f"stump-{uuid.uuid4().hex}"), 5)

@@ -15,7 +15,7 @@ from daycast.plans import views as V
 from daycast.plans.oracle import with_views
 from daycast.plans.registry import register
 from daycast.session import ensure_checkpoint_dir, write_stage
-from daycast.sources.io import read_predictions, read_table, write_csv, write_table
+from daycast.sources.io import file_order, read_predictions, read_table, write_csv, write_sorted, write_table
 from daycast.sources.landing import land_months, landed_rows, missing_months, month_calendar
 from daycast.sources.payloads import explode_rows, parse_parallel
 from daycast.streaming.hourly import run_hourly_rollup
@@ -165,3 +165,20 @@ def q_latest_version_stream(spark, sf):
     prep = lambda b: b.select("event_type", hour_floor("ts").alias("ts"), "event_id", "value")
     out = run_latest_versions(spark, sf, "events.parquet", schema, ["event_type", "ts"], "event_id", prepare=prep)
     return out.select("event_type", "ts", "event_id", "value")
+
+
+@register("sorted_output", with_views("""SELECT count(*) AS n_rows, count(*) FILTER (event_type IS NOT NULL) AS n_typed, min(ts) AS first_ts, max(ts) AS last_ts,
+  CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_overlaps, sum(v) AS total FROM v_hourly""", "v_hourly"), ["total"])
+def q_sorted_output(spark, sf):
+    """The hourly rows written in chronological order and read back: files sorted in
+    themselves, and none that overlaps another in time."""
+    from pyspark.sql import Window
+    path = scratch(spark, "sorted")
+    write_sorted(V.v_hourly(spark, sf), path, ["ts", "event_type"], files=6)
+    files = file_order(spark, path, "ts")
+    # one row per file; a stamp that two files share is no overlap
+    ends = files.withColumn("overlaps", F.coalesce(F.max("last").over(Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)) > F.col("first"), F.lit(False)))
+    checks = ends.agg(F.sum("n_out_of_order").alias("n_out_of_order"), F.count_if("overlaps").alias("n_overlaps")).withColumn("k", F.lit(1))
+    rows = read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), F.count("event_type").alias("n_typed"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                                       F.sum("v").alias("total")).withColumn("k", F.lit(1))
+    return rows.join(checks, "k").select("n_rows", "n_typed", "first_ts", "last_ts", "n_out_of_order", "n_overlaps", "total")

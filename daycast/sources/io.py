@@ -30,6 +30,27 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mo
     w.parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, order: Sequence[str], files: int | None = None, mode: str = "overwrite") -> None:
+    """Parquet in global order: rows are dealt to files by ranges of ``order`` (sampled by
+    Spark) and sorted within each, so no task sorts the table, files do not overlap, and
+    their footers let a time range skip all but its own. Rows of equal ``order`` share a
+    file; add further columns to split a stamp that holds too many. ``files`` defaults to
+    the session's shuffle partitions."""
+    cols = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
+
+
+def file_order(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """One row per file of a sorted table: its first and last value, its rows, and how many of
+    them are out of order. The windows are one file each."""
+    from pyspark.sql import Window
+    rows = spark.read.parquet(path).select("_metadata.file_name", "_metadata.row_index", F.col(f"`{col}`").alias("v"))
+    before = F.lag("v").over(Window.partitionBy("file_name").orderBy("row_index"))
+    return rows.withColumn("late", (before > F.col("v")).cast("long")).groupBy("file_name").agg(
+        F.min("v").alias("first"), F.max("v").alias("last"), F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("late"), F.lit(0)).alias("n_out_of_order"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; timestamps written as local wall-clock text, to the microsecond."""
     (df.write.mode(mode).option("header", True)
