@@ -150,7 +150,23 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "n_tokens", *shares, "rate", copies_of(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
-@register("op4_substring_dedup")
+SUBSTRING_DEDUP_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM texts WHERE len(words) >= 20),
+later AS (
+  SELECT doc_id, pos FROM starts
+  QUALIFY row_number() OVER (PARTITION BY array_to_string(words[pos:pos + 19], ' ') ORDER BY doc_id, pos) > 1),
+every AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM texts),
+judged AS (
+  SELECT every.doc_id, every.pos, word, max(coalesce(later.pos, -100)) OVER (PARTITION BY every.doc_id ORDER BY every.pos) > every.pos - 20 AS gone
+  FROM every LEFT JOIN later ON later.doc_id = every.doc_id AND later.pos = every.pos)
+SELECT doc_id, count(word) AS n_words, count(word) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM texts LEFT JOIN judged USING (doc_id) GROUP BY doc_id
+"""
+
+
+@register("op4_substring_dedup", SUBSTRING_DEDUP_SQL)
 def op4_substring_dedup(spark, sf_dir):
     """Words of 20-word windows that also start earlier are removed."""
     kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)

@@ -96,3 +96,11 @@ def test_word_hashes_are_of_words_alone(monkeypatch):
 def test_cover_has_every_difference():
     assert {(a - b) % D.PERIOD for a in D.COVER for b in D.COVER} == set(range(D.PERIOD))
     assert np.dtype(D.WINDOW).itemsize == 12
+
+
+def test_query_matches_sql(spark):
+    from daycast.llm.queries import ORACLE_SQL, QUERIES
+    from tests.llm.conftest import SF
+    from tools.oracle_check import duck, rows
+    got = QUERIES["op4_substring_dedup"](spark, SF).toArrow()
+    assert rows(got) == rows(duck(SF).sql(ORACLE_SQL["op4_substring_dedup"]).to_arrow_table())
