@@ -178,7 +178,8 @@ def q_sorted_output(spark, sf):
     files = file_order(spark, path, "ts")
     # one row per file; a stamp that two files share is no overlap
     ends = files.withColumn("overlaps", F.coalesce(F.max("last").over(Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)) > F.col("first"), F.lit(False)))
-    checks = ends.agg(F.sum("n_out_of_order").alias("n_out_of_order"), F.count_if("overlaps").alias("n_overlaps")).withColumn("k", F.lit(1))
+    checks = ends.agg(F.sum("n_out_of_order").alias("n_out_of_order"), F.count_if("overlaps").alias("n_overlaps"))
     rows = read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), F.count("event_type").alias("n_typed"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-                                       F.sum("v").alias("total")).withColumn("k", F.lit(1))
-    return rows.join(checks, "k").select("n_rows", "n_typed", "first_ts", "last_ts", "n_out_of_order", "n_overlaps", "total")
+                                       F.sum("v").alias("total"))
+    names = ["n_rows", "n_typed", "first_ts", "last_ts", "n_out_of_order", "n_overlaps", "total"]
+    return rows.unionByName(checks, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])  # one row of each
