@@ -4,7 +4,7 @@ A document's domain is not known but for the rows of a labelled table; a classif
 on those gives every document its posterior over the domains. A document with n tokens
 and posterior p then brings rate * n * p[k] expected tokens to domain k, and the rates are
 the nonnegative numbers whose expected domain totals fit the targets best (least squares),
-found by proximal steps from rate 1 for all.
+found by projected gradient from rate 1 for all.
 
 Classifier: multinomial naive Bayes over hashed lower-case words, as SQL aggregates. Its
 sample is the labelled documents of smallest hash, at most ``sample_docs`` of them, with
@@ -15,15 +15,19 @@ is divided by ``temperature`` times the square root of the word count, because w
 one text are not independent and undivided posteriors are all 0 or 1.
 
 Least squares: with w the documents' token shares, m = sum(w * r * p) the expected domain
-shares, T the targets and G = sum(w * p * p'), the fitted function is
-(m - T)' G^-1 (m - T) / 2 (G's pseudo-inverse, where domains coincide). A step is a proximal
-one: to the function is added damping / 2 times the rates' squared distance from those
-before, weighted by w. Its best rates are max(0, rate - p' u) for K numbers u, which a
-damped Newton iteration on the dual finds exactly; one of its measurements is one aggregate over
-(tokens, posterior) rows of a written table. With less damping at each step, the steps end
-after a few where the optimality condition (of the bound 0, too) holds within the
-tolerance; else an error is raised. Rates are not stored, for each follows from the steps'
-K numbers in one expression.
+shares, T the targets and G = sum(w * p * p'), the minimised function is
+(m - T)' G^-1 (m - T) / 2 (G's pseudo-inverse, where domains coincide). In the inner product
+weighted by w its gradient at a document is p' u with u = G^-1 (m - T), and its curvature is
+at most 1, so projected gradient takes rates to max(0, rate - p' u), accelerated by momentum
+that starts anew where it points uphill. A step is one aggregate over (tokens, posterior,
+rate) rows of a written table; only u, K numbers, and the momentum are kept, and every rate
+follows from those in one expression. The steps end where a projected step from momentum's
+point moves the rates (mean over tokens) by at most the tolerance. Where the targets are far
+out of reach, the fit is a few documents with enormous rates, which no gradient step
+reaches soon; what ``max_steps`` steps leave to do, proximal steps finish: they add
+damping / 2 times the rates' squared distance from those before, and their best rates
+max(0, rate - p' u) come from a damped Newton iteration on u. If those do not reach
+the optimality condition (of the bound 0, too), an error is raised.
 
 With ``keep``, a domain is named whose documents are not to be thinned out for the others'
 sake: the targets of the others are limits, lowered to the table's own expected shares where
@@ -53,8 +57,10 @@ from pyspark.sql import functions as F
 
 from daycast.llm.common import col, others, stage_table, text_of
 
-#: Moves of Newton's iteration in one step, of which a few are needed.
+#: Moves of Newton's iteration in one proximal step, of which a few are needed.
 MOVES = 200
+#: Gradient steps after which the rates are written, so that no pass repeats more of them.
+CUT = 16
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -132,12 +138,67 @@ def _whitener(gram: np.ndarray) -> np.ndarray:
     return vectors[:, kept] / np.sqrt(values[kept])
 
 
+def _after(steps: list[list[float]], posterior: Column, before: Column, rate: Column) -> Column:
+    """A struct of the rates ``before`` and after the last of ``steps``, and the point from which
+    that one started. A step is its momentum and K numbers u: from start = rate + momentum *
+    (rate - before) the next rate is max(0, start - p' u). The numbers are one literal array,
+    so that the generated code is the same for all steps."""
+    first = F.struct(before.alias("before"), rate.alias("start"), rate.alias("rate"))
+    if not steps:
+        return first
+    width, flat = len(steps[0]), _literal([float(x) for step in steps for x in step])
+    number = lambda i, j: F.get(flat, i * width + j)
+
+    def step(s: Column, i: Column) -> Column:
+        start = s["rate"] + number(i, 0) * (s["rate"] - s["before"])
+        move = sum((number(i, j + 1) * F.get(posterior, F.lit(j)) for j in range(width - 1)), F.lit(0.0))
+        return F.struct(s["rate"].alias("before"), start.alias("start"), F.greatest(F.lit(0.0), start - move).alias("rate"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), first, step)
+
+
 def _rate(steps: list[list[float]], posterior: Column) -> Column:
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((F.lit(s) * F.get(posterior, F.lit(i)) for i, s in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    """The rate that ``steps`` make of 1."""
+    return _after(steps, posterior, F.lit(1.0), F.lit(1.0))["rate"]
+
+
+def _dot(u, posterior: str = "posterior") -> Column:
+    return sum((F.lit(float(x)) * F.get(posterior, F.lit(i)) for i, x in enumerate(u)), F.lit(0.0))
+
+
+def _written(work: DataFrame, steps: list[list[float]]) -> DataFrame:
+    after = _after(steps, F.col("posterior"), F.col("before"), F.col("rate"))
+    return stage_table(work.select("n_tokens", "posterior", after.alias("s")).select("n_tokens", "posterior", "s.before", "s.rate"))
+
+
+def _descend(work: DataFrame, total: float, inverse: np.ndarray, targets: np.ndarray, shares: np.ndarray, max_steps: int,
+             tolerance: float) -> tuple[DataFrame, list[list[float]], np.ndarray, bool]:
+    """Accelerated projected gradient from the rates of ``work``: (table with the rates at the
+    end, steps, expected shares there, whether the optimum is reached)."""
+    k = len(targets)
+    steps: list[list[float]] = []
+    pending: list[list[float]] = []
+    start, age, push = shares, 1.0, 0.0
+    while len(steps) < max_steps:
+        step = [push, *map(float, inverse @ (start - targets))]
+        steps.append(step)
+        pending.append(step)
+        after = _after(pending, F.col("posterior"), F.col("before"), F.col("rate"))
+        n, r, y, to = F.col("n_tokens").cast("double"), F.col("s.before"), F.col("s.start"), F.col("s.rate")
+        now = work.select("n_tokens", "posterior", after.alias("s")).agg(
+            F.sum(n * F.abs(to - y)).alias("moved"), F.sum(n * (y - to) * (to - r)).alias("uphill"),
+            *[F.sum(n * to * F.get("posterior", F.lit(i))).alias(f"m{i}") for i in range(k)]).first()
+        new = np.array([now[f"m{i}"] for i in range(k)]) / total
+        if now.moved / total <= tolerance:
+            return work, steps, new, True
+        if now.uphill > 0:
+            age = 1.0
+        older, age = age, (1 + math.sqrt(1 + 4 * age * age)) / 2
+        push = (older - 1) / age
+        start, shares = new + push * (new - shares), new
+        if len(pending) == CUT:
+            work, pending = _written(work, pending), []
+    return _written(work, pending) if pending else work, steps, shares, False
 
 
 @dataclass
@@ -151,13 +212,13 @@ class _Measured:
     moved: float
 
 
-def _measure(members: DataFrame, total: float, k: int, steps: list[list[float]], u: list[float]) -> _Measured:
+def _measure(work: DataFrame, total: float, k: int, u: list[float]) -> _Measured:
     p = [F.get("posterior", F.lit(i)) for i in range(k)]
-    n, r = F.col("n_tokens").cast("double"), F.col("__r")
+    n, r = F.col("n_tokens").cast("double"), F.col("to")
     free = F.when(r > 0, n).otherwise(F.lit(0.0))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    rates = members.withColumn("__b", _rate(steps, F.col("posterior"))).withColumn("__r", _rate([*steps, u], F.col("posterior")))
-    now = rates.agg(F.sum(n * r * r).alias("v"), F.sum(n * F.abs(r - F.col("__b"))).alias("d"), *[F.sum(n * r * p[i]).alias(f"m{i}") for i in range(k)],
+    rates = work.withColumn("to", F.greatest(F.lit(0.0), F.col("rate") - _dot(u)))
+    now = rates.agg(F.sum(n * r * r).alias("v"), F.sum(n * F.abs(r - F.col("rate"))).alias("d"), *[F.sum(n * r * p[i]).alias(f"m{i}") for i in range(k)],
                     *[F.sum(free * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]).first()
     curve = np.array([[now[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
     return _Measured(np.array([now[f"m{i}"] for i in range(k)]) / total, now.v / total / 2, curve / total, now.d / total)
@@ -185,29 +246,36 @@ def _step(measure, white: np.ndarray, targets: np.ndarray, back: np.ndarray, dam
     raise RuntimeError(f"the mix's rates are not found after {MOVES} moves of a step")
 
 
-def fit_rates(members: DataFrame, targets: list[float], max_steps: int = 30, tolerance: float = 1e-9) -> tuple[list[list[float]], list[float]]:
+def fit_rates(members: DataFrame, targets: list[float], max_steps: int = 100, tolerance: float = 1e-9,
+              finish_steps: int = 30) -> tuple[list[list[float]], list[float]]:
     """(steps, expected domain shares at their end) for rows of ``n_tokens`` and ``posterior``;
     ``targets`` are shares of the table's tokens. Rates are ``_rate(steps, posterior)``. Raises
-    RuntimeError where ``max_steps`` steps do not reach the fit."""
+    RuntimeError where ``finish_steps`` proximal steps after ``max_steps`` gradient steps do
+    not reach the fit."""
     k = len(targets)
     p = [F.get("posterior", F.lit(i)) for i in range(k)]
     n = F.col("n_tokens").cast("double")
-    first = members.agg(F.sum(n).alias("n"), *[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    first = members.agg(F.sum(n).alias("n"), *[F.sum(n * p[i]).alias(f"m{i}") for i in range(k)],
+                        *[F.sum(n * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     if not first.n:
         return [], list(targets)
     gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] / first.n for j in range(k)] for i in range(k)])
+    own = np.array([first[f"m{i}"] / first.n for i in range(k)])
     white = _whitener(gram)
-    steps: list[list[float]] = []
+    work = members.select("n_tokens", "posterior", F.lit(1.0).alias("before"), F.lit(1.0).alias("rate"))
+    work, steps, shares, reached = _descend(work, first.n, white @ white.T, np.array(targets), own, max_steps, tolerance)
+    if reached:
+        return steps, shares.tolist()
     damping = 1e-3
-    while True:
-        step, end = _step(lambda u: _measure(members, first.n, k, steps, u), white, np.array(targets), gram @ white, damping, tolerance / 10)
+    for _ in range(finish_steps):
+        step, end = _step(lambda u, now=work: _measure(now, first.n, k, u), white, np.array(targets), gram @ white, damping, tolerance / 10)
         if any(step):
-            steps.append(step)
+            steps.append([0.0, *step])
+            work = _written(work, steps[-1:])
         if damping * end.moved <= tolerance:  # the gradient of a rate above 0 is damping times its move
             return steps, end.shares.tolist()
-        if len(steps) >= max_steps:
-            raise RuntimeError(f"the mix's rates are not found after {max_steps} steps: expected shares {end.shares.tolist()} for targets {list(targets)}")
         damping = max(damping / 100, 1e-7)
+    raise RuntimeError(f"the mix's rates are not found after {len(steps)} steps: expected shares {end.shares.tolist()} for targets {list(targets)}")
 
 
 def within_limits(members: DataFrame, limits: list[float], keep: int, tokens_factor: float) -> list[float]:
@@ -223,13 +291,24 @@ def within_limits(members: DataFrame, limits: list[float], keep: int, tokens_fac
     return targets
 
 
-def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-                   tokens_factor: float = 1.0, max_steps: int = 30, keep: str | None = None, **classifier) -> DataFrame:
+@dataclass
+class Mix:
+    """Rates by document, the targets that were fitted, the expected shares under
+    the rates (both by domain, as shares of the table's tokens) and the number of steps."""
+
+    rates: DataFrame
+    targets: dict[str, float]
+    reached: dict[str, float]
+    steps: int
+
+
+def fit_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
+            tokens_factor: float = 1.0, max_steps: int = 100, keep: str | None = None, **classifier) -> Mix:
     """Rates at which the documents' expected domain totals are ``targets``.
 
     ``labelled`` has ``id_col`` and ``domain``; ``targets`` maps domains to weights, which are
     scaled to sum to ``tokens_factor`` times the table's tokens; with ``keep`` those of the other
-    domains are limits. Returns the columns of
+    domains are limits. The rates have the columns of
     ``docs`` but the text, with ``n_tokens``, ``posterior`` (by domain, alphabetically) and ``rate``.
     """
     if not targets or min(targets.values()) < 0 or not sum(targets.values()):
@@ -239,9 +318,15 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     members = stage_table(posteriors(docs, labelled, domains, id_col, text_col, **classifier))
     if keep is not None:
         weights = within_limits(members, weights, domains.index(keep), tokens_factor)
-    steps, _ = fit_rates(members, weights, max_steps)
+    steps, reached = fit_rates(members, weights, max_steps)
     kept = [col(c) for c in members.columns if c.lower() != "rate"]
-    return members.select(*kept, _rate(steps, F.col("posterior")).alias("rate"))
+    rates = members.select(*kept, _rate(steps, F.col("posterior")).alias("rate"))
+    return Mix(rates, dict(zip(domains, weights, strict=True)), dict(zip(domains, reached, strict=True)), len(steps))
+
+
+def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
+    """The rates of ``fit_mix``."""
+    return fit_mix(docs, labelled, targets, **options).rates
 
 
 def copies_of(rate: Column, *key: Column) -> Column:

@@ -16,7 +16,7 @@ from daycast.llm.hard_negatives import mine_hard_negatives
 from daycast.llm.language_id import identify_language, learn_dictionaries
 from daycast.llm.license_scan import scan_licenses
 from daycast.llm.line_dedup import dedup_lines
-from daycast.llm.mixing import copies_of, mix_to_targets
+from daycast.llm.mixing import copies_of, fit_mix
 from daycast.llm.packing import pack
 from daycast.llm.simhash_dedup import simhash_groups
 from daycast.llm.spelling_variants import group_variants
@@ -143,11 +143,13 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
 @register("op3_mixing")
 def op3_mixing(spark, sf_dir):
     """Rates at which the documents' expected tokens by domain have the target shares, or the
-    table's own of low and toxic where those are smaller."""
+    table's own of low and toxic where those are smaller; each row names the targets fitted
+    and the shares reached."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    mixed = mix_to_targets(docs, labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS, keep="clean")
+    mix = fit_mix(docs, labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS, keep="clean")
     shares = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(MIX_TARGETS))]
-    return mixed.select("doc_id", "n_tokens", *shares, "rate", copies_of(F.col("rate"), F.col("doc_id")).alias("copies"))
+    fitted = [F.lit(x).alias(f"{kind}_{d}") for kind, by in (("target", mix.targets), ("reached", mix.reached)) for d, x in by.items()]
+    return mix.rates.select("doc_id", "n_tokens", *shares, "rate", copies_of(F.col("rate"), F.col("doc_id")).alias("copies"), *fitted)
 
 
 SUBSTRING_DEDUP_SQL = r"""

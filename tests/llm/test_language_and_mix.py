@@ -168,7 +168,7 @@ def test_rates_meet_the_targets(spark, docs):
     rows, labels = mix_rows(2, 200)
     told = spark.createDataFrame(list(labels.items()), "doc_id long, domain string")
     for targets in ({"clean": 6, "low": 2, "toxic": 2}, {"clean": 0.9, "low": 0.1, "toxic": 0.0}):
-        out = M.mix_to_targets(docs(list(rows.items())), told, targets, max_steps=60).collect()
+        out = M.mix_to_targets(docs(list(rows.items())), told, targets, max_steps=20).collect()
         total = sum(r.n_tokens for r in out)
         shares = [sum(r.rate * r.n_tokens * r.posterior[k] for r in out) / total for k in range(3)]
         want = [targets[d] / sum(targets.values()) for d in sorted(targets)]
@@ -187,7 +187,7 @@ def test_fit_is_a_least_squares_minimum(spark):
     n = rng.integers(1, 50, 80)
     target = np.array([0.95, 0.05, 0.0])
     rows = [(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)]
-    steps, shares = M.fit_rates(spark.createDataFrame(rows, "n_tokens long, posterior array<double>"), target.tolist(), max_steps=400)
+    steps, shares = M.fit_rates(spark.createDataFrame(rows, "n_tokens long, posterior array<double>"), target.tolist(), max_steps=40)
     w = n / n.sum()
     gram = (p * w[:, None]).T @ p
     inverse = np.linalg.inv(gram)
@@ -213,13 +213,44 @@ def test_common_unwanted_class_is_fitted_to_the_end(spark):
         after[k] = off @ inverse @ off
         r = np.maximum(0, r - p @ (inverse @ off))
     rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "n_tokens long, posterior array<double>")
-    steps, shares = M.fit_rates(rows, target.tolist())
+    steps, shares = M.fit_rates(rows, target.tolist(), max_steps=20)  # the rest by proximal steps
     off = np.array(shares) - target
     assert off @ inverse @ off <= after[200000] + 1e-9 < after[30] / 2
     rates = np.array([x.r for x in rows.select(M._rate(steps, F.col("posterior")).alias("r")).collect()])
     assert rates.min() >= 0 and p.T @ (w * rates) == pytest.approx(shares, abs=1e-9)
     with pytest.raises(RuntimeError):
-        M.fit_rates(rows, target.tolist(), max_steps=1)
+        M.fit_rates(rows, target.tolist(), max_steps=1, finish_steps=1)
+
+
+def test_steps_are_accelerated_projected_gradient(spark, docs):
+    """Step for step as in numpy, with the targets and the shares reached in the result."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    p, n = rng.dirichlet([3, 0.5, 0.5], 120), rng.integers(0, 50, 120)
+    w, target = n / n.sum(), np.array([0.9, 0.06, 0.04])
+    inverse = np.linalg.inv((p * w[:, None]).T @ p)
+    before = rate = np.ones(120)
+    age, push, plain = 1.0, 0.0, []
+    while True:
+        y = rate + push * (rate - before)
+        u = inverse @ (p.T @ (w * y) - target)
+        new = np.maximum(0, y - p @ u)
+        plain.append([push, *u])
+        if w @ abs(new - y) <= 1e-9:
+            break
+        age = 1.0 if w @ ((y - new) * (new - rate)) > 0 else age
+        older, age = age, (1 + math.sqrt(1 + 4 * age * age)) / 2
+        push, before, rate = (older - 1) / age, rate, new
+    rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "n_tokens long, posterior array<double>")
+    steps, shares = M.fit_rates(rows, target.tolist())
+    assert len(steps) == len(plain) > 1
+    assert np.array(steps) == pytest.approx(np.array(plain), abs=1e-6) and shares == pytest.approx(p.T @ (w * new), abs=1e-8)
+    rates = [x.r for x in rows.select(M._rate(steps, F.col("posterior")).alias("r")).collect()]
+    assert rates == pytest.approx(new.tolist(), abs=1e-6)
+    texts, labels = mix_rows(3, 200)
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, domain string")
+    mix = M.fit_mix(docs(list(texts.items())), told, {"clean": 0.8, "low": 0.15, "toxic": 0.05}, keep="clean")
+    assert mix.reached == pytest.approx(mix.targets, abs=1e-6) and sum(mix.targets.values()) == pytest.approx(1)
 
 
 def test_kept_domain_is_not_thinned(spark, docs):
