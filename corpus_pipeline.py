@@ -11,7 +11,8 @@ Defined cases (each operator's docstring has its own)
   keeps one of those.
 - Rows without a doc_id go with the near-copy stage; of repeated ones it keeps one.
 - The mix repeats or leaves out whole documents by their rate; rows that repeat a doc_id
-  share the smallest of its rates.
+  share the smallest of its rates. A document that is most likely clean stays, at least once,
+  whatever its rate, so the others' shares can end above their targets.
 - Empty tables give empty results; further columns of ``documents`` are not carried.
 """
 
@@ -60,9 +61,11 @@ def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate for the target mix says."""
+    """Documents as often as their rate for the target mix says, those most likely clean at least once."""
     rates = mix_to_targets(docs.select("doc_id", "text"), labelled_domains(table(spark, sf_dir, "labels")), MIX_TARGETS, keep="clean")
-    times = rates.groupBy("doc_id").agg(F.min("rate").alias("rate")).select("doc_id", copies_of(F.col("rate"), F.col("doc_id")).alias("copies")).where("copies > 0")
+    clean = F.get("posterior", F.lit(sorted(MIX_TARGETS).index("clean"))) >= F.array_max("posterior")
+    times = rates.groupBy("doc_id").agg(F.min("rate").alias("rate"), F.max(clean.cast("long")).alias("least"))
+    times = times.select("doc_id", F.greatest(copies_of(F.col("rate"), F.col("doc_id")), F.col("least")).alias("copies")).where("copies > 0")
     return docs.select(*COLUMNS).join(times, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
