@@ -56,6 +56,25 @@ def test_mix_stage_repeats_whole_documents(stages):
     assert len({d for d, _ in rows}) >= 0.8 * len(before) and 0.8 * len(before) < len(rows) < 1.6 * len(before)
 
 
+def test_mix_stage_keeps_documents_that_are_most_likely_clean(spark, stages):
+    """And follows the rates for the others: of an input with many unwanted texts only such ones go."""
+    from collections import Counter
+
+    from daycast.llm.mixing import mix_to_targets
+    from daycast.llm.queries import MIX_TARGETS, labelled_domains
+    domains, labels = sorted(MIX_TARGETS), labelled_domains(spark.read.parquet(f"{SF}/labels.parquet"))
+    unwanted = labels.where("domain != 'clean'").select("doc_id")
+    docs = stages[0].join(unwanted, "doc_id", "left_semi").union(stages[0].sample(0.3, 7)).dropDuplicates(["doc_id"])
+    rates = mix_to_targets(docs.select("doc_id", "text"), labels, MIX_TARGETS, keep="clean").collect()
+    copies = Counter(r.doc_id for r in P.mix(spark, docs, SF).collect())
+    likely = {r.doc_id for r in rates if domains[max(range(3), key=lambda k: r.posterior[k])] == "clean"}
+    assert likely <= copies.keys() and any(r.rate < 1 for r in rates if r.doc_id in likely)
+    gone = {r.doc_id for r in rates} - copies.keys()
+    assert gone and not gone & likely
+    for r in rates:
+        assert copies[r.doc_id] in {int(r.rate), int(r.rate) + 1} or (r.doc_id in likely and copies[r.doc_id] == 1)
+
+
 def test_pack_stage_holds_every_copy(stages):
     from collections import Counter
     copies = Counter(r.doc_id for r in stages[4].collect())
