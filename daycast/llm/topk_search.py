@@ -1,13 +1,16 @@
 """Exact top-k by inner product, with block-at-a-time pruning.
 
 Vectors become integers, floor(scale * x). A component is a term, its integer the term's
-weight. The candidates of a group are kept in id order and cut into range blocks; a block
-has its rows (its forward index) and, per term, its largest and smallest weight. Their sum
+weight. The candidates are dealt into groups by ranges of their id, kept in id order and cut
+into blocks, so a block is a range of ids; it has its rows (its forward index) and, per term, its largest and smallest weight. Their sum
 over a query's terms bounds every score of the block. For each query the blocks are taken
 in order of their bounds, scored through their forward index, and left out once the bound
 is below the k-th score so far; equal bounds are still scored, for ties.
 
-Groups of candidates meet groups of queries as blocks of bounded size (``group_rows`` times
+The ranges' cuts are approximate quantiles of the id, at most ``RANGES`` - 1 of them; where
+more groups are needed, each range is dealt over several by a hash of the id. An id that
+many rows repeat spans several cuts, and its rows are dealt over the ranges between them
+by their vectors. Groups of candidates meet groups of queries as blocks of bounded size (``group_rows`` times
 ``query_rows``), so neither side is ever whole in one task. A first round scores each
 query's best block of every group only; its k-th score is the second round's threshold in
 all groups. Per group at most k rows of a query leave, and the last step ranks those.
@@ -38,6 +41,7 @@ from pyspark.sql import functions as F
 from daycast.llm.common import col, stage_table
 
 BLOCK = 64
+RANGES = 256
 EXACT = float(1 << 53)
 TOP, LOW = (1 << 63) - 1, -(1 << 63)
 
@@ -125,6 +129,17 @@ def _search(scale: float, k: int, first_only: bool):
     return run
 
 
+def _group_of(cuts: list[int], parts: int) -> Column:
+    """The group of a row of ``id`` and ``vec``: its range between the sorted ``cuts`` (any of
+    those that its id spans, by its vector), and which of the range's ``parts``."""
+    below, up_to = F.lit(0), F.lit(0)
+    if cuts:
+        ends = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>")  # folded to one literal
+        below, up_to = (F.size(F.filter(ends, f)) for f in (lambda c: c < F.col("id"), lambda c: c <= F.col("id")))
+    spot = below + F.pmod(F.xxhash64("vec"), up_to - below + 1)
+    return (spot * parts + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts))).cast("int")
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -137,11 +152,16 @@ def search_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", v
     finite = F.forall(col(vec_col), lambda x: F.coalesce(F.abs(x) < F.lit(math.inf), F.lit(False)))
     rows = vectors.select(col(id_col).cast("long").alias("id"), col(vec_col).alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asks")).where(
         F.col("id").isNotNull() & F.coalesce(finite, F.lit(False)))
-    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("asks").alias("asks")).first()
+    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("asks").alias("asks"),
+                 F.percentile_approx("id", [i / RANGES for i in range(1, RANGES)], 10000).alias("quantiles")).first()
     n_groups, n_asks = max(1, math.ceil(n.rows / group_rows)), max(1, math.ceil(n.asks / query_rows))
+    ranges = min(n_groups, RANGES)
+    parts = math.ceil(n_groups / ranges)
+    n_groups = ranges * parts
+    cuts = [n.quantiles[RANGES * i // ranges - 1] for i in range(1, ranges)]
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     keys, out = ["size", "g", "a"], "query_id long, vec_id long, score long"
-    candidates = rows.select("id", "vec", F.size("vec").alias("size"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_groups)).cast("int").alias("g"), every(n_asks).alias("a")).toDF("id", "vec", *keys)
+    candidates = rows.select("id", "vec", F.size("vec").alias("size"), _group_of(cuts, parts).alias("g"), every(n_asks).alias("a")).toDF("id", "vec", *keys)
     asks = rows.where("asks").select("id", "vec").toDF("ask", "ask_vec")
 
     def round_(queries: DataFrame, first_only: bool) -> DataFrame:

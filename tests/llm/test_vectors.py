@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from daycast.llm import topk_search
 from daycast.llm.topk_search import best_rows, search_top_k
 from daycast.llm.vector_dedup import collision, dedup_vectors, plan_tables
 from tests.llm import brute
@@ -134,6 +135,42 @@ def test_blocks_are_left_out_without_loss():
         assert [(-s, i) for s, i in zip(score[who == q], what[who == q], strict=True)] == [(s, i) for s, i in want]
 
 
+def test_blocks_in_id_order_are_scored_less_often(monkeypatch):
+    """Ids that follow clusters: the blocks scored are a small part, and far fewer than of shuffled ids."""
+    rng = np.random.default_rng(2)
+    rows = (np.repeat(rng.integers(-200, 200, (40, 8)), 64, axis=0) + rng.integers(-3, 4, (2560, 8))).astype(float)
+    queries = rows[::256] + 1
+    plain, scored = topk_search._products, []
+    monkeypatch.setattr(topk_search, "_products", lambda a, b: scored.append(len(a)) or plain(a, b))
+    found = {}
+    for name, order in (("ranges", np.arange(2560)), ("shuffled", rng.permutation(2560))):
+        scored.clear()
+        _, _, score = best_rows(np.arange(2560), rows[order], np.arange(5000, 5010), queries, np.full(10, -np.inf), 4, False)
+        found[name] = (sum(scored[2:]), sorted(score))  # the first two calls are the bounds
+    assert found["ranges"][1] == found["shuffled"][1]
+    assert found["ranges"][0] <= 10 * 40 / 8 < 10 * 40 / 2 < found["shuffled"][0]
+
+
+@pytest.mark.parametrize("cuts,parts", [([100, 200, 300], 1), ([7, 7, 7, 500], 2), ([], 3), ([], 1)])
+def test_groups_are_id_ranges(spark, cuts, parts):
+    """An id stays in its range; one that spans cuts is dealt over the ranges between them."""
+    rows = spark.range(600).selectExpr("IF(id < 300, 7, id) AS id", "array(CAST(id AS double)) AS vec")
+    got = {}
+    for r in rows.select("id", topk_search._group_of(cuts, parts).alias("g")).collect():
+        got.setdefault(r.id, set()).add(r.g // parts)
+        assert 0 <= r.g < (len(cuts) + 1) * parts
+    for i, groups in got.items():
+        low, high = sum(c < i for c in cuts), sum(c <= i for c in cuts)
+        assert groups <= set(range(low, high + 1)) and (len(groups) == high - low + 1 or i != 7)
+
+
+def test_many_ranges_match_brute_force(spark, monkeypatch):
+    """More groups than ranges, and negative, huge and repeated ids."""
+    monkeypatch.setattr(topk_search, "RANGES", 4)
+    rows = clusters(6, 120) + [(-(1 << 62), [0.5] * 24), ((1 << 63) - 1, [0.75] * 24), (-5, [0.25] * 24)]
+    assert search(spark, rows, group_rows=7, query_rows=20) == top(rows)
+
+
 @pytest.mark.parametrize("first_only", [True, False])
 def test_threshold_keeps_equal_scores(first_only):
     rows = np.ones((10, 2))
