@@ -17,7 +17,7 @@ from daycast.plans.registry import register
 from daycast.session import ensure_checkpoint_dir, write_stage
 from daycast.sources.io import file_order, read_predictions, read_table, write_csv, write_sorted, write_table
 from daycast.sources.landing import land_months, landed_rows, missing_months, month_calendar
-from daycast.sources.payloads import explode_rows, parse_parallel
+from daycast.sources.payloads import explode_inferred, explode_rows, malformed_pages, parse_parallel
 from daycast.streaming.hourly import run_hourly_rollup
 
 _TSFMT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -90,6 +90,26 @@ def q_ingest_parallel_arrays(spark, sf):
     return parse_parallel(doc, "payload", "hourly", {"time": T.TimestampNTZType(), "v": T.DoubleType()})
 
 
+def _mixed_pages(spark, sf):
+    """Every page twice: whole, and cut short."""
+    pages = _pages(spark, sf, lambda r: F.struct(r.alias("items")))
+    return pages.select("event_type", F.explode(F.array("payload", F.expr("left(payload, length(payload) - 2)"))).alias("payload"))
+
+
+@register("ingest_unknown_schema", "SELECT event_type, event_id, ts, user_id, value FROM events", ["value"])
+def q_ingest_unknown_schema(spark, sf):
+    """Pages to rows with the row type inferred from all of them; pages cut short add none."""
+    rows = explode_inferred(_mixed_pages(spark, sf), "payload", ["items"], keep=["event_type"])
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("ingest_set_aside", f"SELECT event_type, count(DISTINCT event_id // {PAGE_ROWS}) AS n_pages FROM events GROUP BY event_type")
+def q_ingest_set_aside(spark, sf):
+    """The unreadable pages by event type."""
+    bad = malformed_pages(_mixed_pages(spark, sf), "payload", ["items"])
+    return bad.groupBy("event_type").agg(F.count("payload").alias("n_pages"))
+
+
 _CAL_SQL = """SELECT CAST(m AS DATE) AS month, last_day(m) AS month_end, strftime(m, '%Y_%m') AS month_label,
   strftime(m, '%m-%d-%Y') || ' 00:00 to ' || strftime(last_day(m), '%m-%d-%Y') || ' 23:59' AS range_text
 FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS m

@@ -1,8 +1,11 @@
 """API payloads to rows: row arrays and parallel arrays, parsed by Spark's JSON
-reader and expanded with generators (no Python per row)."""
+reader and expanded with generators (no Python per row). Payloads whose fields are not known
+beforehand are read as VARIANT: one aggregate merges the rows' types, a second pass reads them
+typed, and pages that can't be read are set aside with their text."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -55,3 +58,49 @@ def parse_parallel(df: DataFrame, payload: str, key: str, fields: dict[str, T.Da
     schema = T.StructType([T.StructField(key, inner)])
     parsed = df.select(*keep, F.from_json(F.col(payload), schema, _JSON_OPTS).alias("__p"))
     return zip_arrays(parsed, F.col("__p").getField(key), list(fields), keep)
+
+
+def _rows_at(payload: str, path: Sequence[str]) -> Column:
+    """The rows of a page as an array of VARIANT; NULL where the text is no JSON or holds no array at ``path``."""
+    if any("'" in name or "\\" in name for name in path):
+        raise ValueError("names on the path to the rows can't hold quotes or backslashes")
+    where = "$" + "".join(f"['{name}']" for name in path)
+    return F.try_variant_get(F.try_parse_json(F.col(payload)), where, "array<variant>")
+
+
+_TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|OBJECT<|DECIMAL\(\d+, *\d+\)|\b(?:VOID|VARIANT)\b(?!:)")
+_SPARK_TYPES = {"OBJECT<": "STRUCT<", "VOID": "STRING", "VARIANT": "STRING"}
+
+
+def _typed(merged: str) -> str:
+    """The Spark type for a merged VARIANT type: decimals as doubles, text where no row has a
+    value or rows differ in kind; quoted names stay."""
+    return _TYPE_WORDS.sub(lambda m: m[0] if m[0].startswith("`") else _SPARK_TYPES.get(m[0], "DOUBLE"), merged)
+
+
+def infer_row_type(df: DataFrame, payload: str, path: Sequence[str]) -> str | None:
+    """The struct type that all rows of all readable pages fit, from one aggregate; fields are in
+    the order of their names. None where no page has a row."""
+    rows = df.select(F.explode(_rows_at(payload, path)).alias("r"))
+    merged = rows.agg(F.schema_of_variant_agg("r")).first()[0]
+    if merged == "VOID":
+        return None
+    if not merged.startswith("OBJECT<"):
+        raise ValueError(f"rows are no objects, but {merged}")
+    return _typed(merged)
+
+
+def explode_inferred(df: DataFrame, payload: str, path: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``explode_rows`` without a given row type. Stamps stay text, as JSON has none; a field that
+    a row lacks is NULL. Pages that ``malformed_pages`` returns have no rows here. Where no
+    page has a field, only the kept columns come back."""
+    row_type = infer_row_type(df, payload, path)
+    rows = df.select(*keep, F.explode(_rows_at(payload, path)).alias("__row"))
+    if row_type in (None, "STRUCT<>"):
+        return rows.drop("__row")
+    return nan_to_null(rows.withColumn("__row", F.variant_get("__row", "$", row_type)).select(*keep, "__row.*"))
+
+
+def malformed_pages(df: DataFrame, payload: str, path: Sequence[str]) -> DataFrame:
+    """The pages, whole, whose text is no JSON (cut short, a key twice) or holds no array at ``path``."""
+    return df.where(F.col(payload).isNotNull() & _rows_at(payload, path).isNull())

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from daycast.session import ensure_checkpoint_dir
 from daycast.sources.io import read_predictions, read_table, write_csv, write_table
 from daycast.sources.landing import extract, land_months, landed_rows, missing_months, month_calendar
-from daycast.sources.payloads import explode_rows, parse_parallel
+from daycast.sources.payloads import explode_inferred, explode_rows, infer_row_type, malformed_pages, parse_parallel
 
 
 def _dir(spark, kind):
@@ -35,6 +35,37 @@ def test_row_array_and_nested_payloads(spark):
     assert (r.period, r.value) == ("2024-01-02", "2.5")
 
 
+def test_rows_of_unknown_schema(spark):
+    """Types merge over all pages, odd names and nesting included; unreadable pages are set aside whole."""
+    pages = [
+        '{"response": {"data": [{"a": 1, "b x": 0.5, "none": null, "mixed": "s"}, {"a": 2, "b x": 1e-7, "in": {"q": [1, 2.5]}}]}}',
+        '{"response": {"data": [{"a": 3000000000, "mixed": 7, "OBJECT<": true, "VOID": "v"}, null]}}',
+        '{"response": {"data": []}}', None,
+        '{"response": {"data": [{"a": "cut"', '{"response": {"data": {"a": 1}}}', '{"response": {}}', '{"response": {"data": [{"a": 1, "a": 2}]}}', ""]
+    df = spark.createDataFrame(list(enumerate(pages)), "page int, payload string").repartition(3)
+    path = ["response", "data"]
+    rows = {(r.page, r.a): r for r in explode_inferred(df, "payload", path, keep=["page"]).collect()}
+    assert set(rows) == {(0, 1), (0, 2), (1, 3000000000), (1, None)}
+    assert dict(explode_inferred(df, "payload", path).dtypes) == {
+        "a": "bigint", "b x": "double", "none": "string", "mixed": "string", "in": "struct<q:array<double>>", "OBJECT<": "boolean", "VOID": "string"}
+    assert rows[0, 1]["b x"] == 0.5 and rows[0, 2]["b x"] == 1e-7 and rows[0, 2]["in"].q == [1.0, 2.5]
+    assert (rows[0, 1].mixed, rows[1, 3000000000].mixed, rows[1, 3000000000]["OBJECT<"], rows[1, 3000000000].VOID) == ("s", "7", True, "v")
+    assert {r.page: r.payload for r in malformed_pages(df, "payload", path).collect()} == {i: pages[i] for i in range(4, 9)}
+
+
+def test_rows_of_unknown_schema_edges(spark):
+    def pages(*texts):
+        return spark.createDataFrame([(t,) for t in texts], "payload string")
+
+    for none in (pages(), pages('{"items": []}', "x"), pages('{"items": [null]}')):
+        assert infer_row_type(none, "payload", ["items"]) is None
+    assert explode_inferred(pages('{"items": [{}, {}]}').withColumn("k", F.lit(1)), "payload", ["items"], keep=["k"]).collect() == [(1,), (1,)]
+    with pytest.raises(ValueError, match="no objects"):
+        infer_row_type(pages('{"items": [1, 2]}'), "payload", ["items"])
+    with pytest.raises(ValueError, match="quotes"):
+        infer_row_type(pages("{}"), "payload", ["it'ems"])
+
+
 def test_parallel_arrays(spark):
     doc = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m_previous_day1": [1.5, None]}}
     df = spark.createDataFrame([(json.dumps(doc),)], "payload string")
