@@ -8,13 +8,15 @@ from daycast.functions.time import to_ntz
 from daycast.functions.transforms import clip
 from daycast.operators.normalize import normalize
 from daycast.operators.profile import (
-    coverage, describe_columns, has_nulls, histogram, latest_rows, null_audit, preview, schema_profile,
+    coverage, describe_columns, finite, has_nulls, histogram, latest_rows, null_audit, preview, schema_profile,
     top_correlations,
 )
+from daycast.operators.sketches import merge_sketches, quantile_sketches, sketch_quantiles
 from daycast.plans import views as V
 from daycast.plans.oracle import with_views
 from daycast.plans.q_features import SOURCE_JOIN_SQL, SOURCE_JOIN_VIEWS, source_join
 from daycast.plans.registry import register
+from daycast.session import write_stage
 from daycast.sources.landing import extract
 
 
@@ -177,3 +179,29 @@ def q_filtered_extract(spark, sf):
     e = V.events(spark, sf)
     return extract(e, "ts", "2024-01-05 00:00:00", "2024-01-20 23:59:59", key="event_type",
                    values=["click", "view"]).select("event_id", "event_type", "ts", "value")
+
+
+_SKETCHED = ["l_extendedprice", "odd_tax"]
+_QUARTILES = [0.25, 0.5, 0.75]
+
+
+@register("sketch_quartiles", f"WITH odd AS (SELECT *, {_ODD_SQL} AS odd_tax FROM lineitem), " + """x AS (
+  SELECT CAST(year(l_shipdate) AS BIGINT) AS year, u.column, u.x FROM odd, (SELECT unnest([{'column': 'l_extendedprice', 'x': CAST(l_extendedprice AS DOUBLE)}, {'column': 'odd_tax', 'x': CAST(odd_tax AS DOUBLE)}]) AS u))
+SELECT year, "column", count(*) AS n, min(x) AS smallest, max(x) AS largest, CAST(3 AS BIGINT) AS n_close FROM x WHERE isfinite(x) GROUP BY ALL""",
+          ["smallest", "largest"])
+def q_sketch_quartiles(spark, sf):
+    """Monthly sketches, written and merged by year: values, extremes, and how many of the three
+    quartiles have a true rank within 2 % of theirs."""
+    rows = _odd(V.lineitem(spark, sf)).select("l_shipdate", *_SKETCHED)
+    monthly = write_stage(quantile_sketches(rows.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")), ["month"], _SKETCHED))
+    yearly = merge_sketches(monthly.withColumn("year", F.left("month", F.lit(4)).cast("long")), ["year"], _SKETCHED)
+    found = write_stage(sketch_quantiles(yearly, ["year"], _SKETCHED, [0.0, *_QUARTILES, 1.0]).where("n > 0"))
+    values = rows.select(F.year("l_shipdate").cast("long").alias("year"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), finite(c).alias("x")) for c in _SKETCHED])).alias("s")).select("year", "s.*").where("x IS NOT NULL")
+    met = values.join(F.broadcast(found), ["year", "column"])  # a row per calendar year and column
+    q = [F.col("quantiles")[i] for i in range(5)]
+    ranks = met.groupBy("year", "column", "n", q[0].alias("smallest"), q[4].alias("largest")).agg(
+        *[F.avg((F.col("x") < q[i]).cast("int")).alias(f"below{i}") for i in (1, 2, 3)],
+        *[F.avg((F.col("x") <= q[i]).cast("int")).alias(f"up_to{i}") for i in (1, 2, 3)])
+    close = sum((F.lit(r).between(F.col(f"below{i}") - 0.02, F.col(f"up_to{i}") + 0.02).cast("long") for i, r in enumerate(_QUARTILES, 1)), F.lit(0).cast("long"))
+    return ranks.select("year", "column", "n", "smallest", "largest", close.alias("n_close"))
